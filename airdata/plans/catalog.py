@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from airdata.plans import analytics, cleaning, constraints, quality, windows  # noqa: F401
+from airdata.plans import analytics, cleaning, constraints, maintain, quality, windows  # noqa: F401
 from airdata.plans.registry import REGISTRY, runner
 
 

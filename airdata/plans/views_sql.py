@@ -148,6 +148,8 @@ def with_views(body: str, *views: str) -> str:
         return body.strip()
     ctes = ",\n".join(f"{n} AS ({VIEWS[n][0].strip()})" for n in names)
     body = body.strip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
