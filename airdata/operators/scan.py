@@ -52,27 +52,59 @@ def prefix_sum(df: DataFrame, order_by, value: str, out: str,
                  .drop("_ps_pid", "_ps_local", "_ps_off"))
 
 
+HOT_GROUP_ROWS = 1_000_000
+
+
+def hot_groups(df: DataFrame, partition_by, threshold: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Group keys holding more than ``threshold`` rows (partial aggregation,
+    so the hot groups themselves cost nothing extra). At most
+    ``rows / threshold`` keys come back, which bounds the broadcast below."""
+    return (df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"))
+              .filter(F.col("_n") > threshold).select(*partition_by))
+
+
 def running_sum(df: DataFrame, partition_by, order_by, value: str, out: str,
-                bucket: Column) -> DataFrame:
+                bucket: Column, hot_keys: DataFrame | None = None,
+                hot_threshold: int = HOT_GROUP_ROWS) -> DataFrame:
     """``sum(value) over (partition by p order by o rows unbounded preceding)``.
 
-    ``bucket`` must be non-decreasing along ``order_by`` within a group (a
-    date truncated to month, an id divided by a block size). Work per task is
-    bounded by the rows of one (group, bucket) instead of one group.
+    A plain window puts each group in one task, so one group holding a third
+    of all rows would be sorted by one task. Groups listed in ``hot_keys``
+    (default: groups above ``hot_threshold`` rows) are split by ``bucket``, a
+    value non-decreasing along ``order_by`` within a group (a date truncated
+    to month, an id divided by a block size). Other groups stay whole:
+    splitting every group would multiply the window's per-group cost.
+
+    The hot-key table is a small aggregate; when it is empty (checked with a
+    one-row probe, like a broadcast size check) the plan is the plain window.
+    Otherwise: the hot keys (at most rows / threshold of them) are broadcast,
+    rows shuffle once on (group, bucket) for the window, hot bucket totals
+    (hot groups x buckets, small) give each bucket the carry of the earlier
+    buckets of its group, joined back by broadcast.
     """
     part = list(partition_by)
-    b = df.withColumn("_rs_b", bucket)
-    totals = b.groupBy(*part, "_rs_b").agg(F.sum(value).alias("_rs_t"))
+    order = _cols(order_by)
+    if hot_keys is None:
+        hot_keys = hot_groups(df, part, hot_threshold)
+    hk = hot_keys.select(*part).distinct()
+    if hk.isEmpty():
+        w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding,
+                                                                   Window.currentRow)
+        return df.withColumn(out, F.sum(value).over(w))
+    keys = [*part, "_rs_b"]
+    b = (df.join(F.broadcast(hk.withColumn("_rs_hot", F.lit(True))), part, "left")
+           .withColumn("_rs_b", F.when(F.col("_rs_hot"), bucket)))
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding,
+                                                                  Window.currentRow)
+    totals = (b.filter(F.col("_rs_hot")).groupBy(*keys).agg(F.sum(value).alias("_rs_t")))
     carry_w = (Window.partitionBy(*part).orderBy("_rs_b")
                      .rowsBetween(Window.unboundedPreceding, -1))
-    carries = totals.select(*part, "_rs_b", F.sum("_rs_t").over(carry_w).alias("_rs_carry"))
-    local_w = (Window.partitionBy(*part, "_rs_b").orderBy(*_cols(order_by))
-                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carries = totals.select(*keys, F.sum("_rs_t").over(carry_w).alias("_rs_carry"))
     zero = F.lit(0).cast(df.schema[value].dataType)
-    return (b.withColumn("_rs_local", F.sum(value).over(local_w))
-             .join(carries, on=[*part, "_rs_b"])
+    return (b.withColumn("_rs_local", F.sum(value).over(upto))
+             .join(F.broadcast(carries), on=keys, how="left")
              .withColumn(out, F.col("_rs_local") + F.coalesce(F.col("_rs_carry"), zero))
-             .drop("_rs_b", "_rs_local", "_rs_carry"))
+             .drop("_rs_b", "_rs_local", "_rs_carry", "_rs_hot"))
 
 
 def exact_quantiles(df: DataFrame, value: str, quantiles, tiebreak=None,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airdata.operators.metrics import lifetime_miles, month_start, with_endpoint_iata
-from airdata.operators.scan import prefix_sum, running_sum
+from airdata.operators.scan import HOT_GROUP_ROWS, hot_groups, prefix_sum, running_sum
 from airdata.functions.numeric import ratio, to_double
 
 
@@ -59,21 +59,25 @@ def pct_delayed_by_month(flights: DataFrame) -> DataFrame:
             .orderBy("month_start"))
 
 
-def clv_running(bookings: DataFrame, payments: DataFrame) -> DataFrame:
+def clv_running(bookings: DataFrame, payments: DataFrame,
+                hot_threshold: int = HOT_GROUP_ROWS) -> DataFrame:
     """A-12: cumulative spend per passenger ordered by payment date (ties by
-    payment id). A passenger's payments are split by month so a heavy
-    passenger is spread over many tasks."""
+    payment id). Passengers with more than ``hot_threshold`` bookings are
+    split by payment month so a heavy passenger is spread over many tasks;
+    the hot list comes from the bookings alone (no join needed to find it)."""
     cp = (bookings.select("booking_id", "passenger_id")
                   .join(payments.select("booking_id", "payment_id", "paid_at", "amount_usd"),
                         "booking_id")
                   .select("passenger_id", "payment_id",
                           F.col("paid_at").cast("date").alias("paid_date"), "amount_usd"))
+    hot = hot_groups(bookings, ["passenger_id"], hot_threshold)
     rs = running_sum(cp, ["passenger_id"], ["paid_date", "payment_id"], "amount_usd",
-                     "_clv", bucket=F.trunc(F.col("paid_date"), "MM"))
-    return (rs.select("passenger_id", "paid_date", "payment_id",
-                      to_double(F.col("amount_usd")).alias("amount_usd"),
-                      to_double(F.col("_clv")).alias("clv_to_date"))
-              .orderBy("passenger_id", "paid_date", "payment_id"))
+                     "_clv", bucket=F.trunc(F.col("paid_date"), "MM"), hot_keys=hot)
+    # Row-grain result: no global ORDER BY (a full range shuffle of every
+    # payment); callers that present it sort what they show.
+    return rs.select("passenger_id", "paid_date", "payment_id",
+                     to_double(F.col("amount_usd")).alias("amount_usd"),
+                     to_double(F.col("_clv")).alias("clv_to_date"))
 
 
 def planar_distance(routes: DataFrame, airports: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from airdata.session import checkpoint_dir
 from airdata.sources.fixtures import Fixtures
 
 
@@ -37,6 +38,7 @@ def query(name: str, survey_id: str, oracle: str | None = None):
 
 def runner(q: Query) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        checkpoint_dir(spark)   # uses the session's setting; sets one only if unset
         return q.build(Fixtures(spark, sf_dir))
     run.__name__ = q.name
     return run

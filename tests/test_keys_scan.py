@@ -73,7 +73,8 @@ def test_prefix_sum(spark):
 def test_running_sum_hot_key_matches_window(spark):
     rows = [(0 if i % 3 else i % 7, i, (i * 37) % 11) for i in range(600)]   # key 0 holds 2/3
     df = spark.createDataFrame(rows, "p int, o int, v bigint")
-    got = {(r.p, r.o): r.s for r in running_sum(df, ["p"], ["o"], "v", "s", F.col("o") / 50).collect()}
+    got = {(r.p, r.o): r.s for r in running_sum(df, ["p"], ["o"], "v", "s", F.floor(F.col("o") / 50),
+                                                      hot_threshold=100).collect()}
     w = Window.partitionBy("p").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
     ref = {(r.p, r.o): r.s for r in df.withColumn("s", F.sum("v").over(w)).collect()}
     assert got == ref
