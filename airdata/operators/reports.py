@@ -224,7 +224,7 @@ def sankey_links(od_pairs: DataFrame) -> DataFrame:
     nodes is tiny)."""
     nodes = (od_pairs.select(F.col("origin_iata").alias("label"))
              .union(od_pairs.select(F.col("dest_iata").alias("label"))).distinct())
-    idx = nodes.select("label", (F.row_number().over(Window.orderBy("label")) - 1).alias("node"))
+    idx = nodes.select("label", (F.row_number().over(Window.orderBy("label")) - 1).cast("bigint").alias("node"))
     s = idx.select(F.col("label").alias("origin_iata"), F.col("node").alias("source"))
     t = idx.select(F.col("label").alias("dest_iata"), F.col("node").alias("target"))
     return (od_pairs.join(s, "origin_iata").join(t, "dest_iata")

@@ -27,7 +27,7 @@ def airline_delay_rank(flights: DataFrame, airlines: DataFrame) -> DataFrame:
     j = per.join(al, "airline_id").withColumn("avg_delay_minutes", avg)
     w = Window.orderBy(F.col("avg_delay_minutes").desc_nulls_first())
     return (j.select("airline_id", "airline_name", "iata_code", "avg_delay_minutes",
-                     F.rank().over(w).alias("delay_rank"))
+                     F.rank().over(w).cast("bigint").alias("delay_rank"))
              .orderBy("delay_rank", "airline_id"))
 
 
@@ -109,7 +109,7 @@ def route_distance_rank(routes: DataFrame, airports: DataFrame, limit: int = 50)
              .orderBy(F.col("distance_nm").desc(), "origin_iata", "destination_iata", "route_id")
              .limit(limit))
     w = Window.orderBy(F.col("distance_nm").desc())
-    return (top.withColumn("distance_rank", F.dense_rank().over(w))
+    return (top.withColumn("distance_rank", F.dense_rank().over(w).cast("bigint"))
                .orderBy("distance_rank", "origin_iata", "destination_iata", "route_id"))
 
 
