@@ -44,18 +44,20 @@ def paths_from(start: DataFrame, routes: DataFrame, airports: DataFrame, max_hop
                           F.col("destination_airport_id").alias("_dst"))
     if dedupe_edges:
         edges = edges.distinct()
+    # attach the destination code to every edge once; each hop is then a
+    # single equi-join of the frontier with this table
     ap = airports.select(F.col("airport_id").alias("_dst"), F.col("iata_code").alias("_dst_iata"))
+    edges = edges.join(ap, "_dst")
     s = start.select(F.col("airport_id").alias("_src"), F.col("iata_code").alias("origin_iata"))
-    level = (s.join(edges, "_src").join(ap, "_dst")
+    level = (s.join(edges, "_src")
               .select("origin_iata", F.col("_dst").alias("dest_airport_id"),
                       F.col("_dst_iata").alias("dest_iata"),
                       F.array(F.col("origin_iata"), F.col("_dst_iata")).alias("path"),
                       F.lit(1).alias("hops")))
     levels = [level]
     for h in range(2, max_hops + 1):
-        nxt = (level.withColumnRenamed("dest_airport_id", "_src")
-                    .drop("dest_iata")
-                    .join(edges, "_src").join(ap, "_dst"))
+        nxt = (level.withColumnRenamed("dest_airport_id", "_src").drop("dest_iata")
+                    .join(edges, "_src"))
         fresh = F.coalesce(~F.array_contains(F.col("path"), F.col("_dst_iata")), F.lit(False))
         level = (nxt.filter(fresh)
                     .select("origin_iata", F.col("_dst").alias("dest_airport_id"),

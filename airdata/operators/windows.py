@@ -120,8 +120,11 @@ def percent_rank_at_least(df: DataFrame, value: str, threshold: float,
 
     percent_rank = (rows strictly below) / (n - 1); ties share the lowest.
     Computed on the per-value count table (partial aggregation absorbs hot
-    values) with a distributed prefix sum; only the qualifying values are
-    joined back. n = 1 gives 0 as in SQL.
+    values) with a distributed prefix sum. The rank is monotone in the value,
+    so the qualifying rows are those at or above the smallest qualifying
+    value: rows are cut with that one scalar first (a hot value below the cut
+    never reaches a shuffle) and only then joined to their ranks.
+    n = 1 gives 0 as in SQL.
     """
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_pr_c"))
     cum = prefix_sum(counts, [value], "_pr_c", "_pr_cum")
@@ -133,7 +136,10 @@ def percent_rank_at_least(df: DataFrame, value: str, threshold: float,
                     F.lit(0.0)))
                 .filter(F.col(out) >= F.lit(threshold))
                 .select(value, out))
-    return df.join(ranks, value)
+    cut = ranks.agg(F.min(value).alias("_pr_cut"))
+    top = (df.crossJoin(F.broadcast(cut)).filter(F.col(value) >= F.col("_pr_cut"))
+             .drop("_pr_cut"))
+    return top.join(ranks, value)
 
 
 def top_loyalty_5pct(loyalty_accounts: DataFrame, miles_transactions: DataFrame,

@@ -56,9 +56,21 @@ def stream_bts_folder(spark: SparkSession, inbox: str, header: list[str], target
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         norm = normalise_bts(batch)
+        # The target is partitioned by (year, month): only the partitions of
+        # the months in this micro-batch (a handful, one per monthly file)
+        # are read for the conflict check.
+        months = [(r.year, r.month) for r in norm.select("year", "month").distinct().collect()]
         existing = _read_target(batch.sparkSession, target)
+        if months:
+            cond = None
+            for y, m in months:
+                c = (F.col("year") == y) & (F.col("month") == m) if y is not None and m is not None \
+                    else F.col("year").isNull() | F.col("month").isNull()
+                cond = c if cond is None else cond | c
+            existing = existing.filter(cond)
         ins, bad = load_bts_performance(existing, norm, airports)
-        ins.select(*[f.name for f in FP_SCHEMA.fields]).write.mode("append").parquet(target)
+        (ins.select(*[f.name for f in FP_SCHEMA.fields]).write.mode("append")
+            .partitionBy("year", "month").parquet(target))
         if quarantine:
             bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(quarantine)
 

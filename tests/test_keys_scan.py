@@ -98,3 +98,40 @@ def test_percent_rank_filter_matches_window(spark):
     assert got == ref
     single = spark.createDataFrame([(1, 5)], "id int, v int")
     assert [r.pr for r in percent_rank_at_least(single, "v", 0.0, "pr").collect()] == [0.0]
+
+
+def test_insert_ignore_properties(spark):
+    # output keys are unique, a subset of the candidates, and disjoint from the target
+    rng = random.Random(3)
+    rows = [(i, rng.choice([None, "a", "b", "c", "d"]), rng.randint(0, 3)) for i in range(60)]
+    cand = spark.createDataFrame(rows, "o int, k string, v int")
+    target = spark.createDataFrame([("c",)], "k string")
+    out = [(r.o, r.k, r.v) for r in K.insert_ignore(target, cand, ["k"], ["o"]).collect()]
+    keys = [k for _, k, _ in out if k is not None]
+    assert len(keys) == len(set(keys)) and "c" not in keys
+    assert set(out) <= set(rows)
+    assert sum(1 for _, k, _ in out if k is None) == sum(1 for _, k, _ in rows if k is None)
+    # the kept row of each key is its first by order
+    firsts = {}
+    for o, k, v in sorted(rows):
+        if k is not None and k != "c":
+            firsts.setdefault(k, (o, k, v))
+    assert {r for r in out if r[1] is not None} == set(firsts.values())
+
+
+def test_running_sum_last_value_is_total(spark):
+    rows = [(i % 5, i, i % 13 - 4) for i in range(200)]
+    df = spark.createDataFrame(rows, "p int, o int, v bigint")
+    rs = running_sum(df, ["p"], ["o"], "v", "s", F.floor(F.col("o") / 40), hot_threshold=10)
+    last = {r.p: r.s for r in rs.groupBy("p").agg(F.max_by("s", "o").alias("s")).collect()}
+    totals = {r.p: r.t for r in df.groupBy("p").agg(F.sum("v").alias("t")).collect()}
+    assert last == totals
+
+
+def test_histogram_counts_sum_to_rows(spark):
+    from airdata.operators.reports import histogram
+    vals = [(None if v is None else float(v),) for v in [0, 1, 1, 2, 5, 9, 9, 10, 10, None]]
+    df = spark.createDataFrame(vals, "x double")
+    h = histogram(df, "x", 5).collect()
+    assert len(h) == 5 and sum(r["count"] for r in h) == 9
+    assert h[-1]["count"] == 4     # last bin is closed on the right (9, 9, 10, 10)
