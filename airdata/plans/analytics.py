@@ -22,7 +22,7 @@ FROM agg g JOIN airports ap ON ap.airport_id = g.airport_id
 ORDER BY total_movements DESC, airport_iata NULLS LAST, g.airport_id
 LIMIT 10""", "flights", "airports"))
 def _busiest_airports(fx):
-    return M.busiest_airports(fx.flights, fx.airports)
+    return M.busiest_airports(fx.flights_base, fx.airports)
 
 
 @query("airline_on_time", "A-02", W("""
@@ -79,7 +79,7 @@ def _revenue_by_fare_class(fx):
 @query("flights_by_status", "A-06", W("""
 SELECT status, count(*) AS total FROM flights GROUP BY status ORDER BY total DESC""", "flights"))
 def _flights_by_status(fx):
-    return M.flights_by_status(fx.flights)
+    return M.flights_by_status(fx.flights_base)
 
 
 @query("revenue_by_fare_class_success", "A-07", W("""

@@ -3,7 +3,7 @@
 Phase 1 (load) derives the airline tables from the driver tables at
 $BENCH_SF_DIR and writes them as Parquet (timed as ``load_sec``). Phase 2
 runs each headline query on the loaded tables: one warm-up, then the median
-of 3 timed runs, each a full execution into a no-op sink. Prints one JSON
+of $BENCH_RUNS (default 5) timed runs, each a full execution into a no-op sink. Prints one JSON
 line. BENCH_ALL=1 times every registered query.
 """
 
@@ -36,6 +36,9 @@ HEADLINE = CATALOGUED + [
 ]
 
 
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
+
+
 def run_once(build) -> float:
     """Plan building (which may run small probe jobs) plus full execution."""
     t = time.perf_counter()
@@ -70,7 +73,7 @@ def main():
             def build():
                 return q.build(Warehouse(spark, sf_dir, root))
             run_once(build)                                            # warm-up
-            runs = [run_once(build) for _ in range(3)]
+            runs = [run_once(build) for _ in range(RUNS)]
             times[name] = round(statistics.median(runs), 3)
         except Exception as e:  # noqa: BLE001 - report and continue
             errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
