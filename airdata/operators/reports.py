@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from airdata.functions.numeric import count_if, pct, ratio, round_half_up, to_double
 from airdata.operators.keys import assign_surrogate_key
-from airdata.operators.metrics import _perf_sums, month_start, route_metrics, with_endpoint_iata
+from airdata.operators.metrics import (_perf_sums, fact_join, month_start, route_metrics,
+                                      with_endpoint_iata)
 from airdata.operators.scan import exact_quantiles, prefix_sum
 
 CAPTURED = ("Captured",)
@@ -22,7 +23,7 @@ CAPTURED = ("Captured",)
 
 def _captured(bookings, payments, cols):
     p = payments.filter(F.col("status").isin(list(CAPTURED))).select("booking_id", "amount_usd", "status")
-    return bookings.select("booking_id", *cols).join(p, "booking_id")
+    return fact_join(bookings.select("booking_id", *cols), p, "booking_id")
 
 
 def get_revenue_by_fare_class(bookings: DataFrame, payments: DataFrame) -> DataFrame:
@@ -45,8 +46,8 @@ def get_monthly_revenue(payments: DataFrame) -> DataFrame:
 
 def get_payment_success_by_channel(bookings: DataFrame, payments: DataFrame) -> DataFrame:
     """P-03: share of Captured payments per channel, in percent."""
-    j = bookings.select("booking_id", "booking_channel").join(
-        payments.select("booking_id", "status"), "booking_id")
+    j = fact_join(bookings.select("booking_id", "booking_channel"),
+                  payments.select("booking_id", "status"), "booking_id")
     return (j.groupBy("booking_channel")
             .agg(F.count(F.lit(1)).alias("total_payments"),
                  count_if(F.col("status") == "Captured").alias("successful_payments"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airdata.operators.metrics import lifetime_miles, month_start, with_endpoint_iata
+from airdata.operators.metrics import fact_join, lifetime_miles, month_start, with_endpoint_iata
 from airdata.operators.scan import HOT_GROUP_ROWS, hot_groups, prefix_sum, running_sum
 from airdata.functions.numeric import ratio, to_double
 
@@ -65,9 +65,9 @@ def clv_running(bookings: DataFrame, payments: DataFrame,
     payment id). Passengers with more than ``hot_threshold`` bookings are
     split by payment month so a heavy passenger is spread over many tasks;
     the hot list comes from the bookings alone (no join needed to find it)."""
-    cp = (bookings.select("booking_id", "passenger_id")
-                  .join(payments.select("booking_id", "payment_id", "paid_at", "amount_usd"),
-                        "booking_id")
+    cp = (fact_join(bookings.select("booking_id", "passenger_id"),
+                    payments.select("booking_id", "payment_id", "paid_at", "amount_usd"),
+                    "booking_id")
                   .select("passenger_id", "payment_id",
                           F.col("paid_at").cast("date").alias("paid_date"), "amount_usd"))
     hot = hot_groups(bookings, ["passenger_id"], hot_threshold)

@@ -65,6 +65,9 @@ def main():
         build_warehouse(spark, sf_dir, root)
         load_sec = round(time.perf_counter() - t0, 3)
 
+    wh = Warehouse(spark, sf_dir, root)
+    volumes = {t: getattr(wh, t).count() for t in ("flights", "bookings", "payments", "routes",
+                                                  "flight_performance", "loyalty_accounts")}
     names = sorted(REGISTRY) if os.environ.get("BENCH_ALL") else HEADLINE
     times, errors = {}, {}
     for name in names:
@@ -86,6 +89,7 @@ def main():
         "total_sec": round(sum(times.values()), 3),
         "load_sec": load_sec,
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
+        "rows": volumes,
         "cpus": cpus,
     }
     if errors:
