@@ -107,7 +107,7 @@ def insert_ignore(target: DataFrame, candidates: DataFrame, keys, order_by) -> D
 
 
 def insert_ignore_any_unique(target: DataFrame, candidates: DataFrame,
-                             unique_keys, order_col: str, max_rounds: int = 64) -> DataFrame:
+                             unique_keys, order_col: str) -> DataFrame:
     """K-04: insert-ignore where a conflict on *any* of several unique keys
     drops the row (``ON CONFLICT DO NOTHING`` without a target).
 
@@ -122,7 +122,9 @@ def insert_ignore_any_unique(target: DataFrame, candidates: DataFrame,
     Each round is a handful of aggregates and semi/anti joins; lineage is cut
     with ``checkpoint()`` (the session's shared checkpoint folder) so a lost
     executor recomputes at most one round. The number of rounds grows with
-    the longest conflict chain, not with the data size.
+    the longest conflict chain, not with the data size, and there is no round
+    cap: every round keeps at least the first undecided row, so the loop
+    always finishes with the exact answer.
     """
     keys = list(unique_keys)
     live = candidates
@@ -131,7 +133,7 @@ def insert_ignore_any_unique(target: DataFrame, candidates: DataFrame,
                          on=k, how="left_anti")
     undecided = live
     kept_parts = []
-    for _ in range(max_rounds):
+    while True:
         firsts = None
         for k in keys:
             mins = (undecided.filter(F.col(k).isNotNull())
@@ -149,8 +151,6 @@ def insert_ignore_any_unique(target: DataFrame, candidates: DataFrame,
         undecided = rest.checkpoint()
         if undecided.isEmpty():
             break
-    else:
-        raise RuntimeError("insert_ignore_any_unique: conflict chains longer than max_rounds")
     return reduce(DataFrame.unionByName, kept_parts).select(*candidates.columns)
 
 
