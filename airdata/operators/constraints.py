@@ -93,7 +93,7 @@ def check_foreign_key(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> Da
     return missing.select(*_row(fk.name, fk.child, "FOREIGN KEY", F.col("_v")))
 
 
-def _key_text(cols, names) -> Column:
+def _key_text(cols) -> Column:
     """One comparable text value for a (possibly composite) key; positional
     field names so child and parent keys of the same types render alike."""
     return F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)]))
@@ -118,7 +118,7 @@ def uniques_in_one_pass(tables: dict[str, DataFrame], uniques) -> DataFrame:
         for c in set(u.columns) | set(u.where_not_null):
             d = d.filter(F.col(c).isNotNull())
         parts.append(d.select(F.lit(u.name).alias("check_name"), F.lit(u.table).alias("table_name"),
-                              _key_text(u.columns, None).alias("_k")))
+                              _key_text(u.columns).alias("_k")))
     rows = reduce(DataFrame.unionByName, parts)
     found = (rows.groupBy("check_name", "table_name", "_k").agg(F.count(F.lit(1)).alias("_c"))
                  .filter(F.col("_c") > 1)
@@ -136,9 +136,9 @@ def foreign_keys_in_one_pass(tables: dict[str, DataFrame], foreign_keys) -> Data
         for col in fk.columns:
             c = c.filter(F.col(col).isNotNull())
         child.append(c.select(F.lit(fk.name).alias("check_name"), F.lit(fk.child).alias("table_name"),
-                              _key_text(fk.columns, None).alias("_k")))
+                              _key_text(fk.columns).alias("_k")))
         parent.append(tables[fk.parent].select(F.lit(fk.name).alias("check_name"),
-                                               _key_text(fk.parent_columns, None).alias("_k")))
+                                               _key_text(fk.parent_columns).alias("_k")))
     per_key = (reduce(DataFrame.unionByName, child)
                .groupBy("check_name", "table_name", "_k").agg(F.count(F.lit(1)).alias("_c")))
     keys = reduce(DataFrame.unionByName, parent)

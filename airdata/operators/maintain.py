@@ -148,17 +148,20 @@ def update_distance_planar(routes: DataFrame, airports: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- aircraft
-def _indexed_pool(pool: DataFrame, id_col: str) -> DataFrame:
-    """Pool members with a dense 0-based position. The pool is a reference
-    table (a fleet); its size is checked before it is broadcast."""
-    w = Window.orderBy(id_col)
-    return pool.select(id_col, (F.row_number().over(w) - 1).alias("_pos"))
-
-
-def _pool_join(df: DataFrame, pool_idx: DataFrame, on):
-    n_rows = pool_idx.count()
-    side = F.broadcast(pool_idx) if n_rows <= POOL_BROADCAST_ROWS else pool_idx
-    return df.join(side, on, "left"), n_rows
+def _indexed_pool(pool: DataFrame, id_col: str):
+    """Pool members with a dense 0-based position, and the pool size.
+
+    A reference pool (a fleet) is small: its row count is checked, and up to
+    ``POOL_BROADCAST_ROWS`` the positions come from one window and the pool
+    is broadcast; a larger pool gets distributed positions (K-01) and is
+    joined without a broadcast."""
+    ids = pool.select(id_col).distinct()
+    n = ids.count()
+    if n <= POOL_BROADCAST_ROWS:
+        w = Window.orderBy(id_col)
+        idx = ids.select(id_col, (F.row_number().over(w) - 1).cast("bigint").alias("_pos"))
+        return F.broadcast(idx), n
+    return assign_surrogate_key(ids, [id_col], "_pos", start=0), n
 
 
 def assign_from_pool(flights: DataFrame, pool: DataFrame, id_col: str = "aircraft_id",
@@ -166,15 +169,12 @@ def assign_from_pool(flights: DataFrame, pool: DataFrame, id_col: str = "aircraf
     """K-11: give every flight without an aircraft a member of the pool,
     chosen by ``bucket`` (default ``xxhash64(flight_id)``) modulo the pool
     size."""
-    idx = _indexed_pool(pool, id_col)
-    n = idx.count()
+    idx, n = _indexed_pool(pool, id_col)
     if n == 0:
         return flights
     b = bucket if bucket is not None else F.xxhash64("flight_id")
     target = flights.withColumn("_pos", F.pmod(b, F.lit(n)))
-    side = F.broadcast(idx.withColumnRenamed(id_col, "_pick")) if n <= POOL_BROADCAST_ROWS \
-        else idx.withColumnRenamed(id_col, "_pick")
-    j = target.join(side, "_pos", "left")
+    j = target.join(idx.withColumnRenamed(id_col, "_pick"), "_pos", "left")
     cur = F.col(id_col) if id_col in flights.columns else F.lit(None).cast("bigint")
     out = j.withColumn(id_col, F.coalesce(cur, F.col("_pick"))).drop("_pos", "_pick")
     cols = flights.columns if id_col in flights.columns else flights.columns + [id_col]
@@ -187,10 +187,8 @@ def assign_different_from_current(df: DataFrame, pool: DataFrame, current_col: s
     """K-12: pick a pool member different from ``current_col``: shift the
     current member's position by ``1 + bucket mod (n - 1)``. With a pool of
     one there is no alternative and the result is null."""
-    idx = _indexed_pool(pool, id_col)
-    n = idx.count()
+    side, n = _indexed_pool(pool, id_col)
     b = bucket if bucket is not None else F.xxhash64(key)
-    side = F.broadcast(idx) if n <= POOL_BROADCAST_ROWS else idx
     cur = side.select(F.col(id_col).alias(current_col), F.col("_pos").alias("_cur_pos"))
     j = df.join(cur, current_col, "left")
     if n <= 1:
