@@ -172,10 +172,20 @@ def get_route_geometries(flights: DataFrame, airports: DataFrame, limit: int = 5
 
 def clv_describe(clv: DataFrame) -> DataFrame:
     """P-13: pandas ``describe()`` of CLV: count, mean, std (sample), min,
-    quartiles (linear interpolation), max."""
-    v = to_double(F.col("clv_usd"))
-    stats = clv.agg(F.count("clv_usd").alias("count"), (to_double(F.sum("clv_usd")) / F.count("clv_usd")).alias("mean"),
-                    F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+    quartiles (linear interpolation), max.
+
+    The standard deviation comes from exact decimal sums of x and x^2 (one
+    pass, order independent), so it is the same number however the rows are
+    partitioned or merged; a streaming variance merged across partitions can
+    differ in the last bits from run to run."""
+    x = F.col("clv_usd")
+    n = F.count(x)
+    s1 = to_double(F.sum(x))
+    s2 = to_double(F.sum(x * x))
+    var = (s2 - s1 * s1 / n) / F.when(n > 1, n - 1)
+    stats = clv.agg(n.alias("count"), (s1 / n).alias("mean"),
+                    F.sqrt(F.greatest(var, F.lit(0.0))).alias("std"),
+                    to_double(F.min(x)).alias("min"), to_double(F.max(x)).alias("max"))
     q = exact_quantiles(clv, "clv_usd", [0.25, 0.5, 0.75], tiebreak=["passenger_id"],
                         names=["p25", "p50", "p75"])
     return stats.crossJoin(q).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")

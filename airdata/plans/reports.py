@@ -157,7 +157,10 @@ def _p12(fx):
 @query("clv_describe", "P-13", W(f"""
 WITH {_CLV.strip()}
 SELECT count(clv_usd) AS count, cast(sum(clv_usd) AS double) / count(clv_usd) AS mean,
-       stddev_samp(cast(clv_usd AS double)) AS std, cast(min(clv_usd) AS double) AS min,
+       sqrt(greatest((cast(sum(clv_usd * clv_usd) AS double)
+                      - cast(sum(clv_usd) AS double) * cast(sum(clv_usd) AS double) / count(clv_usd))
+                     / CASE WHEN count(clv_usd) > 1 THEN count(clv_usd) - 1 END, 0.0)) AS std,
+       cast(min(clv_usd) AS double) AS min,
        quantile_cont(cast(clv_usd AS double), 0.25) AS p25, quantile_cont(cast(clv_usd AS double), 0.5) AS p50,
        quantile_cont(cast(clv_usd AS double), 0.75) AS p75, cast(max(clv_usd) AS double) AS max
 FROM clv""", "bookings", "payments"))
