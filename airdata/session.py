@@ -23,6 +23,9 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of id assignment / fixpoint rounds are removed once
+    # the DataFrames that use them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
