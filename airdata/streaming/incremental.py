@@ -36,6 +36,11 @@ FP_SCHEMA = T.StructType([
 ])
 
 
+# A micro-batch spanning more months than this is checked against the whole
+# target instead of a pruned list of partitions.
+MAX_PRUNE_MONTHS = 240
+
+
 def _read_target(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(FP_SCHEMA).parquet(path)
@@ -59,9 +64,10 @@ def stream_bts_folder(spark: SparkSession, inbox: str, header: list[str], target
         # The target is partitioned by (year, month): only the partitions of
         # the months in this micro-batch (a handful, one per monthly file)
         # are read for the conflict check.
-        months = [(r.year, r.month) for r in norm.select("year", "month").distinct().collect()]
+        months = [(r.year, r.month)
+                  for r in norm.select("year", "month").distinct().limit(MAX_PRUNE_MONTHS + 1).collect()]
         existing = _read_target(batch.sparkSession, target)
-        if months:
+        if 0 < len(months) <= MAX_PRUNE_MONTHS:   # else: check against the whole target
             cond = None
             for y, m in months:
                 c = (F.col("year") == y) & (F.col("month") == m) if y is not None and m is not None \
