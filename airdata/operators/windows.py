@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airdata.operators.metrics import fact_join, lifetime_miles, month_start, with_endpoint_iata
+from airdata.operators.metrics import fact_join, lifetime_miles, month_start
 from airdata.operators.scan import HOT_GROUP_ROWS, hot_groups, prefix_sum, running_sum
 from airdata.functions.numeric import ratio, to_double
 
@@ -155,5 +155,5 @@ def top_loyalty_5pct(loyalty_accounts: DataFrame, miles_transactions: DataFrame,
 __all__ = [
     "airline_delay_rank", "running_monthly_revenue", "pct_delayed_by_month", "clv_running",
     "route_distance_rank", "top_loyalty_5pct", "percent_rank_at_least", "planar_distance",
-    "monthly_revenue", "with_endpoint_iata",
+    "monthly_revenue",
 ]

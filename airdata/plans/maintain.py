@@ -16,7 +16,6 @@ from airdata.functions import clean as C
 from airdata.operators import keys as K
 from airdata.operators import maintain as M
 from airdata.operators.metrics import route_distance_summary
-from airdata.plans.cleaning import scheduled_times
 from airdata.plans.registry import query
 from airdata.plans.views_sql import with_views as W
 
@@ -384,5 +383,3 @@ def _filter_known_dimension(fx):
                       F.sum("arrivals").cast("bigint").alias("arrivals"))
     return reduce(DataFrame.unionByName, [summary(keep, "kept"), summary(bad, "quarantined")])
 
-
-__all__ = ["scheduled_times"]
