@@ -7,6 +7,7 @@ raw tables (fixture views inlined as CTEs).
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -36,9 +37,23 @@ def query(name: str, survey_id: str, oracle: str | None = None):
     return deco
 
 
+# One set of derived airline tables per (session, data directory): the keyed
+# tables (routes, bookings) are materialised once and shared by every query
+# of the catalogue, as loaded tables would be.
+_FIXTURES: "weakref.WeakKeyDictionary[SparkSession, dict[str, Fixtures]]" = weakref.WeakKeyDictionary()
+
+
+def fixtures_for(spark: SparkSession, sf_dir: str) -> Fixtures:
+    per_session = _FIXTURES.setdefault(spark, {})
+    fx = per_session.get(sf_dir)
+    if fx is None:
+        fx = per_session[sf_dir] = Fixtures(spark, sf_dir)
+    return fx
+
+
 def runner(q: Query) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         checkpoint_dir(spark)   # uses the session's setting; sets one only if unset
-        return q.build(Fixtures(spark, sf_dir))
+        return q.build(fixtures_for(spark, sf_dir))
     run.__name__ = q.name
     return run
