@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from airdata.functions.scalar import with_scalar
+
 
 def _cols(cols):
     return [F.col(c) if isinstance(c, str) else c for c in cols]
@@ -66,7 +68,7 @@ def next_key_after_max(new_rows: DataFrame, existing: DataFrame, id_col: str,
     base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_k01_max"))
     keyed = assign_surrogate_key(new_rows, order_by, "_k01_rank", start=1,
                                  num_partitions=num_partitions)
-    return (keyed.crossJoin(F.broadcast(base))
+    return (with_scalar(keyed, base)
                  .withColumn(id_col, (F.col("_k01_max") + F.col("_k01_rank")).cast("bigint"))
                  .drop("_k01_max", "_k01_rank"))
 
@@ -167,5 +169,5 @@ def new_rows_since(df: DataFrame, previous: DataFrame, id_col: str) -> DataFrame
     The mark is ``max(id)`` of ``previous`` as a one-row frame; the filter is a
     broadcast nested-loop against that single row (bounded)."""
     mark = previous.agg(F.coalesce(F.max(id_col), F.lit(-(2 ** 62))).alias("_hwm"))
-    return (df.crossJoin(F.broadcast(mark)).filter(F.col(id_col) > F.col("_hwm"))
+    return (with_scalar(df, mark).filter(F.col(id_col) > F.col("_hwm"))
               .drop("_hwm"))

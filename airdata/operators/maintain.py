@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from airdata.functions.scalar import with_scalar
 from airdata.operators.keys import assign_surrogate_key, next_key_after_max
 
 ROUTE_KEYS = ["airline_id", "origin_airport_id", "destination_airport_id"]
@@ -57,7 +58,7 @@ def seed_if_empty(target: DataFrame, seed: DataFrame) -> DataFrame:
     the seed rows when the target is empty, else nothing. The emptiness test
     is a one-row aggregate joined in, not a driver round trip."""
     n = target.limit(1).agg(F.count(F.lit(1)).alias("_n"))
-    return seed.crossJoin(F.broadcast(n)).filter(F.col("_n") == 0).drop("_n")
+    return with_scalar(seed, n).filter(F.col("_n") == 0).drop("_n")
 
 
 def seed_fleet(spark: SparkSession, existing: DataFrame | None = None) -> DataFrame:
@@ -291,7 +292,7 @@ def select_fraction_of_parents(parents: DataFrame, key: str, ratio: float,
     o = order if order is not None else F.xxhash64(key)
     ranked = assign_surrogate_key(keys.withColumn("_o", o), ["_o", key], "_rank")
     n = keys.agg(F.floor(F.count(F.lit(1)) * F.lit(ratio)).alias("_k"))
-    return (ranked.crossJoin(F.broadcast(n)).filter(F.col("_rank") <= F.col("_k"))
+    return (with_scalar(ranked, n).filter(F.col("_rank") <= F.col("_k"))
                   .select(key))
 
 

@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from airdata.functions.scalar import with_scalar
 from airdata.operators.scan import exact_quantiles
 from airdata.functions.numeric import to_double
 
@@ -51,7 +52,7 @@ def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str,
     if not empty_as_null:
         return missing
     total = per_key.agg(F.sum("_c").alias("_total"))
-    return (missing.crossJoin(total)
+    return (with_scalar(missing, total)
                    .select(F.when(F.col("_total").isNotNull(), F.col("orphans")).alias("orphans")))
 
 
@@ -70,7 +71,7 @@ def _orphan_row(tables, empty_as_null):
     parts = [orphan_count(tables[c], fk, tables[p], pk, empty_as_null=empty_as_null)
              .select(F.col("orphans").alias(name))
              for name, c, fk, p, pk in FK_ORPHAN_CHECKS]
-    return reduce(lambda a, b: a.crossJoin(b), parts)
+    return reduce(with_scalar, parts)
 
 
 def fk_orphans_scalar(tables: dict[str, DataFrame]) -> DataFrame:
@@ -302,7 +303,7 @@ def flights_with_bookings(flights: DataFrame, bookings: DataFrame) -> DataFrame:
     booked = (flights.select("flight_id").join(bookings.select("flight_id"), "flight_id", "left_semi")
                      .agg(F.countDistinct("flight_id").alias("flights_with_bookings")))
     total = flights.agg(F.count(F.lit(1)).alias("total_flights"))
-    return booked.crossJoin(total)
+    return with_scalar(booked, total)
 
 
 def bookings_per_passenger(bookings: DataFrame) -> DataFrame:
@@ -317,6 +318,6 @@ def bookings_per_passenger(bookings: DataFrame) -> DataFrame:
                     F.sum("bookings_per_pax").alias("booking_rows"))
     med = exact_quantiles(per, "bookings_per_pax", [0.5], tiebreak=["passenger_id"],
                           names=["median_bookings_per_passenger"])
-    return stats.crossJoin(med).select(
+    return with_scalar(stats, med).select(
         "total_bookings", "distinct_passengers", "min_bookings_per_passenger",
         "median_bookings_per_passenger", "max_bookings_per_passenger", "booking_rows")

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from airdata.functions.scalar import with_scalar
 from airdata.functions.numeric import count_if, pct, ratio, round_half_up, to_double
 from airdata.operators.keys import assign_surrogate_key
 from airdata.operators.metrics import (_perf_sums, fact_join, month_start, route_metrics,
@@ -101,7 +102,7 @@ def get_top_customers(clv: DataFrame, pct_: float = 0.05) -> DataFrame:
     a scalar from a one-row count; rows stay distributed, so it works for any
     n (a plain ``limit(k)`` would gather k rows into one task)."""
     n = clv.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * F.lit(pct_))).alias("_k"))
-    return (clv_ranked(clv).crossJoin(F.broadcast(n))
+    return (with_scalar(clv_ranked(clv), n)
             .filter(F.col("clv_rank") <= F.col("_k")).drop("_k"))
 
 
@@ -188,14 +189,14 @@ def clv_describe(clv: DataFrame) -> DataFrame:
                     to_double(F.min(x)).alias("min"), to_double(F.max(x)).alias("max"))
     q = exact_quantiles(clv, "clv_usd", [0.25, 0.5, 0.75], tiebreak=["passenger_id"],
                         names=["p25", "p50", "p75"])
-    return stats.crossJoin(q).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    return with_scalar(stats, q).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def top_share(clv: DataFrame, pct_: float = 0.05) -> DataFrame:
     """P-14: revenue share of the top customers (P-07) in total CLV."""
     top = get_top_customers(clv, pct_).agg(F.sum("clv_usd").alias("_top"))
     total = clv.agg(F.sum("clv_usd").alias("_all"))
-    return top.crossJoin(total).select(
+    return with_scalar(top, total).select(
         (to_double(F.col("_top")) / to_double(F.col("_all"))).alias("top_share"))
 
 
@@ -208,9 +209,10 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
     raw = F.floor((F.col("_x") - F.col("_lo")) / F.when(width > 0, width))
     b = F.coalesce(F.least(raw, F.lit(bins - 1)), F.lit(0)).cast("int")
-    counts = (x.crossJoin(F.broadcast(mm)).select(b.alias("bin"))
+    counts = (with_scalar(x, mm).select(b.alias("bin"))
                 .groupBy("bin").agg(F.count(F.lit(1)).alias("_c")))
-    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).crossJoin(mm)
+    grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    grid = with_scalar(grid, mm)
     edge = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("bin") / F.lit(bins)
     edge1 = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("bin") + 1) / F.lit(bins)
     return (grid.join(counts, "bin", "left")
@@ -260,7 +262,7 @@ def clv_lorenz(clv: DataFrame) -> DataFrame:
     cum = prefix_sum(c, ["clv_usd", "passenger_id"], "_one", "_k")
     cum = prefix_sum(cum, ["clv_usd", "passenger_id"], "clv_usd", "_cum")
     tot = clv.agg(F.count(F.lit(1)).alias("_n"), F.sum("clv_usd").alias("_t"))
-    return (cum.crossJoin(F.broadcast(tot))
+    return (with_scalar(cum, tot)
             .select("passenger_id", to_double(F.col("clv_usd")).alias("clv_usd"),
                     (F.col("_k") / F.col("_n")).alias("customer_share"),
                     (to_double(F.col("_cum")) / to_double(F.col("_t"))).alias("revenue_share")))

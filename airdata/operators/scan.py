@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from airdata.functions.scalar import with_scalar
 from airdata.operators.keys import assign_surrogate_key
 
 
@@ -125,7 +126,7 @@ def exact_quantiles(df: DataFrame, value: str, quantiles, tiebreak=None,
     for q, name in zip(quantiles, names):
         pos = (F.col("_q_n") - 1) * F.lit(float(q))
         picks.append((name, pos))
-    with_n = ranked.crossJoin(F.broadcast(n))
+    with_n = with_scalar(ranked, n)
     needed = None
     for _, pos in picks:
         c = (F.col("_q_pos") == F.floor(pos)) | (F.col("_q_pos") == F.ceil(pos))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from airdata.functions.scalar import with_scalar
 from airdata.operators.metrics import fact_join, lifetime_miles, month_start
 from airdata.operators.scan import HOT_GROUP_ROWS, hot_groups, prefix_sum, running_sum
 from airdata.functions.numeric import ratio, to_double
@@ -129,7 +130,7 @@ def percent_rank_at_least(df: DataFrame, value: str, threshold: float,
     counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_pr_c"))
     cum = prefix_sum(counts, [value], "_pr_c", "_pr_cum")
     total = counts.agg(F.sum("_pr_c").alias("_pr_n"))
-    ranks = (cum.crossJoin(F.broadcast(total))
+    ranks = (with_scalar(cum, total)
                 .withColumn(out, F.coalesce(
                     (F.col("_pr_cum") - F.col("_pr_c")).cast("double")
                     / F.when(F.col("_pr_n") > 1, (F.col("_pr_n") - 1).cast("double")),
@@ -137,7 +138,7 @@ def percent_rank_at_least(df: DataFrame, value: str, threshold: float,
                 .filter(F.col(out) >= F.lit(threshold))
                 .select(value, out))
     cut = ranks.agg(F.min(value).alias("_pr_cut"))
-    top = (df.crossJoin(F.broadcast(cut)).filter(F.col(value) >= F.col("_pr_cut"))
+    top = (with_scalar(df, cut).filter(F.col(value) >= F.col("_pr_cut"))
              .drop("_pr_cut"))
     return top.join(ranks, value)
 

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
+from airdata.functions.scalar import with_scalar
 from airdata import schema as S
 from airdata.operators import constraints as V
 from airdata.plans.registry import query
@@ -192,12 +193,13 @@ def _fk_actions(fx):
     m2 = V.apply_fk_action(gone_flights, m1, _FK["fk_miles_flight"])
 
     def summary(name, before, after, key):
-        return (after.agg(F.count(F.lit(1)).alias("rows_after"),
-                          F.sum(F.when(F.col(key).isNull(), 1).otherwise(0)).cast("bigint").alias("keys_nulled"))
-                     .crossJoin(before.agg(F.count(F.lit(1)).alias("_before")))
-                     .select(F.lit(name).alias("table_name"), "rows_after",
-                             (F.col("_before") - F.col("rows_after")).alias("rows_removed"),
-                             F.coalesce(F.col("keys_nulled"), F.lit(0)).cast("bigint").alias("keys_nulled")))
+        counts = after.agg(F.count(F.lit(1)).alias("rows_after"),
+                           F.sum(F.when(F.col(key).isNull(), 1).otherwise(0)).cast("bigint")
+                            .alias("keys_nulled"))
+        return (with_scalar(counts, before.agg(F.count(F.lit(1)).alias("_before")))
+                .select(F.lit(name).alias("table_name"), "rows_after",
+                        (F.col("_before") - F.col("rows_after")).alias("rows_removed"),
+                        F.coalesce(F.col("keys_nulled"), F.lit(0)).cast("bigint").alias("keys_nulled")))
 
     return reduce(DataFrame.unionByName, [summary("bookings", b0, b2, "flight_id"),
                            summary("payments", p0, p1, "booking_id"),
