@@ -4,10 +4,11 @@ at the scale in AIRDATA_TEST_SF (default sf0.001)."""
 import pytest
 
 import __spark_entry__ as E
+from airdata.plans import catalog
 from tests.compare import compare_query, duck
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
