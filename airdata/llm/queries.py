@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airdata.llm import mixing, minhash, sharding, warc
+from airdata.llm import minhash, mixing, packing, quality_rules, sharding, token_files, warc
 from airdata.llm.common import table
+from airdata.llm.tokens import vocabulary
 
 #: Production parameters of the dealt queries.
 SHARDS = [f"shard-{i:03d}" for i in range(64)]
@@ -17,6 +18,28 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written to token files in the order of doc_id and read back."""
+    shards = token_files.write_token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
+    return token_files.read_token_files(spark, shards, ids=False)
+
+
+def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target of the quality rules: documents labelled as good."""
+    return table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and n-gram likelihood ratio of all documents."""
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), trusted_documents(spark, sf_dir))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 ids; only the digests of the ids go along."""
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), order=("doc_id", "piece", "ids_crc32"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slot and shard of every document by its id."""
     docs = table(spark, sf_dir, "documents").select("doc_id")
@@ -36,7 +59,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries():
-    return {f.__name__: f for f in (op1_minhash_near_dedup, op5_sharding, op7_mixing, op9_warc)}
+    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_token_files, op3_quality_rules, op4_packing, op5_sharding, op7_mixing, op9_warc)}
 
 
 OP1_SQL = r"""
