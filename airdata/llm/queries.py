@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airdata.llm import minhash, mixing, packing, quality_rules, sharding, token_files, warc
+from airdata.llm import ann, lm, minhash, mixing, packing, quality_rules, rule_ensemble, sharding, token_files, warc
 from airdata.llm.common import table
 from airdata.llm.tokens import vocabulary
 
@@ -46,20 +46,48 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(docs, ["doc_id"], SHARDS)
 
 
+def remainder(key, n: int):
+    """crc32 of an id as text, modulo n; null for a null id."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % n
+
+
+def op6_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by a rule ensemble that learns from four fifths of the labels."""
+    held_out = remainder("doc_id", 5) == 0
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    scored, _ = rule_ensemble.classify(table(spark, sf_dir, "documents"), labels, ~held_out)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix of all documents takes of each: sources weigh 5, 2, 1 in turn, up to 3 times their size."""
     taken = mixing.mix(table(spark, sf_dir, "documents"))
     return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every hundredth one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record of a ZIP package and read back from there."""
     packages = warc.write_packages(table(spark, sf_dir, "pages"))
     return warc.read_packages(spark, packages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of all documents under the context mixing model of six sevenths of them."""
+    held_out = remainder("doc_id", 7) == 2
+    docs = table(spark, sf_dir, "documents")
+    scored = lm.score(docs, ~held_out)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def queries():
-    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_token_files, op3_quality_rules, op4_packing, op5_sharding, op7_mixing, op9_warc)}
+    return {f.__name__: f for f in (op1_minhash_near_dedup, op2_token_files, op3_quality_rules, op4_packing, op5_sharding, op6_rule_ensemble, op7_mixing,
+                                   op8_permutation_index, op9_warc, op10_context_mixing)}
 
 
 OP1_SQL = r"""
