@@ -29,43 +29,44 @@ def busiest_origin(routes: DataFrame, airports: DataFrame) -> DataFrame:
         F.col("origin_airport_id").alias("airport_id"), "iata_code", "route_count")
 
 
-def paths_from(start: DataFrame, routes: DataFrame, airports: DataFrame, max_hops: int = 3,
-               dedupe_edges: bool = True) -> DataFrame:
-    """All simple paths of 1..max_hops edges from the start airport(s).
+def legs(routes: DataFrame, airports: DataFrame) -> DataFrame:
+    """One row a directed airport pair: _src, _dst, _dst_iata and _n, the number
+    of parallel routes (airlines). Parallel routes are counted here, before any
+    hop, so the frontier never carries copies of a path."""
+    pairs = (routes.groupBy(F.col("origin_airport_id").alias("_src"),
+                            F.col("destination_airport_id").alias("_dst"))
+                   .agg(F.count(F.lit(1)).alias("_n")))
+    ap = airports.select(F.col("airport_id").alias("_dst"), F.col("iata_code").alias("_dst_iata"))
+    return pairs.join(ap, "_dst")
+
+
+def path_levels(start: DataFrame, routes: DataFrame, airports: DataFrame, max_hops: int = 3) -> list[DataFrame]:
+    """The simple paths from the start airport(s), one frame a number of hops.
 
     ``start`` has ``airport_id`` and ``iata_code``. Columns: origin_iata,
-    dest_airport_id, dest_iata, path (array of IATA codes), hops.
-    ``dedupe_edges`` drops parallel routes (different airlines) first; without
-    it every parallel route yields its own copy of a path, as in a recursive
-    query without DISTINCT. The cycle test is on IATA text with SQL ``= ANY``
-    semantics: a null code (in the path or the candidate) stops extension.
+    dest_airport_id, dest_iata, path (array of IATA codes), hops and copies,
+    the product of the parallel routes along the path. The cycle test is on
+    IATA text with SQL ``= ANY`` semantics: a null code (in the path or the
+    candidate) stops extension.
     """
-    edges = routes.select(F.col("origin_airport_id").alias("_src"),
-                          F.col("destination_airport_id").alias("_dst"))
-    if dedupe_edges:
-        edges = edges.distinct()
-    # attach the destination code to every edge once; each hop is then a
-    # single equi-join of the frontier with this table
-    ap = airports.select(F.col("airport_id").alias("_dst"), F.col("iata_code").alias("_dst_iata"))
-    edges = edges.join(ap, "_dst")
-    s = start.select(F.col("airport_id").alias("_src"), F.col("iata_code").alias("origin_iata"))
-    level = (s.join(edges, "_src")
-              .select("origin_iata", F.col("_dst").alias("dest_airport_id"),
-                      F.col("_dst_iata").alias("dest_iata"),
-                      F.array(F.col("origin_iata"), F.col("_dst_iata")).alias("path"),
-                      F.lit(1).alias("hops")))
-    levels = [level]
-    for h in range(2, max_hops + 1):
-        nxt = (level.withColumnRenamed("dest_airport_id", "_src").drop("dest_iata")
-                    .join(edges, "_src"))
-        fresh = F.coalesce(~F.array_contains(F.col("path"), F.col("_dst_iata")), F.lit(False))
-        level = (nxt.filter(fresh)
-                    .select("origin_iata", F.col("_dst").alias("dest_airport_id"),
-                            F.col("_dst_iata").alias("dest_iata"),
-                            F.array_append(F.col("path"), F.col("_dst_iata")).alias("path"),
-                            F.lit(h).alias("hops")))
+    edges = legs(routes, airports)
+    level = start.select(F.col("airport_id").alias("dest_airport_id"), F.col("iata_code").alias("origin_iata"),
+                         F.array("iata_code").alias("path"), F.lit(1).cast("bigint").alias("copies"))
+    levels = []
+    for h in range(1, max_hops + 1):
+        nxt = level.withColumnRenamed("dest_airport_id", "_src").join(edges, "_src")
+        if h > 1:  # the first hop has no test: a route is never a loop
+            nxt = nxt.filter(F.coalesce(~F.array_contains(F.col("path"), F.col("_dst_iata")), F.lit(False)))
+        level = nxt.select("origin_iata", F.col("_dst").alias("dest_airport_id"), F.col("_dst_iata").alias("dest_iata"),
+                           F.array_append(F.col("path"), F.col("_dst_iata")).alias("path"),
+                           (F.col("copies") * F.col("_n")).alias("copies"), F.lit(h).alias("hops"))
         levels.append(level)
-    return reduce(DataFrame.unionByName, levels)
+    return levels
+
+
+def paths_from(start: DataFrame, routes: DataFrame, airports: DataFrame, max_hops: int = 3) -> DataFrame:
+    """All simple paths of 1..max_hops legs, each once, with ``copies``."""
+    return reduce(DataFrame.unionByName, path_levels(start, routes, airports, max_hops))
 
 
 def _start(routes, airports):
@@ -74,15 +75,25 @@ def _start(routes, airports):
 
 def connectivity_3hop(routes: DataFrame, airports: DataFrame, limit: int = 200) -> DataFrame:
     """A-16: distinct (origin, destination, hops, path) reachable from the
-    busiest origin within 3 hops; order hops, destination, path."""
-    p = paths_from(_start(routes, airports), routes, airports, 3, dedupe_edges=True)
-    out = p.select("origin_iata", "dest_iata", "hops",
-                   F.array_join("path", ">").alias("path")).distinct()
-    return out.orderBy("hops", "dest_iata", "path").limit(limit)
+    busiest origin within 3 hops; order hops, destination, path.
+
+    Each number of hops keeps its first ``limit`` before they meet."""
+    tops = []
+    for level in path_levels(_start(routes, airports), routes, airports, 3):
+        text = level.select("origin_iata", "dest_iata", "hops", F.array_join("path", ">").alias("path")).distinct()
+        tops.append(text.orderBy("dest_iata", "path").limit(limit))
+    return reduce(DataFrame.unionByName, tops).orderBy("hops", "dest_iata", "path").limit(limit)
 
 
 def multihop_paths(routes: DataFrame, airports: DataFrame, limit: int = 50) -> DataFrame:
-    """A-17: every path (parallel routes repeat it), deepest first."""
-    p = paths_from(_start(routes, airports), routes, airports, 3, dedupe_edges=False)
-    out = p.select("origin_iata", "dest_iata", "hops", F.array_join("path", ">").alias("path"))
-    return out.orderBy(F.col("hops").desc(), "dest_iata", "path").limit(limit)
+    """A-17: every path (parallel routes repeat it), deepest first.
+
+    A path counts at least once, so the first ``limit`` distinct ones hold the
+    first ``limit`` repeated ones; only those are written out."""
+    tops = []
+    for level in path_levels(_start(routes, airports), routes, airports, 3):
+        text = level.select("origin_iata", "dest_iata", "hops", F.array_join("path", ">").alias("path"), "copies")
+        tops.append(text.orderBy("dest_iata", "path").limit(limit))
+    top = reduce(DataFrame.unionByName, tops).orderBy(F.col("hops").desc(), "dest_iata", "path").limit(limit)
+    each = top.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.least("copies", F.lit(limit).cast("bigint")))))
+    return each.select("origin_iata", "dest_iata", "hops", "path").orderBy(F.col("hops").desc(), "dest_iata", "path").limit(limit)

@@ -11,27 +11,27 @@ from __future__ import annotations
 VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "airlines": ("""
 select cast(n_nationkey as bigint) as airline_id, n_name as name,
-       concat('N', lpad(cast(n_nationkey as string), 2, '0')) as iata_code,
-       concat('A', lpad(cast(n_nationkey as string), 2, '0')) as icao_code,
+       concat('N', lpad(cast(n_nationkey as string), greatest(2, cast(length(cast(n_nationkey as string)) as int)), '0')) as iata_code,
+       concat('A', lpad(cast(n_nationkey as string), greatest(2, cast(length(cast(n_nationkey as string)) as int)), '0')) as icao_code,
        r_name as country
 from nation join region on n_regionkey = r_regionkey""", ()),
     "airports": ("""
 select s_suppkey as airport_id,
-       concat('S', lpad(cast(s_suppkey as string), 4, '0')) as iata_code,
-       concat('K', lpad(cast(s_suppkey as string), 4, '0')) as icao_code,
-       s_name as name,
+       concat('S', lpad(cast(s_suppkey as string), greatest(4, cast(length(cast(s_suppkey as string)) as int)), '0')) as iata_code,
+       concat('K', lpad(cast(s_suppkey as string), greatest(4, cast(length(cast(s_suppkey as string)) as int)), '0')) as icao_code,
+       s_name as name, concat('Country ', cast(s_nationkey as string)) as country,
        case when s_suppkey % 17 = 16 then null else cast((s_suppkey * 37) % 181 - 90 as decimal(8,5)) end as latitude,
        case when s_suppkey % 17 = 16 then null else cast((s_suppkey * 73) % 361 - 180 as decimal(8,5)) end as longitude
 from supplier""", ()),
     "od": ("""
-select l_orderkey, min(l_suppkey) as lo, max(l_suppkey) as hi
+select l_orderkey, min(l_suppkey) as lo, max(l_suppkey) as hi, min(l_partkey) as part
 from lineitem group by l_orderkey having min(l_suppkey) <> max(l_suppkey)""", ()),
     "flights_base": ("""
 select o_orderkey as flight_id, o_orderkey % 25 as airline_id,
        case when o_orderkey % 2 = 0 then lo else hi end as origin_airport_id,
        case when o_orderkey % 2 = 0 then hi else lo end as destination_airport_id,
-       concat('N', lpad(cast(o_orderkey % 25 as string), 2, '0'), lpad(cast(o_orderkey % 9999 as string), 4, '0')) as flight_number,
-       cast(o_orderdate as date) as flight_date,
+       concat('N', lpad(cast(o_orderkey % 25 as string), greatest(2, cast(length(cast(o_orderkey % 25 as string)) as int)), '0'), lpad(cast(o_orderkey % 9999 as string), greatest(4, cast(length(cast(o_orderkey % 9999 as string)) as int)), '0')) as flight_number,
+       cast(o_orderdate as date) as flight_date, case when o_orderkey % 9 <> 4 then part end as aircraft_id,
        cast(case when o_orderkey % 50 = 49 then null
             when o_orderpriority = '4-NOT SPECIFIED' then 60 + o_orderkey % 241
             when o_orderpriority = '1-URGENT' then 0
@@ -45,15 +45,12 @@ select row_number() over (order by airline_id, origin_airport_id, destination_ai
 from (select distinct airline_id, origin_airport_id, destination_airport_id from flights_base) t""",
                ("flights_base",)),
     "flights": ("""
-select f.flight_id, f.airline_id, r.route_id, f.origin_airport_id, f.destination_airport_id,
+select f.flight_id, f.airline_id, f.aircraft_id, r.route_id, f.origin_airport_id, f.destination_airport_id,
        f.flight_number, f.flight_date, f.delay_minutes, f.status
 from flights_base f left join routes r
   on r.airline_id = f.airline_id and r.origin_airport_id = f.origin_airport_id
  and r.destination_airport_id = f.destination_airport_id and f.flight_id % 40 <> 0""",
                 ("flights_base", "routes")),
-    "net_routes": ("""
-select distinct airline_id, origin_airport_id, destination_airport_id
-from flights_base where flight_id % 97 = 0""", ("flights_base",)),
     "passengers": ("""
 select c_custkey as passenger_id, c_name as first_name,
        concat(lower(c_name), '@example.com') as email
@@ -87,19 +84,61 @@ select o_orderkey as miles_txn_id, loyalty_id, o_orderkey as flight_id,
        case o_orderstatus when 'P' then 'REDEEM' when 'F' then 'EARN' else 'ADJUST' end as txn_type,
        cast(case when o_orderstatus = 'P' then -1 else 1 end * floor(o_totalprice / 15) as int) as miles_delta,
        o_orderdate as posted_at
-from orders join loyalty_accounts on passenger_id = o_custkey
-where o_orderkey % 3 <> 0""", ("loyalty_accounts",)),
+from orders join loyalty_accounts on passenger_id = o_custkey""", ("loyalty_accounts",)),
     "flight_performance": ("""
 select cast(year(l_shipdate) as int) as year, cast(month(l_shipdate) as int) as month,
-       concat('N', lpad(cast(s_nationkey as string), 2, '0')) as airline_iata,
-       concat('S', lpad(cast(l_suppkey as string), 4, '0')) as airport_iata,
+       concat('N', lpad(cast(s_nationkey as string), greatest(2, cast(length(cast(s_nationkey as string)) as int)), '0')) as airline_iata,
+       concat('S', lpad(cast(l_suppkey as string), greatest(4, cast(length(cast(l_suppkey as string)) as int)), '0')) as airport_iata,
        cast(count(*) as int) as arrivals,
        cast(sum(case when l_returnflag = 'R' then 1 else 0 end) as int) as arrivals_delayed_15min,
        cast(sum(case when l_returnflag = 'A' and l_linestatus = 'F' then 1 else 0 end) as int) as arr_cancelled,
        cast(sum(case when l_returnflag = 'N' and l_linenumber = 1 then 1 else 0 end) as int) as arr_diverted,
-       sum(l_quantity) as total_arrival_delay_min
+       sum(l_quantity) as total_arrival_delay_min,
+       sum(case when l_linenumber % 5 = 0 then l_quantity else 0 end) as carrier_delay,
+       sum(case when l_linenumber % 5 = 1 then l_quantity else 0 end) as weather_delay,
+       sum(case when l_linenumber % 5 = 2 then l_quantity else 0 end) as nas_delay,
+       sum(case when l_linenumber % 5 = 3 then l_quantity else 0 end) as security_delay,
+       sum(case when l_linenumber % 5 = 4 then l_quantity else 0 end) as late_aircraft_delay
 from lineitem join supplier on l_suppkey = s_suppkey
 group by 1, 2, 3, 4""", ()),
+    "aircraft": ("""
+select p_partkey as aircraft_id, p_brand as manufacturer, p_type as model, p_size as seat_capacity,
+       case when p_partkey % 10 <> 0 then concat('T', cast(p_partkey as string)) end as tail_number
+from part""", ()),
+    "flight_changes": ("""
+select l_orderkey * 8 + l_linenumber as change_id, l_orderkey as flight_id,
+       case when l_linenumber % 2 = 0 then l_partkey end as old_aircraft_id,
+       case when l_orderkey % 139 = 0 then -3 else l_partkey end as new_aircraft_id,
+       l_shipdate as changed_at
+from lineitem where l_returnflag = 'R'""", ()),
+    "airports_checked": ("""
+select d.airport_id, d.iata_code, a.icao_code, case when d.airport_id % 23 <> 5 then d.name end as name, d.latitude,
+       case when d.airport_id % 19 = 0 then 200.0 else 20.0 end as longitude
+from airports_dirty d join airports a on a.airport_id = d.airport_id""", ("airports_dirty", "airports")),
+    "routes_checked": ("""
+select *, cast(case when route_id % 7 = 3 then -1 when route_id % 5 > 0 then route_id % 3000 end as int) as distance_nm
+from routes""", ("routes",)),
+    "flights_checked": ("""
+select o.flight_id, o.airline_id, o.origin_airport_id, o.destination_airport_id, o.delay_minutes, o.status,
+       case when f.flight_id % 131 = 0 then -2 else f.aircraft_id end as aircraft_id, f.route_id, f.flight_number,
+       f.flight_date, cast(f.flight_date as timestamp) + to_hours(cast(5 + f.flight_id % 18 as int)) as scheduled_departure_utc,
+       case when f.flight_id % 137 <> 0 then cast(f.flight_date as timestamp)
+         + to_hours(cast(7 + f.flight_id % 21 as int)) end as scheduled_arrival_utc
+from flights_orphan o join flights f on f.flight_id = o.flight_id""", ("flights_orphan", "flights")),
+    "passengers_checked": ("""
+select c_custkey as passenger_id, c_name as first_name, nullif(c_mktsegment, 'MACHINERY') as last_name,
+       concat(lower(c_name), '@example.com') as email, timestamp '1995-01-01' + to_days(cast(c_custkey % 900 as int)) as created_at
+from customer""", ()),
+    "payments_checked": ("""
+select o.payment_id, o.booking_id, o.amount_usd, o.status,
+       case when p.payment_id % 149 = 0 then 'Barter' else p.method end as method, p.paid_at
+from payments_orphan o join payments p on p.payment_id = o.payment_id""", ("payments_orphan", "payments")),
+    "loyalty_checked": ("""
+select *, case when loyalty_id % 29 <> 0 then timestamp '1996-01-01' + to_days(cast(loyalty_id % 700 as int)) end as enrolled_at
+from loyalty_accounts""", ("loyalty_accounts",)),
+    "performance_checked": ("""
+select *, concat(cast(year as string), '-', cast(month as string), '-', airline_iata, '-', airport_iata) as snapshot_id
+from flight_performance""", ("flight_performance",)),
     "airports_dirty": ("""
 select s_suppkey as airport_id,
        case s_suppkey % 10 when 0 then '' when 1 then ' ' when 2 then 'NA' when 3 then concat(chr(92), 'N')

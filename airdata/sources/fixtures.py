@@ -29,7 +29,9 @@ from airdata.sources.tables import scan_table
 
 
 def _pad(col, width):
-    return F.lpad(col.cast("string"), width, "0")
+    """Zero-padded to ``width``; longer numbers stay whole, so codes never repeat."""
+    text = col.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
 
 
 class Fixtures:
@@ -56,7 +58,7 @@ class Fixtures:
 
     @cached_property
     def airports(self) -> DataFrame:
-        s = self.table("supplier", ["s_suppkey", "s_name"])
+        s = self.table("supplier", ["s_suppkey", "s_name", "s_nationkey"])
         k = F.col("s_suppkey")
         hole = (k % 17) == 16
         return s.select(
@@ -64,15 +66,17 @@ class Fixtures:
             F.concat(F.lit("S"), _pad(k, 4)).alias("iata_code"),
             F.concat(F.lit("K"), _pad(k, 4)).alias("icao_code"),
             F.col("s_name").alias("name"),
+            F.concat(F.lit("Country "), F.col("s_nationkey").cast("string")).alias("country"),
             F.when(~hole, ((k * 37) % 181 - 90).cast("decimal(8,5)")).alias("latitude"),
             F.when(~hole, ((k * 73) % 361 - 180).cast("decimal(8,5)")).alias("longitude"))
 
     # ----------------------------------------------------------------- facts
     @cached_property
     def od(self) -> DataFrame:
-        li = self.table("lineitem", ["l_orderkey", "l_suppkey"])
+        li = self.table("lineitem", ["l_orderkey", "l_suppkey", "l_partkey"])
         return (li.groupBy("l_orderkey")
-                  .agg(F.min("l_suppkey").alias("lo"), F.max("l_suppkey").alias("hi"))
+                  .agg(F.min("l_suppkey").alias("lo"), F.max("l_suppkey").alias("hi"),
+                       F.min("l_partkey").alias("part"))
                   .filter(F.col("lo") != F.col("hi")))
 
     @cached_property
@@ -97,6 +101,7 @@ class Fixtures:
                          F.when(even, F.col("hi")).otherwise(F.col("lo")).alias("destination_airport_id"),
                          F.concat(F.lit("N"), _pad(k % 25, 2), _pad(k % 9999, 4)).alias("flight_number"),
                          F.col("o_orderdate").cast("date").alias("flight_date"),
+                         F.when((k % 9) != 4, F.col("part")).alias("aircraft_id"),
                          delay.alias("delay_minutes"),
                          status.alias("status")))
 
@@ -115,16 +120,10 @@ class Fixtures:
                 & (F.col("r.destination_airport_id") == F.col("f.destination_airport_id"))
                 & ((F.col("f.flight_id") % 40) != 0))
         return f.join(r, cond, "left").select(
-            "f.flight_id", "f.airline_id", "r.route_id", "f.origin_airport_id",
+            "f.flight_id", "f.airline_id", "f.aircraft_id", "r.route_id", "f.origin_airport_id",
             "f.destination_airport_id", "f.flight_number", "f.flight_date",
             "f.delay_minutes", "f.status")
 
-    @cached_property
-    def net_routes(self) -> DataFrame:
-        return (self.flights_base.filter((F.col("flight_id") % 97) == 0)
-                    .select("airline_id", "origin_airport_id", "destination_airport_id")
-                    .distinct())
-
     @cached_property
     def passengers(self) -> DataFrame:
         c = self.table("customer", ["c_custkey", "c_name"])
@@ -192,8 +191,7 @@ class Fixtures:
         la = self.loyalty_accounts.select("loyalty_id", "passenger_id")
         st = F.col("o_orderstatus")
         sign = F.when(st == "P", F.lit(-1)).otherwise(F.lit(1))
-        return (o.filter((F.col("o_orderkey") % 3) != 0)
-                 .join(la, o.o_custkey == la.passenger_id)
+        return (o.join(la, o.o_custkey == la.passenger_id)
                  .select(F.col("o_orderkey").alias("miles_txn_id"), "loyalty_id",
                          F.col("o_orderkey").alias("flight_id"),
                          F.when(st == "P", "REDEEM").when(st == "F", "EARN")
@@ -211,6 +209,9 @@ class Fixtures:
         def count_if(cond):
             return F.sum(F.when(cond, 1).otherwise(0)).cast("int")
 
+        def minutes(line):
+            return F.sum(F.when((F.col("l_linenumber") % 5) == line, F.col("l_quantity")).otherwise(F.lit(0.0)))
+
         return (li.join(s, li.l_suppkey == s.s_suppkey)
                   .groupBy(F.year("l_shipdate").cast("int").alias("year"),
                            F.month("l_shipdate").cast("int").alias("month"),
@@ -220,7 +221,77 @@ class Fixtures:
                        count_if(flag == "R").alias("arrivals_delayed_15min"),
                        count_if((flag == "A") & (F.col("l_linestatus") == "F")).alias("arr_cancelled"),
                        count_if((flag == "N") & (F.col("l_linenumber") == 1)).alias("arr_diverted"),
-                       F.sum("l_quantity").alias("total_arrival_delay_min")))
+                       F.sum("l_quantity").alias("total_arrival_delay_min"),
+                       minutes(0).alias("carrier_delay"), minutes(1).alias("weather_delay"),
+                       minutes(2).alias("nas_delay"), minutes(3).alias("security_delay"),
+                       minutes(4).alias("late_aircraft_delay")))
+
+    @cached_property
+    def aircraft(self) -> DataFrame:
+        p = self.table("part", ["p_partkey", "p_brand", "p_type", "p_size"])
+        k = F.col("p_partkey")
+        return p.select(k.alias("aircraft_id"), F.col("p_brand").alias("manufacturer"), F.col("p_type").alias("model"),
+                        F.col("p_size").alias("seat_capacity"),
+                        F.when((k % 10) != 0, F.concat(F.lit("T"), k.cast("string"))).alias("tail_number"))
+
+    @cached_property
+    def flight_changes(self) -> DataFrame:
+        """The returned lines of an order, as changes of its flight's aircraft."""
+        li = self.table("lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_returnflag"])
+        line, part = F.col("l_linenumber"), F.col("l_partkey")
+        return li.filter(F.col("l_returnflag") == "R").select(
+            (F.col("l_orderkey") * 8 + line).alias("change_id"), F.col("l_orderkey").alias("flight_id"),
+            F.when((line % 2) == 0, part).alias("old_aircraft_id"),
+            F.when((F.col("l_orderkey") % 139) == 0, F.lit(-3).cast("bigint")).otherwise(part).alias("new_aircraft_id"),
+            F.col("l_shipdate").alias("changed_at"))
+
+    # ------------------------------------- tables with all declared columns
+    @cached_property
+    def airports_checked(self) -> DataFrame:
+        k = F.col("airport_id")
+        return (self.airports_dirty.join(self.airports.select("airport_id", "icao_code"), "airport_id")
+                .withColumn("name", F.when((k % 23) != 5, F.col("name")))
+                .withColumn("longitude", F.when((k % 19) == 0, F.lit(200.0)).otherwise(F.lit(20.0))))
+
+    @cached_property
+    def routes_checked(self) -> DataFrame:
+        k = F.col("route_id")
+        return self.routes.withColumn("distance_nm", F.when((k % 7) == 3, F.lit(-1).cast("bigint"))
+                                      .when((k % 5) > 0, k % 3000).cast("int"))
+
+    @cached_property
+    def flights_checked(self) -> DataFrame:
+        k, day = F.col("flight_id"), F.col("flight_date").cast("timestamp_ntz")
+        more = self.flights.select(
+            "flight_id", F.when((k % 131) == 0, F.lit(-2).cast("bigint")).otherwise(F.col("aircraft_id")).alias("aircraft_id"),
+            "route_id", "flight_number", "flight_date",
+            (day + F.make_dt_interval(F.lit(0), (5 + k % 18).cast("int"))).alias("scheduled_departure_utc"),
+            F.when((k % 137) != 0, day + F.make_dt_interval(F.lit(0), (7 + k % 21).cast("int"))).alias("scheduled_arrival_utc"))
+        return self.flights_orphan.join(more, "flight_id")
+
+    @cached_property
+    def passengers_checked(self) -> DataFrame:
+        c = self.table("customer", ["c_custkey", "c_name", "c_mktsegment"])
+        since = F.lit("1995-01-01").cast("timestamp_ntz") + F.make_dt_interval((F.col("c_custkey") % 900).cast("int"))
+        return c.select(F.col("c_custkey").alias("passenger_id"), F.col("c_name").alias("first_name"),
+                        F.nullif(F.col("c_mktsegment"), F.lit("MACHINERY")).alias("last_name"),
+                        F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"), since.alias("created_at"))
+
+    @cached_property
+    def payments_checked(self) -> DataFrame:
+        more = self.payments.select("payment_id", "paid_at", F.when((F.col("payment_id") % 149) == 0, F.lit("Barter"))
+                                    .otherwise(F.col("method")).alias("method"))
+        return self.payments_orphan.join(more, "payment_id")
+
+    @cached_property
+    def loyalty_checked(self) -> DataFrame:
+        k = F.col("loyalty_id")
+        since = F.lit("1996-01-01").cast("timestamp_ntz") + F.make_dt_interval((k % 700).cast("int"))
+        return self.loyalty_accounts.withColumn("enrolled_at", F.when((k % 29) != 0, since))
+
+    @cached_property
+    def performance_checked(self) -> DataFrame:
+        return self.flight_performance.withColumn("snapshot_id", F.concat_ws("-", "year", "month", "airline_iata", "airport_iata"))
 
     # ------------------------------------------------------- dirty fixtures
     @cached_property
