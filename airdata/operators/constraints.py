@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airdata.schema import Check, Domain, ForeignKey, NotNull, Unique
@@ -93,91 +93,50 @@ def check_foreign_key(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> Da
     return missing.select(*_row(fk.name, fk.child, "FOREIGN KEY", F.col("_v")))
 
 
-def _key_text(cols) -> Column:
-    """One comparable text value for a (possibly composite) key; positional
-    field names so child and parent keys of the same types render alike."""
-    return F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)]))
+def foreign_keys_of(child: DataFrame, parents: dict[str, DataFrame], foreign_keys) -> DataFrame:
+    """V-06 for all foreign keys of one child table in one scan of it.
 
-
-def _with_zeros(found: DataFrame, declared, ctype: str) -> DataFrame:
-    """Every declared check gets a row; checks without violations get 0."""
-    spark = found.sparkSession
-    decl = spark.createDataFrame(list(declared), "check_name string, table_name string")
-    return (decl.join(found, ["check_name", "table_name"], "left")
-                .select("check_name", "table_name", F.lit(ctype).alias("constraint_type"),
-                        F.coalesce(F.col("violations"), F.lit(0)).cast("bigint").alias("violations")))
-
-
-def uniques_in_one_pass(tables: dict[str, DataFrame], uniques) -> DataFrame:
-    """V-04/V-05 for many constraints in one aggregation: every checked key
-    (as text, tagged with its constraint) is counted once; keys seen more
-    than once are violations."""
-    parts = []
-    for u in uniques:
-        d = tables[u.table]
-        for c in set(u.columns) | set(u.where_not_null):
-            d = d.filter(F.col(c).isNotNull())
-        parts.append(d.select(F.lit(u.name).alias("check_name"), F.lit(u.table).alias("table_name"),
-                              _key_text(u.columns).alias("_k")))
-    rows = reduce(DataFrame.unionByName, parts)
-    found = (rows.groupBy("check_name", "table_name", "_k").agg(F.count(F.lit(1)).alias("_c"))
-                 .filter(F.col("_c") > 1)
-                 .groupBy("check_name", "table_name").agg(F.count(F.lit(1)).alias("violations")))
-    return _with_zeros(found, [(u.name, u.table) for u in uniques], "UNIQUE")
-
-
-def foreign_keys_in_one_pass(tables: dict[str, DataFrame], foreign_keys) -> DataFrame:
-    """V-06 for many constraints at once: child keys (non-null) are counted
-    per distinct value and constraint, then one anti join against all parent
-    keys tagged by constraint."""
-    child, parent = [], []
-    for fk in foreign_keys:
-        c = tables[fk.child]
-        for col in fk.columns:
-            c = c.filter(F.col(col).isNotNull())
-        child.append(c.select(F.lit(fk.name).alias("check_name"), F.lit(fk.child).alias("table_name"),
-                              _key_text(fk.columns).alias("_k")))
-        parent.append(tables[fk.parent].select(F.lit(fk.name).alias("check_name"),
-                                               _key_text(fk.parent_columns).alias("_k")))
-    per_key = (reduce(DataFrame.unionByName, child)
-               .groupBy("check_name", "table_name", "_k").agg(F.count(F.lit(1)).alias("_c")))
-    keys = reduce(DataFrame.unionByName, parent)
-    found = (per_key.join(keys, ["check_name", "_k"], "left_anti")
-                    .groupBy("check_name", "table_name").agg(F.sum("_c").alias("violations")))
-    return _with_zeros(found, [(fk.name, fk.child) for fk in foreign_keys], "FOREIGN KEY")
+    Every (constraint, key) of a row is one typed row, counted before the
+    shuffle; only distinct keys meet the parent keys in one anti join. The keys
+    must be of one type and one column.
+    """
+    kind = child.schema[foreign_keys[0].columns[0]].dataType
+    pairs = F.array(*[F.struct(F.lit(i).alias("_fk"), F.col(fk.columns[0]).cast(kind).alias("_k"))
+                      for i, fk in enumerate(foreign_keys)])
+    per_key = (child.select(F.explode(pairs).alias("p")).select("p._fk", "p._k")
+                    .filter(F.col("_k").isNotNull()).groupBy("_fk", "_k").agg(F.count(F.lit(1)).alias("_c")))
+    keys = reduce(DataFrame.unionByName, [
+        parents[fk.parent].select(F.lit(i).alias("_fk"), F.col(fk.parent_columns[0]).cast(kind).alias("_k"))
+        for i, fk in enumerate(foreign_keys)])
+    missing = per_key.join(keys, ["_fk", "_k"], "left_anti").agg(*[
+        F.sum(F.when(F.col("_fk") == i, F.col("_c"))).alias(f"_v{i}") for i in range(len(foreign_keys))])
+    rows = F.explode(F.array(*[F.struct(*_row(fk.name, fk.child, "FOREIGN KEY", F.col(f"_v{i}")))
+                               for i, fk in enumerate(foreign_keys)]))
+    return missing.select(rows.alias("r")).select("r.*")
 
 
 def constraint_report(tables: dict[str, DataFrame], not_null=(), checks=(), uniques=(),
                       foreign_keys=(), domains=()) -> DataFrame:
-    """V-09: one row per declared constraint whose tables (and columns) are
-    present, with its violation count. Row-local checks take one pass per
-    table, all uniqueness checks one aggregation, all foreign keys one anti
-    join."""
-    frames = []
-    by_table: dict[str, list] = {}
-    for c in list(not_null) + list(checks) + list(domains):
-        df = tables.get(c.table)
-        if df is None:
-            continue
-        needed = [c.column] if hasattr(c, "column") else []
-        if isinstance(c, Check):
-            try:
-                df.select(F.expr(c.predicate))
-            except Exception:  # noqa: BLE001 - predicate refers to absent columns
-                continue
-        if all(n in df.columns for n in needed):
-            by_table.setdefault(c.table, []).append(c)
+    """V-09: one row per declared constraint with its violation count.
+
+    Row-local checks take one pass per table, a unique key one aggregation by
+    its own typed columns, the foreign keys of a table one scan of it. A
+    constraint whose table or column is absent is an error of the caller."""
+    frames, by_table, by_child = [], {}, {}
+    for c in [*not_null, *checks, *domains]:
+        by_table.setdefault(c.table, []).append(c)
     for t, cs in by_table.items():
         frames.append(row_local_checks(tables[t], t, cs))
-    us = [u for u in uniques if u.table in tables
-          and all(c in tables[u.table].columns for c in u.columns)]
-    if us:
-        frames.append(uniques_in_one_pass(tables, us))
-    fks = [fk for fk in foreign_keys if fk.child in tables and fk.parent in tables
-           and all(x in tables[fk.child].columns for x in fk.columns)
-           and all(x in tables[fk.parent].columns for x in fk.parent_columns)]
-    if fks:
-        frames.append(foreign_keys_in_one_pass(tables, fks))
+    for u in uniques:
+        frames.append(check_unique(tables[u.table], u))
+    for fk in foreign_keys:
+        if len(fk.columns) > 1:
+            frames.append(check_foreign_key(tables[fk.child], tables[fk.parent], fk))
+        else:
+            kind = tables[fk.child].schema[fk.columns[0]].dataType.simpleString()
+            by_child.setdefault((fk.child, kind), []).append(fk)
+    for (child, _), fks in by_child.items():
+        frames.append(foreign_keys_of(tables[child], tables, fks))
     return _report(frames)
 
 

@@ -18,12 +18,12 @@ from airdata.operators import constraints as V
 from airdata.plans.registry import query
 from airdata.plans.views_sql import with_views as W
 
-# logical table -> fixture view used for the checks
+# logical table -> fixture view that has every column a constraint names
 CHECK_VIEWS = {
-    "airports": "airports_dirty", "airlines": "airlines", "routes": "routes",
-    "flights": "flights_orphan", "passengers": "passengers", "bookings": "bookings",
-    "payments": "payments_orphan", "loyalty_accounts": "loyalty_accounts",
-    "miles_transactions": "miles_transactions", "flight_performance": "flight_performance",
+    "airports": "airports_checked", "airlines": "airlines", "aircraft": "aircraft", "routes": "routes_checked",
+    "flights": "flights_checked", "flight_changes": "flight_changes", "passengers": "passengers_checked",
+    "bookings": "bookings", "payments": "payments_checked", "loyalty_accounts": "loyalty_checked",
+    "miles_transactions": "miles_transactions", "flight_performance": "performance_checked",
     "multikey": "multikey_candidates",
 }
 
@@ -85,27 +85,10 @@ def _views_for(items):
     return sorted(names)
 
 
-# The subsets that apply to the columns the fixtures carry.
-NN = tuple(c for c in S.NOT_NULL
-           if c.table in ("flights", "payments", "bookings", "loyalty_accounts")
-           and (c.table, c.column) not in {("flights", "flight_number"), ("flights", "flight_date"),
-                                           ("payments", "method"), ("payments", "paid_at")})
-RANGE = (S.Check("airports", "chk_airports_lat", "latitude BETWEEN -90 AND 90"),
-         S.Check("bookings", "chk_bookings_price", "base_price_usd >= 0"),
-         S.Check("payments", "chk_payments_amount", "amount_usd >= 0"),
-         S.Check("loyalty_accounts", "chk_loyalty_balance", "miles_balance >= 0"))
-CROSS = (S.Check("routes", "chk_routes_origin_dest", "origin_airport_id <> destination_airport_id"),
-         S.Check("flights", "chk_flights_origin_dest", "origin_airport_id <> destination_airport_id"))
-UNIQ = (S.Unique("airports", ("iata_code",), "uq_airports_iata_raw"),
-        S.Unique("flights", ("flight_id",), "pk_flights"),
-        S.Unique("bookings", ("passenger_id", "flight_id"), "uq_bookings_passenger_flight", ("flight_id",)),
-        S.Unique("loyalty_accounts", ("passenger_id",), "uq_loyalty_passenger"),
-        S.Unique("flight_performance", ("year", "month", "airline_iata", "airport_iata"), "uq_fp"))
-FKS = tuple(fk for fk in S.FOREIGN_KEYS if fk.name in (
-    "fk_flights_airline", "fk_flights_origin_airport", "fk_flights_destination_airport",
-    "fk_bookings_passenger", "fk_bookings_flight", "fk_payments_booking", "fk_loyalty_passenger",
-    "fk_miles_loyalty", "fk_fp_airline"))
-DOMS = tuple(d for d in S.DOMAINS if d.name != "dom_payment_method")
+# Every declared constraint; a CHECK that names two columns compares them.
+NN, UNIQ, FKS, DOMS = S.NOT_NULL, S.UNIQUES, S.FOREIGN_KEYS, S.DOMAINS
+CROSS = tuple(c for c in S.CHECKS if c.name in ("chk_routes_origin_dest", "chk_flights_sched", "chk_flights_origin_dest"))
+RANGE = tuple(c for c in S.CHECKS if c not in CROSS)
 
 
 def _local(fx, items, fn):
@@ -182,6 +165,7 @@ def _fk_actions(fx):
     from pyspark.sql import functions as F
     gone_pax = fx.passengers.filter(F.col("passenger_id") % 7 == 0).select("passenger_id")
     gone_flights = fx.flights_base.filter(F.col("flight_id") % 11 == 0).select("flight_id")
+    gone_lines = fx.airlines.filter(F.col("airline_id") % 5 == 0).select("airline_id")
     b0, p0, l0, m0 = fx.bookings, fx.payments, fx.loyalty_accounts, fx.miles_transactions
     b1 = V.apply_fk_action(gone_pax, b0, _FK["fk_bookings_passenger"])
     gone_b = b0.join(b1.select("booking_id"), "booking_id", "left_anti").select("booking_id")
@@ -204,7 +188,12 @@ def _fk_actions(fx):
     return reduce(DataFrame.unionByName, [summary("bookings", b0, b2, "flight_id"),
                            summary("payments", p0, p1, "booking_id"),
                            summary("loyalty_accounts", l0, l1, "passenger_id"),
-                           summary("miles_transactions", m0, m2, "flight_id")])
+                           summary("miles_transactions", m0, m2, "flight_id"),
+                           # RESTRICT: nothing is deleted, the rows that forbid it are counted
+                           V.restrict_violations(gone_lines, fx.flights_base, _FK["fk_flights_airline"])
+                            .agg(F.count(F.lit(1)).alias("rows_after"))
+                            .select(F.lit("flights (restricting)").alias("table_name"), "rows_after",
+                                    F.lit(0).cast("bigint").alias("rows_removed"), F.lit(0).cast("bigint").alias("keys_nulled"))])
 
 
 _FK_ACTIONS_SQL = """
@@ -226,7 +215,8 @@ UNION ALL SELECT 'payments', count(*), (SELECT count(*) FROM payments) - count(*
 UNION ALL SELECT 'loyalty_accounts', count(*), (SELECT count(*) FROM loyalty_accounts) - count(*),
        count(*) FILTER (WHERE passenger_id IS NULL) FROM l1
 UNION ALL SELECT 'miles_transactions', count(*), (SELECT count(*) FROM miles_transactions) - count(*),
-       count(*) FILTER (WHERE flight_id IS NULL) FROM m2"""
+       count(*) FILTER (WHERE flight_id IS NULL) FROM m2
+UNION ALL SELECT 'flights (restricting)', count(*), 0, 0 FROM flights_base WHERE airline_id % 5 = 0"""
 
 
 @query("apply_fk_action", "V-08", W(_FK_ACTIONS_SQL, "passengers", "flights_base", "bookings",

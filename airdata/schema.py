@@ -66,15 +66,17 @@ class Domain:
 NOT_NULL = tuple(NotNull(t, c) for t, cols in {
     "airports": ("airport_id", "name"),
     "airlines": ("airline_id", "name"),
+    "aircraft": ("aircraft_id", "model", "seat_capacity"),
     "routes": ("route_id", "airline_id", "origin_airport_id", "destination_airport_id"),
     "flights": ("flight_id", "airline_id", "origin_airport_id", "destination_airport_id",
-                "flight_number", "flight_date", "status"),
-    "passengers": ("passenger_id", "first_name"),
+                "flight_number", "flight_date", "scheduled_departure_utc", "scheduled_arrival_utc", "status"),
+    "flight_changes": ("change_id", "flight_id", "changed_at"),
+    "passengers": ("passenger_id", "first_name", "last_name", "created_at"),
     "bookings": ("booking_id", "passenger_id", "booking_date"),
     "payments": ("payment_id", "booking_id", "amount_usd", "method", "status", "paid_at"),
-    "loyalty_accounts": ("loyalty_id", "passenger_id", "tier", "miles_balance"),
+    "loyalty_accounts": ("loyalty_id", "passenger_id", "tier", "miles_balance", "enrolled_at"),
     "miles_transactions": ("miles_txn_id", "loyalty_id", "txn_type", "miles_delta", "posted_at"),
-    "flight_performance": ("year", "month", "airline_iata", "airport_iata"),
+    "flight_performance": ("snapshot_id", "year", "month", "airline_iata", "airport_iata"),
 }.items() for c in cols)
 
 CHECKS = (
@@ -97,6 +99,9 @@ UNIQUES = (
     Unique("airlines", ("airline_id",), "pk_airlines"),
     Unique("airlines", ("iata_code",), "uq_airlines_iata", ("iata_code",)),
     Unique("airlines", ("icao_code",), "uq_airlines_icao", ("icao_code",)),
+    Unique("aircraft", ("aircraft_id",), "pk_aircraft"),
+    Unique("aircraft", ("tail_number",), "uq_aircraft_tail_number", ("tail_number",)),
+    Unique("flight_changes", ("change_id",), "pk_flight_changes"),
     Unique("routes", ("route_id",), "pk_routes"),
     Unique("routes", ("airline_id", "origin_airport_id", "destination_airport_id"), "uq_routes"),
     Unique("flights", ("flight_id",), "pk_flights"),
@@ -109,6 +114,7 @@ UNIQUES = (
     Unique("loyalty_accounts", ("loyalty_id",), "pk_loyalty"),
     Unique("loyalty_accounts", ("passenger_id",), "uq_loyalty_passenger"),
     Unique("miles_transactions", ("miles_txn_id",), "pk_miles"),
+    Unique("flight_performance", ("snapshot_id",), "pk_flight_performance"),
     Unique("flight_performance", ("year", "month", "airline_iata", "airport_iata"), "uq_fp"),
 )
 
@@ -116,6 +122,10 @@ FOREIGN_KEYS = (
     ForeignKey("flights", ("airline_id",), "airlines", ("airline_id",), "fk_flights_airline", "RESTRICT"),
     ForeignKey("flights", ("origin_airport_id",), "airports", ("airport_id",), "fk_flights_origin_airport", "RESTRICT"),
     ForeignKey("flights", ("destination_airport_id",), "airports", ("airport_id",), "fk_flights_destination_airport", "RESTRICT"),
+    ForeignKey("flights", ("aircraft_id",), "aircraft", ("aircraft_id",), "fk_flights_aircraft", "SET NULL"),
+    ForeignKey("flight_changes", ("flight_id",), "flights", ("flight_id",), "fk_flight_changes_flight", "CASCADE"),
+    ForeignKey("flight_changes", ("old_aircraft_id",), "aircraft", ("aircraft_id",), "fk_flight_changes_old_aircraft", "SET NULL"),
+    ForeignKey("flight_changes", ("new_aircraft_id",), "aircraft", ("aircraft_id",), "fk_flight_changes_new_aircraft", "SET NULL"),
     ForeignKey("flights", ("route_id",), "routes", ("route_id",), "fk_flights_route", "SET NULL"),
     ForeignKey("routes", ("airline_id",), "airlines", ("airline_id",), "fk_routes_airline", "RESTRICT"),
     ForeignKey("routes", ("origin_airport_id",), "airports", ("airport_id",), "fk_routes_origin", "RESTRICT"),
