@@ -5,7 +5,7 @@ Scale notes
 - Orphan counts aggregate the child by its foreign-key value first (partial
   aggregation, so a hot key costs nothing extra) and only the distinct key
   values meet the parent in an anti join.
-- Wide one-row reports are cross joins of one-row aggregates (bounded).
+- Wide one-row reports attach one-row aggregates as scalar subqueries.
 - The exact median (Q-17) uses distributed positions, not a single-buffer
   ``percentile`` aggregate.
 """
@@ -67,10 +67,27 @@ FK_ORPHAN_CHECKS = (
 )
 
 
-def _orphan_row(tables, empty_as_null):
-    parts = [orphan_count(tables[c], fk, tables[p], pk, empty_as_null=empty_as_null)
-             .select(F.col("orphans").alias(name))
-             for name, c, fk, p, pk in FK_ORPHAN_CHECKS]
+def orphan_counts(tables: dict[str, DataFrame], child: str, checks, empty_as_null: bool = False) -> DataFrame:
+    """One row: the orphans of every check of one child table, in one scan of it.
+
+    Each (check, key) of a row is counted before the shuffle; the distinct keys
+    meet the parents' keys in one anti join. A null key has no parent."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(fk).cast("bigint").alias("_k")) for i, (_, _, fk, _, _) in enumerate(checks)])
+    per_key = (tables[child].select(F.explode(pairs).alias("p")).select("p._i", "p._k")
+               .groupBy("_i", "_k").agg(F.count(F.lit(1)).alias("_c")))
+    keys = _union([tables[p].select(F.lit(i).alias("_i"), F.col(pk).cast("bigint").alias("_k"))
+                   for i, (_, _, _, p, pk) in enumerate(checks)]).distinct().withColumn("_has", F.lit(1))
+    lost = F.when(F.col("_has").isNull(), F.col("_c"))
+    if empty_as_null:   # SUM over an empty child is null
+        lost = F.coalesce(lost, F.lit(0))
+    sums = [F.sum(F.when(F.col("_i") == i, lost)) for i in range(len(checks))]
+    joined = per_key.join(keys, ["_i", "_k"], "left")
+    return joined.agg(*[(s if empty_as_null else F.coalesce(s, F.lit(0))).cast("bigint").alias(c[0]) for s, c in zip(sums, checks)])
+
+
+def _orphan_row(tables, empty_as_null, checks=FK_ORPHAN_CHECKS):
+    children = list(dict.fromkeys(c[1] for c in checks))
+    parts = [orphan_counts(tables, t, [c for c in checks if c[1] == t], empty_as_null) for t in children]
     return reduce(with_scalar, parts)
 
 
@@ -114,9 +131,9 @@ def pk_fk_issue_list(tables: dict[str, DataFrame]) -> DataFrame:
     """Q-04: 6 primary-key and 6 foreign-key checks in long format."""
     rows = [duplicate_id_count(tables[t], c).select(F.lit(name).alias("check_name"), "issue_count")
             for name, t, c in PK_CHECKS]
-    rows += [orphan_count(tables[c], fk, tables[p], pk)
-             .select(F.lit(name).alias("check_name"), F.col("orphans").alias("issue_count"))
-             for name, c, fk, p, pk in FK_ISSUE_CHECKS]
+    wide = _orphan_row(tables, False, FK_ISSUE_CHECKS)
+    names = [c[0] for c in FK_ISSUE_CHECKS]
+    rows.append(wide.unpivot([], names, "check_name", "issue_count"))
     return _union(rows)
 
 
@@ -210,18 +227,18 @@ def flights_null_profile(flights: DataFrame) -> DataFrame:
 
 
 def bts_coverage(flight_performance: DataFrame, approx: bool = False) -> DataFrame:
-    """Q-11: span and distinct coverage of the BTS snapshot. Four exact
-    distinct counts make Spark expand every row four times before the
-    shuffle; ``approx=True`` uses HyperLogLog sketches instead (one pass,
-    about 2% error)."""
-    distinct = (lambda c: F.approx_count_distinct(c)) if approx else F.countDistinct
-    return flight_performance.agg(
-        F.min("year").alias("min_year"), F.max("year").alias("max_year"),
-        distinct("year").alias("years_covered"),
-        distinct("month").alias("months_covered"),
-        distinct("airline_iata").alias("airlines_in_bts"),
-        distinct("airport_iata").alias("airports_in_bts"),
-        F.count(F.lit(1)).alias("total_rows"))
+    """Q-11: span and distinct coverage of the BTS snapshot; ``approx=True``
+    uses HyperLogLog sketches instead (one pass, about 2% error)."""
+    columns = (("year", "years_covered"), ("month", "months_covered"),
+               ("airline_iata", "airlines_in_bts"), ("airport_iata", "airports_in_bts"))
+    base = [F.min("year").alias("min_year"), F.max("year").alias("max_year")]
+    if approx:
+        return flight_performance.agg(*base, *[F.approx_count_distinct(c).alias(n) for c, n in columns],
+                                      F.count(F.lit(1)).alias("total_rows"))
+    # a distinct aggregate of its own for each column: rows are not multiplied
+    counts = [flight_performance.select(c).distinct().agg(F.count(c).alias(n)) for c, n in columns]
+    wide = reduce(with_scalar, [flight_performance.agg(*base, F.count(F.lit(1)).alias("total_rows")), *counts])
+    return wide.select("min_year", "max_year", *[n for _, n in columns], "total_rows")
 
 
 BTS_TOTALS = (

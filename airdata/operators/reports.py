@@ -133,7 +133,7 @@ def get_airports_for_map(flights: DataFrame, airports: DataFrame) -> DataFrame:
     used = flights_per_airport(flights).select("airport_id")
     return (airports.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
             .join(used, "airport_id", "left_semi")
-            .select("airport_id", "iata_code", "name", to_double(F.col("latitude")).alias("latitude"),
+            .select("airport_id", "iata_code", "name", "country", to_double(F.col("latitude")).alias("latitude"),
                     to_double(F.col("longitude")).alias("longitude")))
 
 

@@ -86,9 +86,11 @@ def _insert_ignore_pk(fx):
 # INSERT ... ON CONFLICT DO NOTHING over two unique keys, one row at a time.
 _K04_SQL = """
 WITH RECURSIVE c AS (
-  SELECT row_number() OVER (ORDER BY ord) AS rn, ord, iata_code, icao_code FROM multikey_candidates),
+  SELECT row_number() OVER (ORDER BY ord) AS rn, ord, iata_code, icao_code FROM multikey_candidates WHERE ord % 7 <> 3),
 fold(rn, ui, uc, kept) AS (
-  SELECT 0, CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), CAST([] AS BIGINT[])
+  SELECT 0, coalesce(list(iata_code) FILTER (iata_code IS NOT NULL), CAST([] AS VARCHAR[])),
+         coalesce(list(icao_code) FILTER (icao_code IS NOT NULL), CAST([] AS VARCHAR[])), CAST([] AS BIGINT[])
+  FROM multikey_candidates WHERE ord % 7 = 3
   UNION ALL
   SELECT c.rn,
          CASE WHEN ok AND c.iata_code IS NOT NULL THEN list_append(f.ui, c.iata_code) ELSE f.ui END,
@@ -105,8 +107,8 @@ WHERE m.ord IN (SELECT unnest(kept) FROM fold WHERE rn = (SELECT max(rn) FROM c)
 @query("insert_ignore_any_unique", "K-04", W(_K04_SQL, "multikey_candidates"))
 def _insert_ignore_any_unique(fx):
     cand = fx.multikey_candidates
-    empty = cand.limit(0)
-    return K.insert_ignore_any_unique(empty, cand, ["iata_code", "icao_code"], "ord")
+    taken = cand.filter(F.col("ord") % 7 == 3)   # rows of an earlier load
+    return K.insert_ignore_any_unique(taken, cand.filter(F.col("ord") % 7 != 3), ["iata_code", "icao_code"], "ord")
 
 
 @query("dedup_pairs_against_existing", "K-05", W(f"""
@@ -241,72 +243,32 @@ def _assign_from_pool(fx):
         "flight_id", "aircraft_id", "model")
 
 
-def _round_log(fx, assigned, fleet, salt, existing=None):
-    fid = F.col("flight_id")
-    sampled = M.sample_fraction(assigned, 0.05, bucket=F.pmod(fid * (7919 + salt), F.lit(10000)))
-    return M.change_log(sampled, fleet.select("aircraft_id"),
-                        reason_bucket=F.pmod(fid * (13 + salt), F.lit(4)),
-                        minute_bucket=F.pmod(fid * (17 + salt), F.lit(91)),
-                        new_bucket=fid * (3 + salt), existing_log=existing)
-
-
-def _log_sql(salt, name, prev=None):
-    base = f"(SELECT coalesce(max(change_id), 0) FROM {prev})" if prev else "0"
-    return f"""
-{name} AS (
-  SELECT {base} + row_number() OVER (ORDER BY flight_id) AS change_id, flight_id,
-         aircraft_id AS old_aircraft_id,
-         ((aircraft_id - 1 + 1 + ((flight_id * {3 + salt}) % 4)) % 5) + 1 AS new_aircraft_id,
-         (['Maintenance', 'Crew Reassignment', 'Operational', 'Equipment Downgrade'])
-           [1 + (flight_id * {13 + salt}) % 4] AS reason,
-         cast(flight_date AS timestamp) - INTERVAL 2 HOUR + to_minutes((flight_id * {17 + salt}) % 91)
-           AS changed_at
-  FROM assigned WHERE (flight_id * {7919 + salt}) % 10000 < 500)"""
-
-
-@query("change_log", "K-12/K-13/K-14", W(f"""
-WITH {_ASSIGNED_SQL.strip()}, {_log_sql(0, 'log1').strip()}
-SELECT * FROM log1""", "flights"))
-def _change_log(fx):
-    a, fleet = _assigned(fx)
-    return _round_log(fx, a, fleet, 0)
+@query("sample_fraction", "K-13", W("""
+SELECT flight_id, flight_date FROM flights_base WHERE (flight_id * 7919) % 10000 < 500""", "flights_base"))
+def _sample_fraction(fx):
+    f = fx.flights_base.select("flight_id", "flight_date")
+    return M.sample_fraction(f, 0.05, bucket=F.pmod(F.col("flight_id") * 7919, F.lit(10000)))
 
 
+# The lines of an order are the log of its flight: a returned line puts the
+# flight on another unit when it ships.
 @query("apply_change_log", "K-15", W(f"""
-WITH {_ASSIGNED_SQL.strip()}, {_log_sql(0, 'log1').strip()}, {_log_sql(1, 'log2', 'log1').strip()},
-log AS (SELECT * FROM log1 UNION ALL SELECT * FROM log2),
-latest AS (SELECT flight_id, arg_max(new_aircraft_id, (changed_at, change_id)) AS new_id
-           FROM log GROUP BY flight_id)
-SELECT a.flight_id, coalesce(l.new_id, a.aircraft_id) AS aircraft_id
-FROM assigned a LEFT JOIN latest l ON l.flight_id = a.flight_id""", "flights"))
+WITH {_ASSIGNED_SQL.strip()},
+ranked AS (
+  SELECT l_orderkey AS flight_id, l_suppkey AS unit,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_suppkey DESC) AS place
+  FROM lineitem WHERE l_returnflag = 'R')
+SELECT flight_id, coalesce(unit, aircraft_id) AS aircraft_id
+FROM assigned LEFT JOIN (SELECT * FROM ranked WHERE place = 1) USING (flight_id)""", "flights"))
 def _apply_change_log(fx):
-    a, fleet = _assigned(fx)
-    log1 = _round_log(fx, a, fleet, 0)
-    log2 = _round_log(fx, a, fleet, 1, existing=log1)
-    log = log1.unionByName(log2)
+    a, _ = _assigned(fx)
+    li = fx.table("lineitem", ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_returnflag"])
+    log = li.filter(F.col("l_returnflag") == "R").select(
+        F.col("l_linenumber").alias("change_id"), F.col("l_orderkey").alias("flight_id"),
+        F.col("l_suppkey").alias("new_aircraft_id"), F.col("l_shipdate").alias("changed_at"))
     return M.apply_change_log(a.select("flight_id", "aircraft_id"), log)
 
 
-@query("payments_from_bookings", "K-16/K-17", W("""
-SELECT booking_id AS payment_id, booking_id,
-       cast(round(base_price_usd * (90 + (booking_id * 13) % 26) * 0.01, 2) AS double) AS amount_usd,
-       CASE WHEN ((booking_id * 7) % 100) / 100.0 < 0.7 THEN 'Card'
-            WHEN ((booking_id * 7) % 100) / 100.0 < 0.8 THEN 'Points'
-            WHEN ((booking_id * 7) % 100) / 100.0 < 0.9 THEN 'Voucher' ELSE 'Cash' END AS method,
-       CASE WHEN ((booking_id * 11) % 100) / 100.0 < 0.65 THEN 'Captured'
-            WHEN ((booking_id * 11) % 100) / 100.0 < 0.8 THEN 'Authorized'
-            WHEN ((booking_id * 11) % 100) / 100.0 < 0.9 THEN 'Refunded' ELSE 'Failed' END AS status,
-       booking_date + to_minutes((booking_id * 37) % 1441) AS paid_at
-FROM bookings""", "bookings"))
-def _payments_from_bookings(fx):
-    b = F.col("booking_id")
-    p = M.payments_from_bookings(
-        fx.bookings, factor_bucket=F.pmod(b * 13, F.lit(26)), minute_bucket=F.pmod(b * 37, F.lit(1441)),
-        method_unit=F.pmod(b * 7, F.lit(100)) / F.lit(100.0),
-        status_unit=F.pmod(b * 11, F.lit(100)) / F.lit(100.0))
-    return p.withColumn("amount_usd", F.col("amount_usd").cast("double"))
-
-
 @query("select_fraction_of_parents", "K-18", W("""
 WITH p AS (SELECT DISTINCT passenger_id FROM bookings),
 r AS (SELECT passenger_id, row_number() OVER (ORDER BY (passenger_id * 7919) % 1000003, passenger_id) AS rk

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from airdata.session import checkpoint_dir
 from airdata.sources.fixtures import Fixtures
+from airdata.sources.tables import scan_table
 
 
 @dataclass(frozen=True)
@@ -40,14 +41,17 @@ def query(name: str, survey_id: str, oracle: str | None = None):
 # One set of derived airline tables per (session, data directory): the keyed
 # tables (routes, bookings) are materialised once and shared by every query
 # of the catalogue, as loaded tables would be.
-_FIXTURES: "weakref.WeakKeyDictionary[SparkSession, dict[str, Fixtures]]" = weakref.WeakKeyDictionary()
+# Files written anew have other names, and get derived tables of their own.
+_FIXTURES: "weakref.WeakKeyDictionary[SparkSession, dict[tuple, Fixtures]]" = weakref.WeakKeyDictionary()
+_INPUTS = ("region", "nation", "customer", "supplier", "orders", "lineitem")
 
 
 def fixtures_for(spark: SparkSession, sf_dir: str) -> Fixtures:
     per_session = _FIXTURES.setdefault(spark, {})
-    fx = per_session.get(sf_dir)
+    files = tuple(f for t in _INPUTS for f in sorted(scan_table(spark, sf_dir, t).inputFiles()))
+    fx = per_session.get((sf_dir, files))
     if fx is None:
-        fx = per_session[sf_dir] = Fixtures(spark, sf_dir)
+        fx = per_session[sf_dir, files] = Fixtures(spark, sf_dir)
     return fx
 
 
