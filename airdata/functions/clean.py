@@ -114,8 +114,9 @@ def clamp(x, lo, hi) -> Column:
 
 
 def fill_numeric_zero(x, target="double") -> Column:
-    """C-11: coerce to a number (bad text -> null), then null -> 0."""
-    return F.coalesce(_c(x).try_cast(target), F.lit(0).cast(target))
+    """C-11: coerce to a number (bad text -> null), then null and NaN -> 0."""
+    v = _c(x).try_cast("double")
+    return F.coalesce(F.when(~F.isnan(v), v).try_cast(target), F.lit(0).cast(target))
 
 
 def zfill(x, width: int) -> Column:
@@ -127,16 +128,22 @@ def zfill(x, width: int) -> Column:
 
 def snapshot_id(year, month, airline, airport, sep: str = "-") -> Column:
     """C-12: ``YYYY-MM-AIR-APT`` key of a BTS row (loader form ``-``;
-    the cleaning script's form uses ``_``)."""
-    return F.concat_ws(sep, zfill(_c(year).cast("int"), 4), zfill(_c(month).cast("int"), 2),
-                       _c(airline), _c(airport))
+    the cleaning script's form uses ``_``). A null part makes a null key."""
+    parts = [zfill(_c(year).cast("int"), 4), zfill(_c(month).cast("int"), 2), _c(airline), _c(airport)]
+    return F.concat(*[x for p in parts for x in (F.lit(sep), p)][1:])
+
+
+# Date forms besides ISO text, tried in this order.
+DATE_FORMS = ("M/d/yyyy h:mm:ss a", "M/d/yyyy h:mm a", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy", "yyyyMMdd")
 
 
 def parse_timestamp_lenient(x, fmt: str | None = None) -> Column:
-    """C-13: text -> timestamp, unparseable -> null."""
+    """C-13: text -> timestamp, ISO or one of DATE_FORMS; unparseable -> null."""
     if fmt:
         return F.try_to_timestamp(_c(x), F.lit(fmt))
-    return F.try_to_timestamp(_c(x))
+    eight = btrim(x).rlike("^[0-9]{8}$")   # ISO would take eight digits for a year
+    forms = [F.try_to_timestamp(btrim(x), F.lit(f)) for f in DATE_FORMS]
+    return F.coalesce(F.when(~eight, F.try_to_timestamp(_c(x))), *forms)
 
 
 def parse_number_lenient(x, target="double") -> Column:

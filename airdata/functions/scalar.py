@@ -10,7 +10,7 @@ def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row frame -- an aggregate without grouping
     such as a count, a maximum or a cut-off -- to every row of ``df``.
 
-    This is SQL's scalar subquery: the right side has exactly one row, so it
-    is broadcast and the join emits one row per row of ``df`` (never a
-    product of two data-sized inputs)."""
-    return df.crossJoin(F.broadcast(one_row))
+    An uncorrelated scalar subquery: it is computed once and is a constant in
+    the plan of ``df``, which needs no join."""
+    one = one_row.select(F.struct(*one_row.columns).alias("_one")).scalar()
+    return df.withColumns({c: one[c] for c in one_row.columns})

@@ -62,8 +62,7 @@ def next_key_after_max(new_rows: DataFrame, existing: DataFrame, id_col: str,
                        order_by, num_partitions: int | None = None) -> DataFrame:
     """K-01 incremental form: new ids continue after ``max(existing.id)``.
 
-    The maximum is a one-row aggregate joined in as a scalar (cross join with
-    a single row), never collected to the driver.
+    The maximum is a scalar subquery.
     """
     base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_k01_max"))
     keyed = assign_surrogate_key(new_rows, order_by, "_k01_rank", start=1,
@@ -77,21 +76,15 @@ def first_per_key(df: DataFrame, keys, order_by) -> DataFrame:
     """Keep the first row of each key group by ``order_by``; null keys never
     collide, so rows with any null key are all kept.
 
-    Implemented as a ``min(struct(order, row))`` aggregate rather than a
-    window: the aggregate is partial (map-side) so a key holding a third of
-    all rows is reduced before the shuffle instead of being sorted in one task.
+    The cut ``row_number() = 1`` is planned with a group limit before the
+    shuffle, so a key holding a third of all rows leaves one row a task.
     """
     keys = list(keys)
-    order = list(order_by)
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    nulls = df.filter(any_null)
-    present = df.filter(~any_null)
-    other = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-                      F.struct(*other).alias("_row"))
-    firsts = (present.groupBy(*keys).agg(F.min(packed).alias("_first"))
-                     .select(*keys, "_first._row.*"))
-    return firsts.select(*df.columns).unionByName(nulls)
+    w = Window.partitionBy(*keys).orderBy(*order_by)
+    firsts = (df.filter(~any_null).withColumn("_first", F.row_number().over(w))
+                .filter(F.col("_first") == 1).drop("_first"))
+    return firsts.unionByName(df.filter(any_null))
 
 
 def insert_ignore(target: DataFrame, candidates: DataFrame, keys, order_by) -> DataFrame:
@@ -129,7 +122,10 @@ def insert_ignore_any_unique(target: DataFrame, candidates: DataFrame,
     always finishes with the exact answer.
     """
     keys = list(unique_keys)
-    live = candidates
+    # equal order values would leave two first rows: number the rows themselves
+    rest = [c for c in candidates.columns if c != order_col]
+    live = assign_surrogate_key(candidates, [order_col, *rest], "_k04_order")
+    order_col = "_k04_order"
     for k in keys:
         live = live.join(target.select(k).filter(F.col(k).isNotNull()).distinct(),
                          on=k, how="left_anti")
@@ -166,8 +162,7 @@ def dedup_pairs_against_existing(existing: DataFrame, new_pairs: DataFrame, keys
 def new_rows_since(df: DataFrame, previous: DataFrame, id_col: str) -> DataFrame:
     """K-06: rows whose id is above the previous high-water mark.
 
-    The mark is ``max(id)`` of ``previous`` as a one-row frame; the filter is a
-    broadcast nested-loop against that single row (bounded)."""
+    The mark is a scalar subquery, so the filter is a comparison with a
+    constant that reaches the scan."""
     mark = previous.agg(F.coalesce(F.max(id_col), F.lit(-(2 ** 62))).alias("_hwm"))
-    return (with_scalar(df, mark).filter(F.col(id_col) > F.col("_hwm"))
-              .drop("_hwm"))
+    return df.filter(F.col(id_col) > mark.scalar())

@@ -11,11 +11,11 @@ task retries give the same answer.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airdata.functions.scalar import with_scalar
-from airdata.operators.keys import assign_surrogate_key, next_key_after_max
+from airdata.operators.keys import assign_surrogate_key, first_per_key, next_key_after_max
 
 ROUTE_KEYS = ["airline_id", "origin_airport_id", "destination_airport_id"]
 
@@ -27,12 +27,6 @@ SEED_FLEET = (
     ("Boeing", "787-8", 242, None),
     ("Airbus", "A350-900", 300, None),
 )
-# Change reasons, in order.
-CHANGE_REASONS = ("Maintenance", "Crew Reassignment", "Operational", "Equipment Downgrade")
-
-# Broadcast bound for reference pools (aircraft fleets, domain tables).
-POOL_BROADCAST_ROWS = 1_000_000
-
 
 def hash_bucket(col, n) -> Column:
     """Deterministic bucket in [0, n) of a key (default randomness stand-in)."""
@@ -41,12 +35,6 @@ def hash_bucket(col, n) -> Column:
     return F.pmod(F.xxhash64(c), n)
 
 
-def hash_unit(col, salt: int = 0) -> Column:
-    """Deterministic value in [0, 1) of a key."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.pmod(F.xxhash64(c, F.lit(salt)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-
-
 # ------------------------------------------------------------------ sources
 def inline_values(spark: SparkSession, rows, schema: str) -> DataFrame:
     """S-07: a ``VALUES`` relation."""
@@ -149,20 +137,9 @@ def update_distance_planar(routes: DataFrame, airports: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- aircraft
-def _indexed_pool(pool: DataFrame, id_col: str):
-    """Pool members with a dense 0-based position, and the pool size.
-
-    A reference pool (a fleet) is small: its row count is checked, and up to
-    ``POOL_BROADCAST_ROWS`` the positions come from one window and the pool
-    is broadcast; a larger pool gets distributed positions (K-01) and is
-    joined without a broadcast."""
-    ids = pool.select(id_col).distinct()
-    n = ids.count()
-    if n <= POOL_BROADCAST_ROWS:
-        w = Window.orderBy(id_col)
-        idx = ids.select(id_col, (F.row_number().over(w) - 1).cast("bigint").alias("_pos"))
-        return F.broadcast(idx), n
-    return assign_surrogate_key(ids, [id_col], "_pos", start=0), n
+def _indexed_pool(pool: DataFrame, id_col: str) -> DataFrame:
+    """Pool members with a dense 0-based position (K-01, whatever the size)."""
+    return assign_surrogate_key(pool.select(id_col).distinct(), [id_col], "_pos", start=0)
 
 
 def assign_from_pool(flights: DataFrame, pool: DataFrame, id_col: str = "aircraft_id",
@@ -170,11 +147,11 @@ def assign_from_pool(flights: DataFrame, pool: DataFrame, id_col: str = "aircraf
     """K-11: give every flight without an aircraft a member of the pool,
     chosen by ``bucket`` (default ``xxhash64(flight_id)``) modulo the pool
     size."""
-    idx, n = _indexed_pool(pool, id_col)
-    if n == 0:
-        return flights
+    idx = _indexed_pool(pool, id_col)
+    # an empty pool gives a null position, and so nobody
+    n = idx.agg(F.nullif(F.count(F.lit(1)), F.lit(0)).alias("_n")).scalar()
     b = bucket if bucket is not None else F.xxhash64("flight_id")
-    target = flights.withColumn("_pos", F.pmod(b, F.lit(n)))
+    target = flights.withColumn("_pos", F.pmod(b, n))
     j = target.join(idx.withColumnRenamed(id_col, "_pick"), "_pos", "left")
     cur = F.col(id_col) if id_col in flights.columns else F.lit(None).cast("bigint")
     out = j.withColumn(id_col, F.coalesce(cur, F.col("_pick"))).drop("_pos", "_pick")
@@ -182,24 +159,6 @@ def assign_from_pool(flights: DataFrame, pool: DataFrame, id_col: str = "aircraf
     return out.select(*cols)
 
 
-def assign_different_from_current(df: DataFrame, pool: DataFrame, current_col: str,
-                                  out_col: str, id_col: str = "aircraft_id",
-                                  bucket: Column | None = None, key: str = "flight_id") -> DataFrame:
-    """K-12: pick a pool member different from ``current_col``: shift the
-    current member's position by ``1 + bucket mod (n - 1)``. With a pool of
-    one there is no alternative and the result is null."""
-    side, n = _indexed_pool(pool, id_col)
-    b = bucket if bucket is not None else F.xxhash64(key)
-    cur = side.select(F.col(id_col).alias(current_col), F.col("_pos").alias("_cur_pos"))
-    j = df.join(cur, current_col, "left")
-    if n <= 1:
-        return j.withColumn(out_col, F.lit(None).cast("bigint")).drop("_cur_pos")
-    new_pos = F.pmod(F.col("_cur_pos") + 1 + F.pmod(b, F.lit(n - 1)), F.lit(n))
-    pick = side.select(F.col(id_col).alias(out_col), F.col("_pos").alias("_new_pos"))
-    return (j.withColumn("_new_pos", new_pos).join(pick, "_new_pos", "left")
-             .drop("_cur_pos", "_new_pos"))
-
-
 def sample_fraction(df: DataFrame, fraction: float, bucket: Column | None = None,
                     key: str = "flight_id", resolution: int = 10_000) -> DataFrame:
     """K-13: repeatable Bernoulli sample: keep rows whose bucket in
@@ -208,81 +167,18 @@ def sample_fraction(df: DataFrame, fraction: float, bucket: Column | None = None
     return df.filter(b < F.lit(int(round(fraction * resolution))))
 
 
-def change_log(sampled: DataFrame, pool: DataFrame, reason_bucket: Column | None = None,
-               minute_bucket: Column | None = None, new_bucket: Column | None = None,
-               existing_log: DataFrame | None = None) -> DataFrame:
-    """K-14: one change row per sampled flight that has an aircraft: old and
-    new aircraft (K-12), a reason from the fixed list, and ``changed_at =
-    flight_date - 2 h + up to 90 min``. Change ids continue after the log."""
-    base = sampled.filter(F.col("aircraft_id").isNotNull())
-    rb = reason_bucket if reason_bucket is not None else F.pmod(F.xxhash64("flight_id", F.lit(1)), F.lit(4))
-    mb = minute_bucket if minute_bucket is not None else F.pmod(F.xxhash64("flight_id", F.lit(2)), F.lit(91))
-    with_new = assign_different_from_current(base, pool, "aircraft_id", "new_aircraft_id",
-                                             bucket=new_bucket)
-    reasons = F.array(*[F.lit(r) for r in CHANGE_REASONS])
-    rows = (with_new.filter(F.col("new_aircraft_id").isNotNull())
-            .select("flight_id", F.col("aircraft_id").alias("old_aircraft_id"), "new_aircraft_id",
-                    F.element_at(reasons, (rb + 1).cast("int")).alias("reason"),
-                    (F.col("flight_date").cast("timestamp_ntz") - F.expr("INTERVAL 2 HOURS")
-                     + F.make_dt_interval(F.lit(0), F.lit(0), mb.cast("int"))).alias("changed_at")))
-    if existing_log is None:
-        existing_log = rows.sparkSession.createDataFrame(
-            [], "change_id bigint, flight_id bigint, old_aircraft_id bigint, new_aircraft_id bigint, "
-                "reason string, changed_at timestamp_ntz")
-    keyed = next_key_after_max(rows, existing_log, "change_id", ["flight_id"])
-    return keyed.select("change_id", "flight_id", "old_aircraft_id", "new_aircraft_id", "reason",
-                        "changed_at")
-
-
 def apply_change_log(flights: DataFrame, log: DataFrame) -> DataFrame:
     """K-15: set each flight's aircraft to the newest logged value (latest
-    ``changed_at``, then highest ``change_id``). The log is reduced to one
-    row per flight with ``max_by`` (partial aggregation) before the join."""
-    latest = (log.groupBy("flight_id")
-                 .agg(F.max_by("new_aircraft_id", F.struct("changed_at", "change_id")).alias("_new")))
+    ``changed_at``, then highest ``change_id``, then highest aircraft). The log
+    is cut to one row per flight before the shuffle and the join."""
+    newest = first_per_key(log.filter(F.col("flight_id").isNotNull()), ["flight_id"],
+                           [F.col(c).desc() for c in ("changed_at", "change_id", "new_aircraft_id")])
+    latest = newest.select("flight_id", F.col("new_aircraft_id").alias("_new"))
     j = flights.join(latest, "flight_id", "left")
     return j.withColumn("aircraft_id", F.coalesce(F.col("_new"), F.col("aircraft_id"))) \
             .drop("_new").select(*flights.columns)
 
 
-# ----------------------------------------------------------- derived facts
-def weighted_category(unit: Column, categories, weights) -> Column:
-    """K-17: category by cumulative weights of a value in [0, 1)."""
-    total = float(sum(weights))
-    acc = 0.0
-    out = None
-    for cat, w in zip(categories[:-1], weights[:-1]):
-        acc += w / total
-        cond = unit < F.lit(acc)
-        out = F.when(cond, F.lit(cat)) if out is None else out.when(cond, F.lit(cat))
-    last = F.lit(categories[-1])
-    return last if out is None else out.otherwise(last)
-
-
-# Payment method and status weights of the revenue generator.
-METHOD_WEIGHTS = (("Card", 0.7), ("Points", 0.1), ("Voucher", 0.1), ("Cash", 0.1))
-STATUS_WEIGHTS = (("Captured", 0.65), ("Authorized", 0.15), ("Refunded", 0.10), ("Failed", 0.10))
-
-
-def payments_from_bookings(bookings: DataFrame, factor_bucket: Column | None = None,
-                           minute_bucket: Column | None = None, method_unit: Column | None = None,
-                           status_unit: Column | None = None) -> DataFrame:
-    """K-16: one payment per booking. amount = base price x factor in
-    [0.90, 1.15] (1/100 steps), paid_at = booking_date + 0..1440 minutes,
-    method and status by the generator's weights; all keyed on the booking."""
-    fb = factor_bucket if factor_bucket is not None else F.pmod(F.xxhash64("booking_id", F.lit(3)), F.lit(26))
-    mb = minute_bucket if minute_bucket is not None else F.pmod(F.xxhash64("booking_id", F.lit(4)), F.lit(1441))
-    mu = method_unit if method_unit is not None else hash_unit("booking_id", 5)
-    su = status_unit if status_unit is not None else hash_unit("booking_id", 6)
-    factor = (F.lit(90) + fb).cast("decimal(5,0)") / F.lit(100)
-    return bookings.select(
-        F.col("booking_id").alias("payment_id"), "booking_id",
-        F.round(F.col("base_price_usd") * factor, 2).cast("decimal(10,2)").alias("amount_usd"),
-        weighted_category(mu, [m for m, _ in METHOD_WEIGHTS], [w for _, w in METHOD_WEIGHTS]).alias("method"),
-        weighted_category(su, [s for s, _ in STATUS_WEIGHTS], [w for _, w in STATUS_WEIGHTS]).alias("status"),
-        (F.col("booking_date") + F.make_dt_interval(F.lit(0), F.lit(0), mb.cast("int"))).alias("paid_at"))
-
-
 def select_fraction_of_parents(parents: DataFrame, key: str, ratio: float,
                                order: Column | None = None) -> DataFrame:
     """K-18: the first ``floor(n * ratio)`` distinct parents in hash order

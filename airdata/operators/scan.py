@@ -10,10 +10,8 @@ same results without either:
   (balanced, since range bounds come from a sample), and a table of
   per-partition totals -- one row per partition, so bounded -- provides the
   carry-in offsets by broadcast.
-- ``running_sum``: per-group running sum where a group is additionally split
-  by a caller-given monotone ``bucket`` of the order key (e.g. the month of a
-  date). Hot groups are spread over their buckets; carries between buckets of
-  one group are computed on the (group, bucket) totals table.
+- ``running_sum``: per-group running sum over ranges of (group, order), with
+  carries between the ranges of one group.
 - ``exact_quantiles``: linear-interpolated quantiles (``percentile_cont``,
   pandas ``describe``) from global positions, with no single-buffer
   ``percentile`` aggregate.
@@ -21,7 +19,7 @@ same results without either:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airdata.functions.scalar import with_scalar
@@ -53,59 +51,37 @@ def prefix_sum(df: DataFrame, order_by, value: str, out: str,
                  .drop("_ps_pid", "_ps_local", "_ps_off"))
 
 
-HOT_GROUP_ROWS = 1_000_000
-
-
-def hot_groups(df: DataFrame, partition_by, threshold: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Group keys holding more than ``threshold`` rows (partial aggregation,
-    so the hot groups themselves cost nothing extra). At most
-    ``rows / threshold`` keys come back, which bounds the broadcast below."""
-    return (df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n"))
-              .filter(F.col("_n") > threshold).select(*partition_by))
-
-
 def running_sum(df: DataFrame, partition_by, order_by, value: str, out: str,
-                bucket: Column, hot_keys: DataFrame | None = None,
-                hot_threshold: int = HOT_GROUP_ROWS) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """``sum(value) over (partition by p order by o rows unbounded preceding)``.
 
-    A plain window puts each group in one task, so one group holding a third
-    of all rows would be sorted by one task. Groups listed in ``hot_keys``
-    (default: groups above ``hot_threshold`` rows) are split by ``bucket``, a
-    value non-decreasing along ``order_by`` within a group (a date truncated
-    to month, an id divided by a block size). Other groups stay whole:
-    splitting every group would multiply the window's per-group cost.
-
-    The hot-key table is a small aggregate; when it is empty (checked with a
-    one-row probe, like a broadcast size check) the plan is the plain window.
-    Otherwise: the hot keys (at most rows / threshold of them) are broadcast,
-    rows shuffle once on (group, bucket) for the window, hot bucket totals
-    (hot groups x buckets, small) give each bucket the carry of the earlier
-    buckets of its group, joined back by broadcast.
+    A plain window puts each group in one task. Here the rows are dealt by
+    ranges of (group, order), so a group of any size, the null group included,
+    covers as many ranges as it needs; each range sums locally, and the table of
+    (range, group) totals, pre-aggregated, gives a group the carry of its
+    earlier ranges.
     """
-    part = list(partition_by)
-    order = _cols(order_by)
-    if hot_keys is None:
-        hot_keys = hot_groups(df, part, hot_threshold)
-    hk = hot_keys.select(*part).distinct()
-    if hk.isEmpty():
-        w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding,
-                                                                   Window.currentRow)
-        return df.withColumn(out, F.sum(value).over(w))
-    keys = [*part, "_rs_b"]
-    b = (df.join(F.broadcast(hk.withColumn("_rs_hot", F.lit(True))), part, "left")
-           .withColumn("_rs_b", F.when(F.col("_rs_hot"), bucket)))
-    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding,
-                                                                  Window.currentRow)
-    totals = (b.filter(F.col("_rs_hot")).groupBy(*keys).agg(F.sum(value).alias("_rs_t")))
-    carry_w = (Window.partitionBy(*part).orderBy("_rs_b")
+    part, order = list(partition_by), _cols(order_by)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(n, *part, *order)
+                .withColumn("_rs_pid", F.spark_partition_id())
+                .checkpoint(eager=True))
+    upto = (Window.partitionBy("_rs_pid", *part).orderBy(*order)
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    earlier = (Window.partitionBy(*part).orderBy("_rs_pid")
                      .rowsBetween(Window.unboundedPreceding, -1))
-    carries = totals.select(*keys, F.sum("_rs_t").over(carry_w).alias("_rs_carry"))
+    totals = ranged.groupBy("_rs_pid", *part).agg(F.sum(value).alias("_rs_t"))
+    carries = (totals.withColumn("_rs_carry", F.sum("_rs_t").over(earlier))
+                     .filter(F.col("_rs_carry").isNotNull())
+                     .select(F.col("_rs_pid").alias("_rs_p"), "_rs_carry",
+                             *[F.col(c).alias(f"_rs_{i}") for i, c in enumerate(part)]))
+    same = F.col("_rs_pid") == F.col("_rs_p")
+    for i, c in enumerate(part):
+        same = same & F.col(c).eqNullSafe(F.col(f"_rs_{i}"))
     zero = F.lit(0).cast(df.schema[value].dataType)
-    return (b.withColumn("_rs_local", F.sum(value).over(upto))
-             .join(F.broadcast(carries), on=keys, how="left")
-             .withColumn(out, F.col("_rs_local") + F.coalesce(F.col("_rs_carry"), zero))
-             .drop("_rs_b", "_rs_local", "_rs_carry", "_rs_hot"))
+    return (ranged.withColumn("_rs_local", F.sum(value).over(upto)).join(carries, same, "left")
+                  .withColumn(out, F.col("_rs_local") + F.coalesce(F.col("_rs_carry"), zero))
+                  .select(*df.columns, out))
 
 
 def exact_quantiles(df: DataFrame, value: str, quantiles, tiebreak=None,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from airdata.functions.scalar import with_scalar
 from airdata.operators.metrics import fact_join, lifetime_miles, month_start
-from airdata.operators.scan import HOT_GROUP_ROWS, hot_groups, prefix_sum, running_sum
+from airdata.operators.scan import prefix_sum, running_sum
 from airdata.functions.numeric import ratio, to_double
 
 
@@ -60,20 +60,15 @@ def pct_delayed_by_month(flights: DataFrame) -> DataFrame:
             .orderBy("month_start"))
 
 
-def clv_running(bookings: DataFrame, payments: DataFrame,
-                hot_threshold: int = HOT_GROUP_ROWS) -> DataFrame:
+def clv_running(bookings: DataFrame, payments: DataFrame) -> DataFrame:
     """A-12: cumulative spend per passenger ordered by payment date (ties by
-    payment id). Passengers with more than ``hot_threshold`` bookings are
-    split by payment month so a heavy passenger is spread over many tasks;
-    the hot list comes from the bookings alone (no join needed to find it)."""
+    payment id). A heavy passenger is spread over many tasks."""
     cp = (fact_join(bookings.select("booking_id", "passenger_id"),
                     payments.select("booking_id", "payment_id", "paid_at", "amount_usd"),
                     "booking_id")
                   .select("passenger_id", "payment_id",
                           F.col("paid_at").cast("date").alias("paid_date"), "amount_usd"))
-    hot = hot_groups(bookings, ["passenger_id"], hot_threshold)
-    rs = running_sum(cp, ["passenger_id"], ["paid_date", "payment_id"], "amount_usd",
-                     "_clv", bucket=F.trunc(F.col("paid_date"), "MM"), hot_keys=hot)
+    rs = running_sum(cp, ["passenger_id"], ["paid_date", "payment_id"], "amount_usd", "_clv")
     # Row-grain result: no global ORDER BY (a full range shuffle of every
     # payment); callers that present it sort what they show.
     return rs.select("passenger_id", "paid_date", "payment_id",
