@@ -7,7 +7,7 @@ driver entry, and resolve the shared checkpoint directory.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,7 +37,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -48,17 +47,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared checkpoint folder, named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names shared storage and is used as is. Only when
-    it is unset (tests, local runs) a fresh local folder is made and set.
+    Where the setting is absent, a session whose driver and executors are one
+    process (``local[...]``, as in tests) gets a temporary folder; on a cluster
+    no folder of one machine would do, so that is an error.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="airdata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that the driver and all executors share")
+        current = tempfile.mkdtemp(prefix="airdata-checkpoint-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current

@@ -19,15 +19,18 @@ from __future__ import annotations
 
 import hashlib
 import os
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 from airdata.sources.fixtures import Fixtures
 
 WAREHOUSE_TABLES = (
-    "airlines", "airports", "flights_base", "routes", "flights", "net_routes", "passengers",
+    "airlines", "airports", "flights_base", "routes", "flights", "passengers",
     "bookings", "payments", "loyalty_accounts", "miles_transactions", "flight_performance",
-    "airports_dirty", "flights_orphan", "payments_orphan", "multikey_candidates",
+    "airports_dirty", "flights_orphan", "payments_orphan", "multikey_candidates", "aircraft", "flight_changes",
+    "airports_checked", "routes_checked", "flights_checked", "passengers_checked", "payments_checked", "loyalty_checked",
+    "performance_checked",
 )
 
 # table -> bucketing/sort key (pairs joined on the key share it)
@@ -48,7 +51,10 @@ def build_warehouse(spark: SparkSession, sf_dir: str, root: str, tables=WAREHOUS
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(root, '_catalog')}'")
     fx = Fixtures(spark, sf_dir)
     for name in tables:   # dependency order: later tables build on loaded ones
-        w = getattr(fx, name).write.mode("overwrite").option("path", os.path.join(root, name))
+        df = getattr(fx, name)
+        if name in BUCKET_KEYS:   # one task, and so one file, a bucket
+            df = df.repartition(n, BUCKET_KEYS[name])
+        w = df.write.mode("overwrite").option("path", os.path.join(root, name))
         if name in BUCKET_KEYS:
             w = w.bucketBy(n, BUCKET_KEYS[name]).sortBy(BUCKET_KEYS[name])
         w.format("parquet").saveAsTable(f"{db}.{name}")
@@ -63,7 +69,7 @@ class Warehouse(Fixtures):
     bucketing); elsewhere each table is registered once as a view over its
     Parquet files (listing and footer reads happen once)."""
 
-    _views: dict[tuple[int, str], str] = {}
+    _views: "weakref.WeakKeyDictionary[SparkSession, dict[str, str]]" = weakref.WeakKeyDictionary()
 
     def __init__(self, spark: SparkSession, sf_dir: str, root: str):
         super().__init__(spark, sf_dir)
@@ -72,13 +78,13 @@ class Warehouse(Fixtures):
         if spark.catalog.databaseExists(db) and spark.catalog.tableExists(f"{db}.{WAREHOUSE_TABLES[0]}"):
             self.prefix = f"{db}."
             return
-        key = (id(spark), os.path.abspath(root))
-        prefix = Warehouse._views.get(key)
+        views = Warehouse._views.setdefault(spark, {})
+        prefix = views.get(os.path.abspath(root))
         if prefix is None:
             prefix = f"{db}_"
             for name in WAREHOUSE_TABLES:
                 spark.read.parquet(os.path.join(root, name)).createOrReplaceTempView(prefix + name)
-            Warehouse._views[key] = prefix
+            views[os.path.abspath(root)] = prefix
         self.prefix = prefix
 
 

@@ -18,11 +18,11 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
 from airdata.session import checkpoint_dir
-from airdata.sources.files import load_bts_performance, normalise_bts
+from airdata.sources.files import load_bts_performance, normalise_bts, with_file_order
 
 FP_SCHEMA = T.StructType([
     T.StructField("snapshot_id", T.StringType()), T.StructField("year", T.IntegerType()),
@@ -36,49 +36,41 @@ FP_SCHEMA = T.StructType([
 ])
 
 
-# A micro-batch spanning more months than this is checked against the whole
-# target instead of a pruned list of partitions.
-MAX_PRUNE_MONTHS = 240
-
-
 def _read_target(spark: SparkSession, path: str) -> DataFrame:
+    """The target, empty before the first run. Any error but an absent path is one."""
     try:
         return spark.read.schema(FP_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - first run: the table does not exist yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], FP_SCHEMA)
 
 
 def stream_bts_folder(spark: SparkSession, inbox: str, header: list[str], target: str,
                       airports: DataFrame, quarantine: str | None = None,
-                      query_name: str = "bts_incremental", checkpoint: str | None = None):
+                      query_name: str = "bts_incremental", checkpoint: str | None = None,
+                      airlines: DataFrame | None = None, files_per_batch: int = 1000):
     """Start (and run to completion) the incremental load of every CSV in
     ``inbox`` into the Parquet table at ``target``. ``header`` is the CSV
-    header (string columns; types are applied by the normaliser)."""
+    header (string columns; types are applied by the normaliser). A batch that
+    is replayed finds its rows in the target and writes its quarantine folder
+    anew."""
     schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
-    src = (spark.readStream.schema(schema).option("header", True)
-                .option("maxFilesPerTrigger", 1).csv(inbox))
+    src = with_file_order(spark.readStream.schema(schema).option("header", True)
+                .option("escape", '"').option("maxFilesPerTrigger", files_per_batch).csv(inbox))
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "streams", query_name)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         norm = normalise_bts(batch)
-        # The target is partitioned by (year, month): only the partitions of
-        # the months in this micro-batch (a handful, one per monthly file)
-        # are read for the conflict check.
-        months = [(r.year, r.month)
-                  for r in norm.select("year", "month").distinct().limit(MAX_PRUNE_MONTHS + 1).collect()]
-        existing = _read_target(batch.sparkSession, target)
-        if 0 < len(months) <= MAX_PRUNE_MONTHS:   # else: check against the whole target
-            cond = None
-            for y, m in months:
-                c = (F.col("year") == y) & (F.col("month") == m) if y is not None and m is not None \
-                    else F.col("year").isNull() | F.col("month").isNull()
-                cond = c if cond is None else cond | c
-            existing = existing.filter(cond)
-        ins, bad = load_bts_performance(existing, norm, airports)
+        # The target is partitioned by (year, month), which are parts of the
+        # key: a semi join on the months of the batch prunes its partitions.
+        existing = _read_target(batch.sparkSession, target).join(
+            norm.select("year", "month").distinct(), ["year", "month"], "left_semi")
+        ins, bad = load_bts_performance(existing, norm, airports, airlines)
         (ins.select(*[f.name for f in FP_SCHEMA.fields]).write.mode("append")
             .partitionBy("year", "month").parquet(target))
         if quarantine:
-            bad.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(quarantine)
+            bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
 
     q = (src.writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt)
             .queryName(query_name).trigger(availableNow=True).start())

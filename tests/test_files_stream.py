@@ -126,11 +126,10 @@ def test_seed_if_empty_and_fleet(spark):
     assert again.count() == 5
 
 
-def test_pool_of_one_and_fk_actions(spark):
-    df = spark.createDataFrame([(1, 7), (2, 7)], "flight_id bigint, aircraft_id bigint")
-    pool = spark.createDataFrame([(7,)], "aircraft_id bigint")
-    out = M.assign_different_from_current(df, pool, "aircraft_id", "new_id")
-    assert [r.new_id for r in out.collect()] == [None, None]
+def test_empty_pool_and_fk_actions(spark):
+    df = spark.createDataFrame([(1, None), (2, 7)], "flight_id bigint, aircraft_id bigint")
+    out = M.assign_from_pool(df, spark.createDataFrame([], "aircraft_id bigint"))
+    assert sorted((r.flight_id, r.aircraft_id) for r in out.collect()) == [(1, None), (2, 7)]
     parent_gone = spark.createDataFrame([(1,)], "pid bigint")
     child = spark.createDataFrame([(10, 1), (11, 2), (12, None)], "cid bigint, pid bigint")
     casc = V.apply_fk_action(parent_gone, child, ForeignKey("c", ("pid",), "p", ("pid",), "x", "CASCADE"))
