@@ -5,8 +5,10 @@ A document is the set of its word shingles. Its sketch holds, for each of
 into longs; the full minima of a band are hashed to one key. Documents with a
 key in common are candidates. Their similarity is estimated from the packed
 sketches by counting equal bit groups, corrected for groups that are equal by
-chance, and pairs far below the threshold go; all others are confirmed on the
-full shingle sets.
+chance, and pairs far below the threshold go. A second, finer sketch has the low
+bits of the minima of ``BINS`` parts of one hash function's range; for a short
+document that is nearly its whole set. All pairs left are confirmed on the full
+shingle sets.
 
 Groups of any size: documents with equal sets are one class, of which the
 smallest id goes on. In every bucket all members are first compared with one
@@ -31,10 +33,12 @@ from airdata.llm.common import groups, ship, staged, utf8
 WORDS, PERCENT = 5, 80
 #: 32 bands of 4 minima: at a similarity of 0.8 a pair shares no band once in 2e7.
 BANDS, ROWS, BITS = 32, 4, 4
+#: Parts of the range in the finer sketch, of 4 bits each: 0 for an empty part, else 1 to 15.
+BINS, VALUES = 1024, 15
 #: Standard deviations by which an estimate may lie below the threshold: a true pair is lost once in 3e6.
 MARGIN = 5.0
 #: Members of a bucket that one task compares at a time.
-BLOCK = 4096
+BLOCK = 1024
 
 _SEED = 0x9E3779B97F4A7C15
 
@@ -106,6 +110,43 @@ def sketch(x: np.ndarray, bands: int = BANDS, rows: int = ROWS, bits: int = BITS
     return keys.view(np.int64), packed.view(np.int64)
 
 
+def fine_sketch(x: np.ndarray) -> bytes:
+    """The finer sketch of a set of hashes: the low bits of the least hash of each part of the range, packed."""
+    with np.errstate(over="ignore"):
+        y = np.sort(_mixed(x ^ np.uint64(_SEED)))
+    part = (y >> np.uint64(65 - BINS.bit_length())).astype(np.int64)
+    first = np.flatnonzero(np.diff(part, prepend=-1))
+    low = np.zeros(BINS, np.uint8)
+    low[part[first]] = 1 + (y[first] & np.uint64(0xFFFF)) % np.uint64(VALUES)
+    return (low[::2] | low[1::2] << 4).tobytes()
+
+
+def fine_similar(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: float, margin: float = MARGIN) -> np.ndarray:
+    """Whether pairs of finer sketches (rows of uint64) may reach the threshold, by bit counts.
+
+    Of the parts filled in either, the share of equal ones estimates the
+    similarity, less what agrees by chance (1 in VALUES). Its variance shrinks
+    with the part of the union that the sketch holds: sets smaller than BINS
+    are held almost whole.
+    """
+    ones = np.uint64(0x1111111111111111)
+
+    def filled(x):
+        return (x | x >> np.uint64(1) | x >> np.uint64(2) | x >> np.uint64(3)) & ones
+
+    def count(x):
+        return np.bitwise_count(x).sum(1).astype(float)
+
+    in_a, in_b = filled(a), filled(b)
+    both, either = in_a & in_b, np.maximum(count(in_a | in_b), 1)
+    equal, both = count(both & ~filled(a ^ b)), count(both)
+    c, j = 1 / VALUES, percent / 100
+    estimate = (equal - c * both) / (1 - c) / either
+    held = np.clip(either * (1 + j) / np.maximum(n_a + n_b, 1), 0, 1)
+    sigma = np.sqrt((j * (1 - j) * (1 - held) + c * (1 - j)) / either)
+    return estimate >= j - margin * sigma - 1 / either
+
+
 def floor_of(percent: float, n: int = BANDS * ROWS, bits: int = BITS, margin: float = MARGIN) -> int:
     """Least number of equal bit groups that keeps a pair as a candidate.
 
@@ -137,9 +178,9 @@ def similarity(equal: Column, n: int = BANDS * ROWS, bits: int = BITS) -> Column
 
 
 def sketches(docs: DataFrame, words: int = WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row a row of docs: key, n_shingles, print (of the whole set; null if empty), keys, bits."""
+    """One row a row of docs: key, n_shingles, print (of the whole set; null if empty), keys, bits, fine."""
     ship(docs.sparkSession)
-    schema = pa.schema([("n_shingles", pa.int64()), ("print", pa.binary()), ("keys", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
+    schema = pa.schema([("n_shingles", pa.int64()), ("print", pa.binary()), ("keys", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64())), ("fine", pa.binary())])
 
     def run(batches):
         import xxhash
@@ -151,13 +192,13 @@ def sketches(docs: DataFrame, words: int = WORDS, key: str = "doc_id", text: str
                     x = shingles(t, words)
                     if len(x):
                         keys, bits = sketch(x)
-                        out.append((len(x), xxhash.xxh3_128_digest(x.tobytes()), keys, bits))
+                        out.append((len(x), xxhash.xxh3_128_digest(x.tobytes()), keys, bits, fine_sketch(x)))
                     else:
-                        out.append((0, None, None, None))
-                yield pa.RecordBatch.from_arrays([part.column(key), *(pa.array([r[i] for r in out], schema.field(i).type) for i in range(4))],
+                        out.append((0, None, None, None, None))
+                yield pa.RecordBatch.from_arrays([part.column(key), *(pa.array([r[i] for r in out], schema.field(i).type) for i in range(5))],
                                                  [key, *schema.names])
 
-    return docs.select(key, text).mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, n_shingles long, print binary, keys array<long>, bits array<long>")
+    return docs.select(key, text).mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, n_shingles long, print binary, keys array<long>, bits array<long>, fine binary")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -213,20 +254,21 @@ def components(links: DataFrame) -> DataFrame:
 def _across(members: DataFrame, least: int, percent: int) -> DataFrame:
     """Candidate pairs (u, v) of different components in a bucket.
 
-    members: key, rep, component, n, bits, size (members of the bucket).
+    members: key, rep, component, n, bits, fine, size (members of the bucket).
     Buckets above BLOCK members are dealt into blocks and every pair of blocks
     is one group of rows, so no task holds a whole bucket.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = (members.withColumn("mine", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "component", "n", "bits"))
+             .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "component", "n", "bits", "fine"))
 
     def run(batches):
         for g in groups(batches, "key", "i", "j"):
             part = g.sort_by("component").to_pandas()
             rep, comp, n, mine = (part[c].to_numpy() for c in ("rep", "component", "n", "mine"))
             bits = np.stack(part["bits"].to_numpy()).view(np.uint64)
+            fine = np.frombuffer(b"".join(part["fine"]), np.uint64).reshape(len(part), -1)
             split, out = part["i"].iloc[0] != part["j"].iloc[0], []
             first = np.searchsorted(comp, comp, "left")
             for k in np.flatnonzero(first > 0):  # against all of the components before its own
@@ -240,7 +282,9 @@ def _across(members: DataFrame, least: int, percent: int) -> DataFrame:
                 ok = (equal >= least) & (100 * np.minimum(n[to], n[k]) >= percent * np.maximum(n[to], n[k]))
                 if split:
                     ok &= mine[to] != mine[k]
-                hit = rep[to][ok]
+                ok = np.flatnonzero(ok)
+                ok = ok[fine_similar(fine[ok], fine[k:k + 1], n[ok], n[k], percent)]
+                hit = rep[ok]
                 out.append(np.stack([np.minimum(hit, rep[k]), np.maximum(hit, rep[k])]))
             if out:
                 u, v = np.concatenate(out, 1)
@@ -268,8 +312,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     class_ = staged(sets.groupBy("print").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
     # different rows may share an id: one sketch for each class, taken from its smallest id
     reps = staged(sets.join(class_, "print").filter("doc_id = rep").groupBy("print").agg(
-        F.first("rep").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
-        .select("rep", "n", "keys", "bits"), "representatives")
+        F.first("rep").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits"), F.first("fine").alias("fine"))
+        .select("rep", "n", "keys", "bits", "fine"), "representatives")
     posts = reps.select("rep", F.explode("keys").alias("key"))
 
     # the centre of a bucket is its smallest id, so buckets of one group mostly have the same one
@@ -288,13 +332,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
 
     # what lies in one bucket and in different components yet
     def labelled(c):
-        return reps.select("rep", "n", "bits").join(c.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        return reps.select("rep", "n", "bits", "fine").join(c.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
     label = staged(labelled(comp), "labels")
     posted = shared.select("key", "rep").join(label.select("rep", "component"), "rep")
     mixed = posted.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("size"))
     mixed = staged(mixed.filter("a <> b").select("key", "size"), "mixed")
-    members = posted.join(mixed, "key").join(label.select("rep", "n", "bits"), "rep")
+    members = posted.join(mixed, "key").join(label.select("rep", "n", "bits", "fine"), "rep")
     more = _across(members, least, percent).join(star, ["u", "v"], "left_anti")
     links = staged(links.unionByName(confirmed(staged(more, "across"), texts, words, percent)), "all-links")
     final = components(links).withColumnRenamed("node", "rep")
