@@ -99,6 +99,19 @@ def ratios(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
     return one.select(ratio.alias("ratio"))
 
 
+def _judge(d: DataFrame, docs: DataFrame, trusted: DataFrame, key: str, text: str, threshold: float, buckets: int, smoothing: float) -> DataFrame:
+    """Add the columns of quality_rules to d, whose text is in the column ``text``; docs is the raw corpus."""
+    found = ratios(docs, trusted, key, text, buckets, smoothing).first()[0]
+    # ``buckets`` numbers, folded into one constant array; subqueries can't stand in lambdas
+    table = F.split(F.lit(",".join(f"{x:.5f}" for x in found)), ",").cast("array<double>")
+    d = with_base(with_grams(d, text), text)
+    d = d.withColumn("_ratio", F.transform(F.concat("_h1", "_h2"), lambda x: F.get(table, F.pmod(x, F.lit(buckets)).cast("int"))))
+    total = F.aggregate("_ratio", F.lit(0.0), lambda a, x: a + x)
+    d = d.withColumn("llr", F.when(F.size("_h1") > 0, total / (F.size("_h1") + F.size("_h2"))))
+    none = trusted.filter(F.col(key).isNotNull()).isEmpty()
+    return d.withColumn("kept", ~F.col("base_failed") & (F.lit(none) | F.coalesce(F.col("llr") >= threshold, F.lit(False))))
+
+
 def quality_rules(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
                   buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
     """Judge every row of docs.
@@ -107,16 +120,14 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text
     base_failed, llr (mean ratio of its n-grams; null without words) and kept:
     not base_failed and llr at or above the threshold. A null text has no words
     and fails the base rules, so it is never kept. Rows with equal keys are
-    judged one by one. Without trusted documents every ratio is 0 up to a
-    constant and the base rules alone decide.
+    judged one by one. Without trusted documents the base rules alone decide.
     """
-    found = ratios(docs, trusted, key, text, buckets, smoothing).first()[0]
-    # ``buckets`` numbers, folded into one constant array; subqueries can't stand in lambdas
-    table = F.split(F.lit(",".join(f"{x:.5f}" for x in found)), ",").cast("array<double>")
-    d = with_base(with_grams(docs.select(key, text), text), text)
-    d = d.withColumn("_ratio", F.transform(F.concat("_h1", "_h2"), lambda x: F.get(table, F.pmod(x, F.lit(buckets)).cast("int"))))
-    total = F.aggregate("_ratio", F.lit(0.0), lambda a, x: a + x)
-    d = d.withColumn("llr", F.when(F.size("_h1") > 0, total / (F.size("_h1") + F.size("_h2"))))
-    none = trusted.limit(1).agg(F.count(F.lit(1)).alias("n")).scalar() == 0
-    verdict = ~F.col("base_failed") & (none | F.coalesce(F.col("llr") >= threshold, F.lit(False)))
-    return d.select(key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", verdict.alias("kept"))
+    d = _judge(docs.select(key, text), docs, trusted, key, text, threshold, buckets, smoothing)
+    return d.select(key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept")
+
+
+def keep(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
+         buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
+    """The rows of docs that quality_rules keeps, with all their columns, whatever their names."""
+    d = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("text"))
+    return _judge(d, docs.select(F.col(key).alias("_id"), F.col(text).alias("text")), trusted.select(F.col(key).alias("_id")), "_id", "text", threshold, buckets, smoothing).filter("kept").select("_row.*")

@@ -118,17 +118,34 @@ def fit(labelled: DataFrame, label: str = "label", trees: int = TREES, depth: in
     return Rules(float(lasso_fit.intercept), weighted)
 
 
-def classify(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", cut: float = 0.3) -> tuple[DataFrame, Rules]:
-    """Score every row of docs; returns the scored rows and the rules.
-
-    labels: key, label (0 or 1; nulls are no labels). ``learn`` is a condition
-    on the key that says which rows may be learned from. Adds score (double)
-    and predicted (int, 1 from ``cut`` on) to the key. Texts that are null or
-    empty are scored by their statistics like any other. Rows with equal keys
-    are scored one by one.
+def learn(docs: DataFrame, labels: DataFrame, condition: Column | None = None, key: str = "doc_id", text: str = "text") -> Rules:
+    """Fit the ensemble to the labelled rows of docs; labels: key, label (0 or 1; others are no labels).
+
+    ``condition`` on the key says which rows may be learned from.
+    """
+    stats = with_statistics(docs.select(key, text), text).drop(text)
+    return _fit_to(stats, labels, condition, key)
+
+
+def _fit_to(stats: DataFrame, labels: DataFrame, condition: Column | None, key: str) -> Rules:
+    train = labels.filter(F.col("label").isin(0, 1)).join(stats if condition is None else stats.filter(condition), key)
+    return fit(staged(train.select(*STATISTICS, "label"), "labelled"))
+
+
+def keep(docs: DataFrame, rules: Rules, cut: float, text: str = "text") -> DataFrame:
+    """The rows of docs that score ``cut`` or more, with all their columns, whatever their names."""
+    d = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_given"))
+    return with_statistics(d, "_given").filter(rules.score() >= cut).select("_row.*")
+
+
+def classify(docs: DataFrame, labels: DataFrame, condition: Column | None = None, key: str = "doc_id", text: str = "text", cut: float = 0.3) -> tuple[DataFrame, Rules]:
+    """Score every row of docs; returns the scored rows and the rules (see ``learn``).
+
+    Adds score (double) and predicted (int, 1 from ``cut`` on) to the key.
+    Texts that are null or empty are scored by their statistics like any other.
+    Rows with equal keys are scored one by one; an empty table gives no rows.
     """
     stats = staged(with_statistics(docs.select(key, text), text).drop(text), "statistics")
-    train = labels.filter(F.col("label").isin(0, 1)).join(stats.filter(learn), key)
-    rules = fit(staged(train.select(*STATISTICS, "label"), "labelled"))
+    rules = _fit_to(stats, labels, condition, key)
     scored = stats.select(key, rules.score().alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= cut, 1).otherwise(0)), rules
