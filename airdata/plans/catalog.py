@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from airdata.plans import (analytics, cleaning, constraints, maintain, network, quality,  # noqa: F401
+from airdata.plans import (analytics, cleaning, constraints, ingest, maintain, network, quality,  # noqa: F401
                            reports, windows)
 from airdata.plans.registry import REGISTRY, runner
 

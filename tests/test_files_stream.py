@@ -160,3 +160,81 @@ def test_incremental_stream_is_idempotent(spark, tmp_dir):
     got = sorted(r.snapshot_id for r in spark.read.parquet(target).collect())
     assert got == ["2024-03-AA-JFK", "2024-04-AA-LAX"]
     assert spark.read.parquet(os.path.join(tmp_dir, "q")).count() == 1
+
+
+def test_doubled_quotes_stay_in_their_field(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "a.dat"), '1,"Foo ""Bar"" Intl, West",City,Land,FOO,KFOO,1.5,2.5,0,1,E,Zone,airport,x\n')
+    r = S.read_openflights_airports(spark, p).first()
+    assert (r["name"], r.iata_code, float(r.latitude)) == ('Foo "Bar" Intl, West', "FOO", 1.5)
+
+
+def test_first_row_in_file_order_wins(spark, tmp_dir):
+    line = "1,{name},City,Land,FOO,KFOO,1.5,2.5,0,1,E,Zone,airport,x\n"
+    write(os.path.join(tmp_dir, "in", "part1.csv"), line.format(name="First"))
+    write(os.path.join(tmp_dir, "in", "part2.csv"), line.format(name="Second") + "".join(
+        f"{i},Filler{i},City,Land,,F{i:03d},1,2,0,1,E,Zone,airport,x\n" for i in range(400)))
+    rows = S.read_openflights_airports(spark, os.path.join(tmp_dir, "in"))
+    empty = spark.createDataFrame([], "iata_code string")
+    got = S.load_airports(empty, rows).filter("iata_code = 'FOO'").collect()
+    assert [r["name"] for r in got] == ["First"]
+    head = BTS_OLD.splitlines()[0]
+    p = write(os.path.join(tmp_dir, "m.csv"), head + "\n2024,3,AA,x,JFK,y,500,1,1,1,1,1,1,1,1,1\n2024,3,AA,x,JFK,y,100,1,1,1,1,1,1,1,1,1\n")
+    target = spark.createDataFrame([], "snapshot_id string")
+    ins, _ = S.load_bts_performance(target, S.normalise_bts(S.read_csv_header(spark, p, order=True)),
+                                    spark.createDataFrame([("JFK",)], "iata_code string"))
+    assert [r.arrivals for r in ins.collect()] == [500]
+
+
+def test_bad_numbers_missing_keys_and_unknown_airlines(spark, tmp_dir):
+    head = BTS_OLD.splitlines()[0]
+    p = write(os.path.join(tmp_dir, "m.csv"), head + "\n2024,1,AA,x,JFK,y,NaN,2.6,1,1,NaN,1,1,1,1,1\n"
+              ",1,AA,x,JFK,y,1,1,1,1,1,1,1,1,1,1\n2024,2,QQ,x,JFK,y,1,1,1,1,1,1,1,1,1,1\n")
+    norm = S.normalise_bts(S.read_csv_header(spark, p, order=True))
+    airports, airlines = spark.createDataFrame([("JFK",)], "iata_code string"), spark.createDataFrame([("AA",)], "iata_code string")
+    ins, bad = S.load_bts_performance(spark.createDataFrame([], "snapshot_id string"), norm, airports, airlines)
+    assert [(r.snapshot_id, r.arrivals, r.arrivals_delayed_15min, r.total_arrival_delay_min) for r in ins.collect()] == [("2024-01-AA-JFK", 0, 3, 0.0)]
+    assert sorted(r.reason for r in bad.collect()) == ["missing key part", "unknown airline"]
+
+
+def test_us_dates_and_rows_without_key(spark, tmp_dir):
+    p = write(os.path.join(tmp_dir, "f.csv"), BTS_FLIGHTS.splitlines()[0] + "\nAA,,7,1/9/2024 12:00:00 AM,JFK,LAX,,,,,,0\nAA,,8,someday,JFK,LAX,,,,,,0\n")
+    rows = S.read_bts_flights(spark, p)
+    airlines = spark.createDataFrame([(1, "AA")], "airline_id bigint, iata_code string")
+    airports = spark.createDataFrame([(10, "JFK"), (11, "LAX")], "airport_id bigint, iata_code string")
+    empty = spark.createDataFrame([], "airline_id bigint, flight_number string, flight_date date")
+    ins, bad = S.load_bts_flights(empty, rows, airlines, airports)
+    assert [(r.flight_number, str(r.flight_date)) for r in ins.collect()] == [("7", "2024-01-09")]
+    assert [(r.flight_number, r.reason) for r in bad.collect()] == [("8", "missing key part")]
+
+
+def test_codes_never_repeat(spark):
+    from airdata.sources.fixtures import _pad
+    df = spark.createDataFrame([(1000,), (10000,), (10009,), (7,)], "k long")
+    assert [r.c for r in df.select(_pad(F.col("k"), 4).alias("c")).collect()] == ["1000", "10000", "10009", "0007"]
+
+
+def test_any_unique_with_equal_order_values(spark):
+    from airdata.operators.keys import insert_ignore_any_unique
+    c = spark.createDataFrame([(1, "a", "x"), (1, "a", "y"), (1, None, "y")], "o int, k string, m string")
+    got = insert_ignore_any_unique(c.limit(0), c, ["k", "m"], "o").collect()
+    assert len([r for r in got if r.k == "a"]) == 1
+
+
+def test_checkpoint_folder_must_be_shared(monkeypatch):
+    from airdata.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())

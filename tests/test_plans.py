@@ -58,3 +58,22 @@ def test_pre_aggregation_before_join(spark, sf_dir, q):
     # payments are summed per booking before the join: an aggregate sits
     # below the join on the payments side, and there is no distinct rewrite
     assert "Expand" not in p
+
+
+def test_first_per_key_is_cut_before_the_shuffle(spark):
+    from airdata.operators.keys import first_per_key
+    p = plan(first_per_key(spark.range(100).selectExpr("id % 7 as k", "id"), ["k"], ["id"]))
+    assert "WindowGroupLimit" in p and "SortAggregate" not in p
+
+
+def test_high_water_mark_reaches_the_scan(spark, sf_dir):
+    from airdata.operators.keys import new_rows_since
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    p = plan(new_rows_since(o, o.filter("o_orderkey < 50"), "o_orderkey"))
+    assert "NestedLoop" not in p and any("PushedFilters" in x and "GreaterThan" in x or "ScalarSubquery" in x or "Subquery" in x for x in p.splitlines())
+
+
+def test_no_nested_loops_in_reports(spark, sf_dir, q):
+    for name in ("fk_orphans_cte", "pk_fk_issue_list", "constraint_report", "bts_coverage"):
+        p = plan(q[name](spark, sf_dir))
+        assert "NestedLoop" not in p and "Cartesian" not in p and "to_json" not in p and "Expand" not in p, name
