@@ -11,11 +11,12 @@ task retries give the same answer.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airdata.functions.scalar import with_scalar
 from airdata.operators.keys import assign_surrogate_key, first_per_key, next_key_after_max
+from airdata.operators.scan import value_at
 
 ROUTE_KEYS = ["airline_id", "origin_airport_id", "destination_airport_id"]
 
@@ -182,14 +183,17 @@ def apply_change_log(flights: DataFrame, log: DataFrame) -> DataFrame:
 def select_fraction_of_parents(parents: DataFrame, key: str, ratio: float,
                                order: Column | None = None) -> DataFrame:
     """K-18: the first ``floor(n * ratio)`` distinct parents in hash order
-    (default ``xxhash64(key)``, ties by key). The count is a one-row frame;
-    the cut uses distributed positions, so k may be any size."""
-    keys = parents.select(key).distinct()
+    (default ``xxhash64(key)``, ties by key). The order value of the last one is
+    an exact order statistic; only the keys that share it are ranked."""
     o = order if order is not None else F.xxhash64(key)
-    ranked = assign_surrogate_key(keys.withColumn("_o", o), ["_o", key], "_rank")
-    n = keys.agg(F.floor(F.count(F.lit(1)) * F.lit(ratio)).alias("_k"))
-    return (with_scalar(ranked, n).filter(F.col("_rank") <= F.col("_k"))
-                  .select(key))
+    keys = parents.select(key).distinct().withColumn("_o", o)
+    k = keys.agg(F.floor(F.count("_o") * F.lit(ratio)).alias("_k")).scalar()
+    last = value_at(keys, "_o", ratio, lambda n: F.floor(n * F.lit(ratio)) - 1).scalar()
+    first = keys.filter(F.col("_o") < last)
+    # of the keys that tie at the last place, as many as are left
+    left = k - first.agg(F.count(F.lit(1))).scalar()
+    tied = keys.filter(F.col("_o") == last).withColumn("_n", F.row_number().over(Window.orderBy(key)))
+    return first.select(key).unionByName(tied.filter(F.col("_n") <= left).select(key))
 
 
 # ------------------------------------------------------------ key lookups

@@ -6,8 +6,8 @@ Scale notes
   aggregation, so a hot key costs nothing extra) and only the distinct key
   values meet the parent in an anti join.
 - Wide one-row reports attach one-row aggregates as scalar subqueries.
-- The exact median (Q-17) uses distributed positions, not a single-buffer
-  ``percentile`` aggregate.
+- The exact median (Q-17) counts by value around a sketched bracket, not in a
+  single-buffer ``percentile`` aggregate.
 """
 
 from __future__ import annotations
@@ -333,8 +333,7 @@ def bookings_per_passenger(bookings: DataFrame) -> DataFrame:
                     F.min("bookings_per_pax").alias("min_bookings_per_passenger"),
                     F.max("bookings_per_pax").alias("max_bookings_per_passenger"),
                     F.sum("bookings_per_pax").alias("booking_rows"))
-    med = exact_quantiles(per, "bookings_per_pax", [0.5], tiebreak=["passenger_id"],
-                          names=["median_bookings_per_passenger"])
+    med = exact_quantiles(per, "bookings_per_pax", [0.5], names=["median_bookings_per_passenger"])
     return with_scalar(stats, med).select(
         "total_bookings", "distinct_passengers", "min_bookings_per_passenger",
         "median_bookings_per_passenger", "max_bookings_per_passenger", "booking_rows")

@@ -17,7 +17,7 @@ from airdata.functions.numeric import count_if, pct, ratio, round_half_up, to_do
 from airdata.operators.keys import assign_surrogate_key
 from airdata.operators.metrics import (_perf_sums, fact_join, month_start, route_metrics,
                                       with_endpoint_iata)
-from airdata.operators.scan import exact_quantiles, prefix_sum
+from airdata.operators.scan import exact_quantiles, prefix_sums, value_at
 
 CAPTURED = ("Captured",)
 
@@ -98,12 +98,17 @@ def clv_ranked(clv: DataFrame) -> DataFrame:
 
 
 def get_top_customers(clv: DataFrame, pct_: float = 0.05) -> DataFrame:
-    """P-07: the top ``max(1, floor(n * pct))`` customers by CLV. The cut is
-    a scalar from a one-row count; rows stay distributed, so it works for any
-    n (a plain ``limit(k)`` would gather k rows into one task)."""
-    n = clv.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * F.lit(pct_))).alias("_k"))
-    return (with_scalar(clv_ranked(clv), n)
-            .filter(F.col("clv_rank") <= F.col("_k")).drop("_k"))
+    """P-07: the top ``max(1, floor(n * pct))`` customers by CLV. The value of
+    the last of them is an exact order statistic; only customers at or above it
+    are ranked."""
+    last = value_at(clv, "clv_usd", 1 - pct_, lambda n: n - _top_k(n, pct_))
+    kept = clv_ranked(clv.filter(F.col("clv_usd") >= last.scalar()))
+    k = clv.agg(_top_k(F.count("clv_usd"), pct_).alias("_k"))
+    return kept.filter(F.col("clv_rank") <= k.scalar())
+
+
+def _top_k(n, pct_: float):
+    return F.greatest(F.lit(1), F.floor(n * F.lit(pct_)))
 
 
 def get_worst_routes(flights: DataFrame, routes: DataFrame, airports: DataFrame,
@@ -187,17 +192,22 @@ def clv_describe(clv: DataFrame) -> DataFrame:
     stats = clv.agg(n.alias("count"), (s1 / n).alias("mean"),
                     F.sqrt(F.greatest(var, F.lit(0.0))).alias("std"),
                     to_double(F.min(x)).alias("min"), to_double(F.max(x)).alias("max"))
-    q = exact_quantiles(clv, "clv_usd", [0.25, 0.5, 0.75], tiebreak=["passenger_id"],
-                        names=["p25", "p50", "p75"])
+    q = exact_quantiles(clv, "clv_usd", [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
     return with_scalar(stats, q).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def top_share(clv: DataFrame, pct_: float = 0.05) -> DataFrame:
-    """P-14: revenue share of the top customers (P-07) in total CLV."""
-    top = get_top_customers(clv, pct_).agg(F.sum("clv_usd").alias("_top"))
-    total = clv.agg(F.sum("clv_usd").alias("_all"))
-    return with_scalar(top, total).select(
-        (to_double(F.col("_top")) / to_double(F.col("_all"))).alias("top_share"))
+    """P-14: revenue share of the top customers (P-07) in total CLV. Nobody is
+    ranked: the customers above the last value count whole, and of those at it
+    as many as are left."""
+    last = value_at(clv, "clv_usd", 1 - pct_, lambda n: n - _top_k(n, pct_))
+    x = with_scalar(clv, last.withColumnRenamed("v", "_last"))
+    over = F.col("clv_usd") > F.col("_last")
+    s = x.agg(F.sum("clv_usd").alias("_all"), F.sum(F.when(over, F.col("clv_usd"))).alias("_over"), F.count_if(over).alias("_n"),
+              _top_k(F.count("clv_usd"), pct_).alias("_k"), F.max("_last").alias("_last"))
+    zero = F.lit(0).cast("decimal(38,2)")
+    top = F.coalesce(F.col("_over"), zero) + (F.col("_k") - F.col("_n")).cast("decimal(20,0)") * F.col("_last")
+    return s.select((to_double(top) / to_double(F.col("_all"))).alias("top_share"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
@@ -259,8 +269,7 @@ def clv_lorenz(clv: DataFrame) -> DataFrame:
     cumulative customer share and cumulative revenue share (distributed
     prefix sums; no single-task window)."""
     c = clv.select("passenger_id", "clv_usd", F.lit(1).cast("bigint").alias("_one"))
-    cum = prefix_sum(c, ["clv_usd", "passenger_id"], "_one", "_k")
-    cum = prefix_sum(cum, ["clv_usd", "passenger_id"], "clv_usd", "_cum")
+    cum = prefix_sums(c, ["clv_usd", "passenger_id"], {"_one": "_k", "clv_usd": "_cum"})
     tot = clv.agg(F.count(F.lit(1)).alias("_n"), F.sum("clv_usd").alias("_t"))
     return (with_scalar(cum, tot)
             .select("passenger_id", to_double(F.col("clv_usd")).alias("clv_usd"),

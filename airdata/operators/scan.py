@@ -12,9 +12,9 @@ same results without either:
   carry-in offsets by broadcast.
 - ``running_sum``: per-group running sum over ranges of (group, order), with
   carries between the ranges of one group.
-- ``exact_quantiles``: linear-interpolated quantiles (``percentile_cont``,
-  pandas ``describe``) from global positions, with no single-buffer
-  ``percentile`` aggregate.
+- ``value_at``, ``exact_quantiles``: exact order statistics and interpolated
+  quantiles (``percentile_cont``, pandas ``describe``) without ordering all
+  rows and without a single-buffer ``percentile`` aggregate.
 """
 
 from __future__ import annotations
@@ -22,17 +22,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airdata.functions.scalar import with_scalar
-from airdata.operators.keys import assign_surrogate_key
-
 
 def _cols(cols):
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
-def prefix_sum(df: DataFrame, order_by, value: str, out: str,
-               num_partitions: int | None = None) -> DataFrame:
-    """``sum(value) over (order by order_by rows unbounded preceding)``."""
+def prefix_sums(df: DataFrame, order_by, sums: dict[str, str],
+                num_partitions: int | None = None) -> DataFrame:
+    """For each ``value: out``, ``sum(value) over (order by order_by rows
+    unbounded preceding)``, all in one ordered pass."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(order_by)
@@ -41,14 +39,20 @@ def prefix_sum(df: DataFrame, order_by, value: str, out: str,
                 .checkpoint(eager=True))
     local_w = (Window.partitionBy("_ps_pid").orderBy(*order)
                      .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn("_ps_local", F.sum(value).over(local_w))
-    totals = ranged.groupBy("_ps_pid").agg(F.sum(value).alias("_ps_tot"))
     before = Window.orderBy("_ps_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_ps_pid", F.sum("_ps_tot").over(before).alias("_ps_off"))
-    return (local.join(F.broadcast(offsets), "_ps_pid")
-                 .withColumn(out, F.col("_ps_local")
-                             + F.coalesce(F.col("_ps_off"), F.lit(0).cast(ranged.schema[value].dataType)))
-                 .drop("_ps_pid", "_ps_local", "_ps_off"))
+    totals = ranged.groupBy("_ps_pid").agg(*[F.sum(v).alias(f"_t_{v}") for v in sums])
+    offsets = totals.select("_ps_pid", *[F.sum(f"_t_{v}").over(before).alias(f"_o_{v}") for v in sums])
+    local = ranged.withColumns({f"_l_{v}": F.sum(v).over(local_w) for v in sums})
+    carry = {o: F.col(f"_l_{v}") + F.coalesce(F.col(f"_o_{v}"), F.lit(0).cast(ranged.schema[v].dataType))
+             for v, o in sums.items()}
+    # a row a range partition
+    return local.join(F.broadcast(offsets), "_ps_pid").withColumns(carry).select(*df.columns, *sums.values())
+
+
+def prefix_sum(df: DataFrame, order_by, value: str, out: str,
+               num_partitions: int | None = None) -> DataFrame:
+    """``sum(value) over (order by order_by rows unbounded preceding)``."""
+    return prefix_sums(df, order_by, {value: out}, num_partitions)
 
 
 def running_sum(df: DataFrame, partition_by, order_by, value: str, out: str,
@@ -84,34 +88,45 @@ def running_sum(df: DataFrame, partition_by, order_by, value: str, out: str,
                   .select(*df.columns, out))
 
 
-def exact_quantiles(df: DataFrame, value: str, quantiles, tiebreak=None,
-                    names=None) -> DataFrame:
-    """One-row frame of linearly interpolated quantiles of ``value``
-    (nulls ignored), i.e. ``percentile_cont(q)`` / pandas ``quantile``.
+# Width of the bracket around a quantile, as a share of the rows on either
+# side, and the accuracy of the sketch that sets it.
+BRACKET, ACCURACY = 3e-4, 10_000
+
 
-    Positions come from the distributed K-01 ranking; only the two rows around
-    each quantile position are kept, so the final aggregate reads at most
-    ``2 * len(quantiles)`` rows.
+def value_at(df: DataFrame, value: str, q: float, index) -> DataFrame:
+    """One row ``v``: the non-null value at a 0-based ``index`` (a function of
+    the number of values, near ``q`` of them) in ascending order, exactly.
+
+    A mergeable sketch brackets the place; the values outside the bracket are
+    only counted, and the few distinct ones inside are ordered by value with
+    their counts. No row is sorted with all others, and hot values are counted
+    before the shuffle.
     """
-    names = list(names or [f"q{int(round(q * 100))}" for q in quantiles])
     vals = df.filter(F.col(value).isNotNull())
-    order = [value] + list(tiebreak or [])
-    ranked = assign_surrogate_key(vals.select(*order), order, "_q_pos", start=0)
-    n = vals.agg(F.count(F.lit(1)).alias("_q_n"))
-    picks = []
-    for q, name in zip(quantiles, names):
-        pos = (F.col("_q_n") - 1) * F.lit(float(q))
-        picks.append((name, pos))
-    with_n = with_scalar(ranked, n)
-    needed = None
-    for _, pos in picks:
-        c = (F.col("_q_pos") == F.floor(pos)) | (F.col("_q_pos") == F.ceil(pos))
-        needed = c if needed is None else needed | c
-    near = with_n.filter(needed)
-    aggs = []
-    for name, pos in picks:
-        lo = F.max(F.when(F.col("_q_pos") == F.floor(pos), F.col(value).cast("double")))
-        hi = F.max(F.when(F.col("_q_pos") == F.ceil(pos), F.col(value).cast("double")))
-        frac = F.first(pos - F.floor(pos))
-        aggs.append((lo + (hi - lo) * frac).alias(name))
-    return near.agg(*aggs)
+    counts = vals.groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
+    marks = [0.0, max(0.0, q - BRACKET), min(1.0, q + BRACKET), 1.0]
+    one = vals.agg(F.struct(F.count(value).alias("n"), F.percentile_approx(value, marks, ACCURACY).alias("m"))).scalar()
+    n, m = one["n"], one["m"]
+    few = n * BRACKET < 4   # a whole rank is wider than the bracket: it spans all values
+    lo, hi = F.when(few, m[0]).otherwise(m[1]), F.when(few, m[3]).otherwise(m[2])
+    below = counts.filter(F.col(value) < lo).agg(F.coalesce(F.sum("_c"), F.lit(0))).scalar()
+    upto = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = (counts.filter((F.col(value) >= lo) & (F.col(value) <= hi))
+                    .withColumn("_to", below + F.sum("_c").over(upto)))
+    at = index(n)
+    return inside.filter((F.col("_to") > at) & (F.col("_to") - F.col("_c") <= at)).agg(F.max(value).alias("v"))
+
+
+def exact_quantiles(df: DataFrame, value: str, quantiles, names=None) -> DataFrame:
+    """One-row frame of linearly interpolated quantiles of ``value``
+    (nulls ignored), i.e. ``percentile_cont(q)`` / pandas ``quantile``."""
+    names = list(names or [f"q{int(round(q * 100))}" for q in quantiles])
+    out = df.filter(F.col(value).isNotNull()).agg(F.count(F.lit(1)).alias("_n"))
+    for i, q in enumerate(quantiles):
+        q = float(q)
+        lo = value_at(df, value, q, lambda n: F.floor((n - 1) * q))
+        hi = value_at(df, value, q, lambda n: F.ceil((n - 1) * q))
+        out = out.withColumns({f"_lo{i}": lo.scalar().cast("double"), f"_hi{i}": hi.scalar().cast("double")})
+    place = [(F.col("_n") - 1) * F.lit(float(q)) for q in quantiles]
+    return out.select(*[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (x - F.floor(x))).alias(name)
+                        for i, (x, name) in enumerate(zip(place, names))])
