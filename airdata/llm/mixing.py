@@ -9,11 +9,11 @@ probability is 0 or 1. Each step uses three open documents, finds the
 direction that changes neither total and goes along it, one way or the other
 with the odds that keep the probabilities, until one of the three is decided.
 
-At scale each source is dealt into blocks; the walk runs in every block and
-leaves at most two open documents, which go on to the next, coarser level. When
-a source has a single block, a few documents of all sizes are kept out of the
-walk; with the two it leaves they are the landing problem: of all roundings, the
-one whose word total is nearest. All choices hash the document, so reruns agree.
+At scale each source is dealt into blocks; a few documents of all sizes are kept
+out of the walk, which runs over the others of the block and leaves at most two
+open. Kept and open ones go on to the next, coarser level. In the last block of
+a source they are the landing problem: of all roundings, the one whose word
+total is nearest. All choices hash the document, so reruns agree.
 """
 
 from __future__ import annotations
@@ -144,7 +144,8 @@ def choose(units: DataFrame, stratum: list[str], block: int = BLOCK) -> DataFram
 
     ``unit`` identifies a document and ``draw`` is a hash of it in [0, 1). Every
     level deals each stratum into blocks of about ``block`` open documents by
-    hash, so a stratum with a large part of all rows is many blocks.
+    hash, so a stratum with a large part of all rows is many blocks. A block
+    must be well larger than LANDING, by which every level shrinks it.
     """
     decided, open_, level = [], units, 0
     while True:
@@ -162,10 +163,11 @@ def choose(units: DataFrame, stratum: list[str], block: int = BLOCK) -> DataFram
             pdf = pdf.sort_values(["draw", "unit", "size"], kind="stable")
             size, draw = pdf["size"].astype(float).tolist(), pdf["draw"].tolist()
             pi, whole = pdf["pi"].tolist(), pdf["blocks"].iloc[0] == 1
-            aside = {k: pi[k] for k in reserve(size) if EPS < pi[k] < 1 - EPS} if whole else {}
+            aside = {k: pi[k] for k in reserve(size) if EPS < pi[k] < 1 - EPS}
             pi = walk(size, [0.0 if k in aside else p for k, p in enumerate(pi)], draw)
+            pi = [aside.get(k, p) for k, p in enumerate(pi)]
             if whole:
-                pi = land(size, [aside.get(k, p) for k, p in enumerate(pi)])
+                pi = land(size, pi)
             return pdf.assign(pi=pi, landed=[p in (0.0, 1.0) for p in pi])[[*names, "landed"]]
 
         done = staged(dealt.groupBy(*stratum, "blocks", "block").applyInPandas(run, schema), f"cube{level}")
