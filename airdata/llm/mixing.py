@@ -119,11 +119,16 @@ def walk(size: list[float], pi: list[float], draw: list[float]) -> list[float]:
 
 
 def reserve(size: list[float], most: int = LANDING - 2) -> list[int]:
-    """Documents kept open for the landing: up to ``most``, at even steps through the order of size."""
+    """Documents kept open for the landing: up to ``most``, at even steps through the upper two thirds in the order of size.
+
+    They are large enough to make up for a large document that the walk leaves
+    open; the largest itself is left to the walk.
+    """
     by_size = sorted((k for k in range(len(size)) if size[k] > 0), key=lambda k: size[k])
     if len(by_size) <= most:
         return by_size
-    return sorted({by_size[round(i * (len(by_size) - 1) / (most - 1))] for i in range(most)})
+    pool = by_size[min(len(by_size) // 3, len(by_size) - most - 1):-1]
+    return sorted({pool[round(i * (len(pool) - 1) / (most - 1))] for i in range(most)})
 
 
 def land(size: list[float], pi: list[float]) -> list[float]:
