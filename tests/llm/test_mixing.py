@@ -59,8 +59,11 @@ def test_mix(spark):
         taken[g.source] += g.copies * g.size
         want[g.source] = g.target
         assert g.copies in (int(g.rate), int(g.rate) + 1)
-    for s, t in want.items():
-        assert abs(taken[s] - t) <= 0.01 * t
+    largest = {}
+    for g in got:
+        largest[g.source] = max(g.size, largest.get(g.source, 0))
+    for s, t in want.items():  # a large document may be left open to the end
+        assert abs(taken[s] - t) <= max(0.01 * t, largest[s] / 2)
     again = M.mix(d.repartition(7), block=100).collect()
     assert {g.doc_id: g.copies for g in got} == {g.doc_id: g.copies for g in again}
 
