@@ -63,6 +63,17 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns whose expressions are evaluated once a row.
+
+    Plain projections are merged into what uses them, and filters are pushed
+    below them, with a copy of the expression at every use; for expressions over
+    whole texts that multiplies the work. A generator of one row is not merged.
+    """
+    made = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.drop(*columns).select("*", F.inline(F.array(made)))
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column; null stays null."""
     return column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airdata.llm.common import computed
+
 #: Buckets of the hashed n-grams; added to every count.
 BUCKETS, SMOOTHING = 1 << 16, 1.0
 #: Least mean log-likelihood ratio of a document that is kept.
@@ -45,39 +47,40 @@ def without(text: Column, signs: str) -> Column:
 
 
 def neighbours(a: Column, step: int, f) -> Column:
-    """f(x[i], x[i + step]) for every i that has both; a: an array, referenced by name."""
+    """f(x[i], x[i + step]) for every i that has both; a: an array column."""
     n = F.greatest(F.size(a) - step, F.lit(0))
     return F.zip_with(F.slice(a, F.lit(1), n), F.slice(a, F.lit(1 + step), n), f)
 
 
 def with_grams(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add _words, _h1 and _h2: words, their hashes, and the hashes of neighbouring pairs."""
-    d = docs.withColumn("_spaced", spaced(F.coalesce(F.col(text), F.lit(""))))
-    d = d.withColumn("_words", words_of(F.col("_spaced")))
-    d = d.withColumn("_h1", F.transform("_words", lambda w: F.xxhash64(w)))
-    return d.withColumn("_h2", neighbours(F.col("_h1"), 1, lambda x, y: F.xxhash64(x, y)))
+    d = computed(docs, _spaced=spaced(F.coalesce(F.col(text), F.lit(""))))
+    d = computed(d, _words=words_of(F.col("_spaced")))
+    d = computed(d, _h1=F.transform("_words", lambda w: F.xxhash64(w)))
+    return computed(d, _h2=neighbours(F.col("_h1"), 1, lambda x, y: F.xxhash64(x, y)))
 
 
 def with_base(d: DataFrame, text: str = "text") -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed to the result of with_grams."""
     t = F.coalesce(F.col(text), F.lit(""))
-    d = (d.withColumn("n_words", F.size("_words").cast("long"))
-         .withColumn("word_chars", F.char_length(F.replace(F.col("_spaced"), F.lit(" "), F.lit(""))).cast("long"))
-         .withColumn("n_symbols", (F.octet_length(t) - F.octet_length(without(t, SYMBOLS))).cast("long")))
-    d = d.withColumn("_lines", F.filter(F.split(t, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
-    d = d.withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
-    # hashes of windows of 8 words, out of those of 2 and 4
-    d = d.withColumn("_h4", neighbours(F.col("_h2"), 2, lambda x, y: F.xxhash64(x, y)))
-    d = d.withColumn("_h8", neighbours(F.col("_h4"), 4, lambda x, y: F.xxhash64(x, y)))
+    d = computed(
+        d, n_words=F.size("_words").cast("long"),
+        word_chars=F.char_length(F.replace(F.col("_spaced"), F.lit(" "), F.lit(""))).cast("long"),
+        n_symbols=(F.octet_length(t) - F.octet_length(without(t, SYMBOLS))).cast("long"),
+        _lines=F.filter(F.split(t, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")),
+        # hashes of windows of 8 words, out of those of 2 and 4
+        _h4=neighbours(F.col("_h2"), 2, lambda x, y: F.xxhash64(x, y)))
+    d = computed(d, n_dup_lines=(F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+                 _h8=neighbours(F.col("_h4"), 4, lambda x, y: F.xxhash64(x, y)))
     # only documents that have a window twice go into the ordering of windows
     again = F.size(F.array_distinct("_h8")) < F.size("_h8")
-    d = d.withColumn("_order", F.when(again, F.sort_array(F.transform("_h8", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    d = d.withColumn("_at", F.sort_array(F.array_distinct(F.flatten(neighbours(
+    d = computed(d, _order=F.when(again, F.sort_array(F.transform("_h8", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    d = computed(d, _at=F.sort_array(F.array_distinct(F.flatten(neighbours(
         F.col("_order"), 1, lambda x, y: F.when(x["h"] == y["h"], F.array(x["i"], y["i"])).otherwise(F.array().cast("array<int>")))))))
-    d = d.withColumn("_steps", neighbours(F.col("_at"), 1, lambda x, y: F.least(y - x, F.lit(WINDOW))))
-    repeat = F.aggregate("_steps", F.lit(WINDOW).cast("long"), lambda a, x: a + x)
-    d = d.withColumn("n_repeat_words", F.coalesce(repeat, F.lit(0)).cast("long"))
-    return d.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
+    steps = neighbours(F.col("_at"), 1, lambda x, y: F.least(y - x, F.lit(WINDOW)))
+    repeat = F.aggregate(steps, F.lit(WINDOW).cast("long"), lambda a, x: a + x)
+    d = computed(d, n_repeat_words=F.coalesce(repeat, F.lit(0)).cast("long"))
+    return computed(d, base_failed=(F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
 
 
 def ratios(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
@@ -105,9 +108,8 @@ def _judge(d: DataFrame, docs: DataFrame, trusted: DataFrame, key: str, text: st
     # ``buckets`` numbers, folded into one constant array; subqueries can't stand in lambdas
     table = F.split(F.lit(",".join(f"{x:.5f}" for x in found)), ",").cast("array<double>")
     d = with_base(with_grams(d, text), text)
-    d = d.withColumn("_ratio", F.transform(F.concat("_h1", "_h2"), lambda x: F.get(table, F.pmod(x, F.lit(buckets)).cast("int"))))
-    total = F.aggregate("_ratio", F.lit(0.0), lambda a, x: a + x)
-    d = d.withColumn("llr", F.when(F.size("_h1") > 0, total / (F.size("_h1") + F.size("_h2"))))
+    total = F.aggregate(F.concat("_h1", "_h2"), F.lit(0.0), lambda a, x: a + F.get(table, F.pmod(x, F.lit(buckets)).cast("int")))
+    d = computed(d, llr=F.when(F.size("_h1") > 0, total / (F.size("_h1") + F.size("_h2"))))
     none = trusted.filter(F.col(key).isNotNull()).isEmpty()
     return d.withColumn("kept", ~F.col("base_failed") & (F.lit(none) | F.coalesce(F.col("llr") >= threshold, F.lit(False))))
 

@@ -18,7 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airdata.llm.common import staged
+from airdata.llm.common import computed, staged
 from airdata.llm.quality_rules import SYMBOLS, neighbours, spaced, without, words_of
 
 #: Statistics a score may use; all come from the text alone.
@@ -54,11 +54,10 @@ def holds(rule: tuple[Bound, ...]) -> Column:
 
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add the STATISTICS (double, never null) of a text; null counts as empty, and an empty text has zeros."""
-    d = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    d = d.withColumn("_spaced", spaced(F.col("_text")))
-    d = d.withColumn("_words", words_of(F.col("_spaced"))).withColumn("_lines", F.split("_text", "\n"))
-    d = (d.withColumn("_n", F.size("_words")).withColumn("_solid", F.replace("_spaced", F.lit(" "), F.lit("")))
-         .withColumn("_chars", F.char_length("_solid")).withColumn("_bytes", F.octet_length("_solid")))
+    t = F.coalesce(F.col(text), F.lit(""))
+    d = computed(docs, _spaced=spaced(t), _lines=F.split(t, "\n"))
+    d = computed(d, _words=words_of(F.col("_spaced")), _solid=F.replace("_spaced", F.lit(" "), F.lit("")))
+    d = computed(d, _n=F.size("_words"), _chars=F.char_length("_solid"), _bytes=F.octet_length("_solid"))
 
     def part(n: Column, of: Column) -> Column:
         return F.when(of > 0, n / of).otherwise(F.lit(0.0)).cast("double")
@@ -76,7 +75,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         "short_words": part(F.size(F.filter("_words", lambda w: F.octet_length(w) <= 2)), n), "long_words": part(F.size(F.filter("_words", lambda w: F.octet_length(w) > 14)), n),
         "dup_lines": part(F.size("_lines") - F.size(F.array_distinct("_lines")), F.size("_lines")), "mean_line": F.log1p(chars / F.size("_lines")),
     }
-    return d.select(*[F.col(c) for c in docs.columns], *[made[s].alias(s) for s in STATISTICS])
+    return computed(d, **{s: made[s] for s in STATISTICS}).select(*docs.columns, *STATISTICS)
 
 
 def paths(tree: str) -> set[tuple[Bound, ...]]:

@@ -32,7 +32,7 @@ def test_score_is_the_weighted_rules(spark, odd_docs):
 def test_statistics(spark):
     d = spark.createDataFrame([(1, "Ab cd cd!!\nx|#1 é.,\nx|#1 é.,")], "doc_id long, text string")
     r = R.with_statistics(d).first()
-    n, chars = 7, 19
+    n, chars = 7, 22
     assert r.words == pytest.approx(math.log1p(n)) and r.mean_word == pytest.approx(chars / n) and r.bangs == pytest.approx(2 / chars)
     assert r.symbols == pytest.approx(2 / chars) and r.bars == pytest.approx(2 / chars) and r.digits == pytest.approx(2 / chars)
     assert r.capitals == pytest.approx(1 / chars) and r.points == pytest.approx(4 / chars) and r.wide == pytest.approx(2 / chars)
