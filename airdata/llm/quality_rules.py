@@ -90,7 +90,8 @@ def ratios(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
     and not at all).
     """
     flag = trusted.select(F.col(key).alias("_key")).filter("_key is not null").distinct().withColumn("_trusted", F.lit(1))
-    d = docs.select(key, text).join(flag, F.col(key) == F.col("_key"), "left")
+    # the labels grow with the documents: one plan for all sizes
+    d = docs.select(key, text).join(flag.hint("merge"), F.col(key) == F.col("_key"), "left")
     grams = with_grams(d, text).select(F.coalesce("_trusted", F.lit(0)).alias("_trusted"), F.explode(F.concat("_h1", "_h2")).alias("_gram"))
     counts = (grams.groupBy(F.pmod("_gram", F.lit(buckets)).cast("int").alias("bucket"))
               .agg(F.count(F.lit(1)).alias("raw"), F.sum("_trusted").alias("target")))
