@@ -19,10 +19,11 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airdata.session import checkpoint_dir
-from airdata.sources.files import load_bts_performance, normalise_bts, with_file_order
+from airdata.sources.files import load_bts_performance, normalise_bts
 
 FP_SCHEMA = T.StructType([
     T.StructField("snapshot_id", T.StringType()), T.StructField("year", T.IntegerType()),
@@ -56,12 +57,14 @@ def stream_bts_folder(spark: SparkSession, inbox: str, header: list[str], target
     is replayed finds its rows in the target and writes its quarantine folder
     anew."""
     schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
-    src = with_file_order(spark.readStream.schema(schema).option("header", True)
-                .option("escape", '"').option("maxFilesPerTrigger", files_per_batch).csv(inbox))
+    src = (spark.readStream.schema(schema).option("header", True)
+                .option("escape", '"').option("maxFilesPerTrigger", files_per_batch).csv(inbox)
+                .select(*header, "_metadata.file_path", "_metadata.file_block_start"))
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "streams", query_name)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        norm = normalise_bts(batch)
+        at = F.struct("file_path", "file_block_start", F.monotonically_increasing_id().alias("position"))
+        norm = normalise_bts(batch.withColumn("_ord", at).drop("file_path", "file_block_start"))
         # The target is partitioned by (year, month), which are parts of the
         # key: a semi join on the months of the batch prunes its partitions.
         existing = _read_target(batch.sparkSession, target).join(
