@@ -49,7 +49,8 @@ def run_once(build) -> float:
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    extra = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m"}
+    extra = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+             "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")}
     for kv in os.environ.get("BENCH_CONF", "").split(","):
         if "=" in kv:
             k, v = kv.split("=", 1)

@@ -13,7 +13,7 @@ SF_DIR = os.environ.get("AIRDATA_TEST_SF", "/root/testdata/sf0.001")
 def spark():
     from airdata.session import get_session
     s = get_session(os.environ.get("AIRDATA_TEST_MASTER", "local[8]"), 8, app_name="airdata-tests",
-                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="airdata-test-ckpt-")})
+                    extra={"spark.driver.memory": "4g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="airdata-test-ckpt-")})
     yield s
     s.stop()
 
