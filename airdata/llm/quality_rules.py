@@ -4,9 +4,11 @@ Words and pairs of neighbouring words are hashed into buckets. Two multinomials
 over the buckets, of the trusted documents and of the raw corpus, give each
 bucket a log-likelihood ratio; a document's score is the mean over its n-grams,
 so it doesn't depend on its length. Every document whose score lies under a
-fixed threshold is rejected. Counting aggregates before the shuffle to one row
-a bucket and task; the ratios, one number (to five places) for each of the
-``BUCKETS`` buckets, reach the second pass as one constant array.
+fixed threshold is rejected. The buckets grow in proportion to the n-grams of
+the corpus, so what is added to each count weighs the same against it, and the
+threshold means the same, at every size. The ratios (to five places) are a
+distributed table that the n-grams of the second pass are joined with; a score
+belongs to a text, so its sum is gathered by the hash of the text.
 
 Arrays are handed to higher-order functions as arguments only, never used inside
 their lambdas: there they would be computed anew for each element.
@@ -17,10 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airdata.llm.common import computed
+from airdata.llm.common import computed, staged
 
-#: Buckets of the hashed n-grams; added to every count.
-BUCKETS, SMOOTHING = 1 << 16, 1.0
+#: Least number of buckets of the hashed n-grams; added to every count; n-grams (with repeats) a bucket of a larger corpus.
+BUCKETS, SMOOTHING, PER_BUCKET = 1 << 16, 1.0, 12
+#: Ratios are summed as whole multiples of 1 / PLACES, so that no order of the sum matters.
+PLACES = 100_000
 #: Least mean log-likelihood ratio of a document that is kept.
 THRESHOLD = -0.35
 #: Base rules: least words, per cent of words in repeated windows, words of a window.
@@ -83,34 +87,50 @@ def with_base(d: DataFrame, text: str = "text") -> DataFrame:
     return computed(d, base_failed=(F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
 
 
+def bucket_count(docs: DataFrame, text: str = "text", buckets: int = BUCKETS) -> int:
+    """Buckets for the n-grams of docs: one for PER_BUCKET of them, ``buckets`` at least."""
+    words = F.size(words_of(spaced(F.coalesce(F.col(text), F.lit(""))))).cast("long")
+    total = docs.agg(F.sum(F.greatest(2 * words - 1, F.lit(0)))).first()[0] or 0
+    return max(buckets, -(-total // PER_BUCKET))
+
+
 def ratios(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
-    """One row: ratio, the array of each bucket's log-likelihood ratio of trusted against all documents.
+    """A row a bucket that has n-grams: bucket and ratio, the log-likelihood ratio of trusted against all documents in units of 1 / PLACES.
 
     ``trusted``: the keys of the trusted documents (repeats and nulls count once
-    and not at all).
+    and not at all). ``buckets``: how many there are.
     """
     flag = trusted.select(F.col(key).alias("_key")).filter("_key is not null").distinct().withColumn("_trusted", F.lit(1))
     # the labels grow with the documents: one plan for all sizes
     d = docs.select(key, text).join(flag.hint("merge"), F.col(key) == F.col("_key"), "left")
     grams = with_grams(d, text).select(F.coalesce("_trusted", F.lit(0)).alias("_trusted"), F.explode(F.concat("_h1", "_h2")).alias("_gram"))
-    counts = (grams.groupBy(F.pmod("_gram", F.lit(buckets)).cast("int").alias("bucket"))
-              .agg(F.count(F.lit(1)).alias("raw"), F.sum("_trusted").alias("target")))
-    full = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").fillna(0)
-    # one row of at most ``buckets`` counts; the arrays are in the order of buckets
-    one = full.agg(F.sort_array(F.collect_list(F.struct("bucket", "raw", "target"))).alias("c"), F.sum("raw").alias("r"), F.sum("target").alias("t"))
-    share = lambda n, total: F.log((n + smoothing) / (total + smoothing * buckets))
-    ratio = F.transform("c", lambda x: share(x["target"], F.col("t")) - share(x["raw"], F.col("r")))
-    return one.select(ratio.alias("ratio"))
+    counts = staged(grams.groupBy(F.pmod("_gram", F.lit(buckets)).alias("bucket")).agg(F.count(F.lit(1)).alias("raw"), F.sum("_trusted").alias("target")), "buckets")
+    r, t = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)), F.coalesce(F.sum("target"), F.lit(0))).first()
+    share = lambda n, total: F.log((F.col(n) + smoothing) / F.lit(total + smoothing * buckets))
+    return counts.select("bucket", F.round((share("target", t) - share("raw", r)) * PLACES).cast("long").alias("ratio"))
+
+
+def scores(docs: DataFrame, found: DataFrame, text: str = "text", buckets: int = BUCKETS) -> DataFrame:
+    """A row a distinct text that has words: _text (its hash) and llr, the mean ratio of its n-grams.
+
+    Copies of a text add their n-grams to one row, which leaves the mean as it is.
+    """
+    grams = with_grams(docs.select(text), text).select(text_hash(text).alias("_text"), F.explode(F.concat("_h1", "_h2")).alias("_gram"))
+    # the buckets grow with the documents: one plan for all sizes
+    rated = grams.select("_text", F.pmod("_gram", F.lit(buckets)).alias("bucket")).join(found.hint("merge"), "bucket")
+    return rated.groupBy("_text").agg((F.sum("ratio") / PLACES / F.count(F.lit(1))).alias("llr"))
+
+
+def text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 def _judge(d: DataFrame, docs: DataFrame, trusted: DataFrame, key: str, text: str, threshold: float, buckets: int, smoothing: float) -> DataFrame:
     """Add the columns of quality_rules to d, whose text is in the column ``text``; docs is the raw corpus."""
-    found = ratios(docs, trusted, key, text, buckets, smoothing).first()[0]
-    # ``buckets`` numbers, folded into one constant array; subqueries can't stand in lambdas
-    table = F.split(F.lit(",".join(f"{x:.5f}" for x in found)), ",").cast("array<double>")
-    d = with_base(with_grams(d, text), text)
-    total = F.aggregate(F.concat("_h1", "_h2"), F.lit(0.0), lambda a, x: a + F.get(table, F.pmod(x, F.lit(buckets)).cast("int")))
-    d = computed(d, llr=F.when(F.size("_h1") > 0, total / (F.size("_h1") + F.size("_h2"))))
+    buckets = bucket_count(docs, text, buckets)
+    found = scores(docs, ratios(docs, trusted, key, text, buckets, smoothing), text, buckets)
+    d = with_base(with_grams(d, text), text).withColumn("_hash", text_hash(text))
+    d = d.join(found.hint("merge"), F.col("_hash") == F.col("_text"), "left")
     none = trusted.filter(F.col(key).isNotNull()).isEmpty()
     return d.withColumn("kept", ~F.col("base_failed") & (F.lit(none) | F.coalesce(F.col("llr") >= threshold, F.lit(False))))
 
@@ -124,6 +144,7 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text
     not base_failed and llr at or above the threshold. A null text has no words
     and fails the base rules, so it is never kept. Rows with equal keys are
     judged one by one. Without trusted documents the base rules alone decide.
+    ``buckets``: how many the n-grams have at least; larger corpora have more.
     """
     d = _judge(docs.select(key, text), docs, trusted, key, text, threshold, buckets, smoothing)
     return d.select(key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept")

@@ -89,3 +89,15 @@ def test_plan_is_native(spark, sf_dir, capsys):
         f(spark, sf_dir).explain()
         plan = capsys.readouterr().out
         assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_threshold_means_the_same_at_every_size(spark):
+    from airdata.llm.common import table
+    from airdata.llm.queries import op3_quality_rules
+
+    for sf in ("sf0.01", "sf0.1"):
+        path = f"/root/testdata/{sf}"
+        good = {r.doc_id: r.quality for r in table(spark, path, "labels").collect()}
+        judged = op3_quality_rules(spark, path).filter("not base_failed").select("doc_id", "kept").collect()
+        kept = {q: [r.kept for r in judged if good.get(r.doc_id) == q] for q in (0, 1)}
+        assert sum(kept[0]) <= 0.08 * len(kept[0]) and sum(kept[1]) >= 0.97 * len(kept[1]), sf
