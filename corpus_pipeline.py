@@ -39,13 +39,20 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five words a shingle, similarity 0.8.
+    """One row of each group of near copies: five words a shingle, similarity 0.8.
 
-    Of rows that repeat an id one stays, too; rows without an id are in no group and stay.
+    Rows are judged by themselves, whatever their ids: of a group the row of the
+    smallest id stays (rows without an id come last). Texts without words are
+    copies of nothing, but rows that repeat both id and text stay once.
     """
-    kept = minhash.near_duplicates(docs, words=5, percent=80).filter("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("n"), F.struct(*docs.columns).alias("row")), "rows")
+    found = minhash.near_duplicates(rows.select("n", F.col("row.text").alias("text")), words=5, percent=80, key="n")
+    found = found.join(rows.select("n", F.col("row.doc_id").alias("id"), F.sha2("row.text", 256).alias("digest")), "n")
+    group = F.when(F.col("n_shingles") > 0, F.col("component_id")).when(F.col("id").isNull(), F.col("n"))
+    same = [group.alias("group"), F.when(group.isNull(), F.col("id")).alias("same_id"), F.when(group.isNull(), F.col("digest")).alias("same_text")]
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest", "n"))["n"]
+    kept = found.groupBy(*same).agg(first.alias("n")).select("n")
+    return rows.join(kept, "n", "left_semi").select("row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -88,3 +88,14 @@ def test_stages_on_hard_cases(spark, sf_dir, odd_docs, no_docs):
             assert out.columns == d.columns and out.count() <= 3 * d.count(), name
     assert C.near_dedup_stage(spark, docs.unionByName(docs), sf_dir).filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").count() == 0
     assert C.packing_stage(spark, docs, sf_dir).count() >= docs.count()
+
+
+def test_near_dedup_stage_judges_rows(spark, words):
+    a, b, c = (" ".join(words(80, seed)) for seed in (1, 2, 3))
+    data = [(1, a), (1, b), (2, a), (3, c), (3, c), (None, c), (None, b + " more"), (None, None), (4, None), (4, None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    want = [(1, a), (1, b), (3, c), (4, None), (None, None)]
+    for d in (docs, docs.repartition(3, "text"), docs.orderBy(docs.text.desc())):
+        assert Counter(tuple(r) for r in C.near_dedup_stage(spark, d, "").collect()) == Counter(want)
+    alone = docs.filter("doc_id is null")
+    assert C.near_dedup_stage(spark, alone.unionByName(alone), "").filter("text is not null").count() == 2
