@@ -165,7 +165,7 @@ def choose(units: DataFrame, stratum: list[str], block: int = BLOCK) -> DataFram
         names = units.columns
 
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(["draw", "unit", "size"], kind="stable")
+            pdf = pdf.sort_values([c for c in ("draw", "unit", "size", "_content") if c in pdf], kind="stable")
             size, draw = pdf["size"].astype(float).tolist(), pdf["draw"].tolist()
             pi, whole = pdf["pi"].tolist(), pdf["blocks"].iloc[0] == 1
             aside = {k: pi[k] for k in reserve(size) if EPS < pi[k] < 1 - EPS}
@@ -197,7 +197,13 @@ def mix(df: DataFrame, key: str = "doc_id", weights=WEIGHTS, most: int = MOST, b
     keys are documents of their own, decided one by one; rows with a null key
     are spread by their place in the table. An empty table gives no rows.
     """
-    sized = with_size(df.select(key, "source", "text")).drop("text")
+    taken = _taken(df.select(key, "source", "text"), key, weights, most, block)
+    return taken.select("unit", key, "size", "source", "source_size", "target", "rate", "copies")
+
+
+def _taken(df: DataFrame, key: str, weights=WEIGHTS, most: int = MOST, block: int = BLOCK) -> DataFrame:
+    """The columns of mix and those of ``df`` besides its text."""
+    sized = with_size(df).drop("text")
     unit = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64(key))
     sized = staged(sized.withColumn("unit", unit), "sizes")
     rates = staged(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), "rates")
@@ -207,20 +213,17 @@ def mix(df: DataFrame, key: str = "doc_id", weights=WEIGHTS, most: int = MOST, b
     rated = (rated.withColumn("sure", F.floor(F.col("rate") + EPS))
              .withColumn("pi", F.greatest(F.col("rate") - F.col("sure"), F.lit(0.0))).withColumn("draw", draw))
     chosen = choose(rated, ["source"], block)
-    return chosen.select("unit", key, "size", "source", "source_size", "target", "rate",
-                         (F.col("sure") + F.col("chosen")).cast("long").alias("copies"))
+    return chosen.withColumn("copies", (F.col("sure") + F.col("chosen")).cast("long"))
 
 
 def mixed(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The mix itself: every row of ``df``, as often as it is taken (0 times: not at all).
 
-    Rows that share a key share its copies evenly; the first ones by a hash of
-    their content take what doesn't divide.
+    The copies are those that mix decides, row by row: of rows that share a key
+    and a size the order of a hash of their content decides.
     """
-    same = F.coalesce(F.concat(F.lit("v"), F.col(key).cast("string")), F.lit("n"))
-    taken = mix(df, key, **options).groupBy(same.alias("_key")).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(*[F.col(c) for c in df.columns])))
-    out = df.withColumn("_key", same).join(taken.filter("_copies > 0"), "_key")
-    out = out.withColumn("_n", F.floor(F.col("_copies") / F.col("_rows")) + F.when(nth <= F.col("_copies") % F.col("_rows"), 1).otherwise(0))
-    return (out.filter("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n").cast("long"))))
-            .select(*df.columns))
+    rows = staged(df.select(F.monotonically_increasing_id().alias("_at"), F.xxhash64(*[F.col(c) for c in df.columns]).alias("_content"), F.struct(*df.columns).alias("_row")), "rows")
+    one = F.col("_row")
+    taken = _taken(rows.select(one[key].alias("_key"), one["source"].alias("source"), one["text"].alias("text"), "_at", "_content"), "_key", **options)
+    out = rows.join(taken.filter("copies > 0").select("_at", "copies"), "_at")
+    return out.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("_row.*")

@@ -79,3 +79,20 @@ def test_hard_cases(spark, odd_docs, no_docs):
     for g in got:
         taken[g.doc_id] += g.copies
     assert Counter(r.doc_id for r in whole.collect()) == Counter({k: v for k, v in taken.items() if v})
+
+
+@pytest.mark.parametrize("key", ["cast(null as long)", "cast(7 as long)"])
+def test_mixed_keeps_the_targets_of_rows_without_own_keys(spark, key):
+    r = random.Random(3)
+    rows = [(i, " ".join(["w"] * r.randint(5, 60)), "abc"[min(2, i % 5)]) for i in range(600)]
+    d = spark.createDataFrame(rows, "n long, text string, source string").selectExpr(f"{key} as doc_id", "*")
+    sizes, taken = Counter(), Counter()
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    whole = M.mixed(d).collect()
+    for x in whole:
+        taken[x.source] += len(x.text.split())
+    want = brute_targets(sizes)
+    assert max(want[s] / sizes[s] for s in want) > 1.5 * min(want[s] / sizes[s] for s in want)
+    assert all(abs(taken[s] - t) <= 0.01 * t + 30 for s, t in want.items())
+    assert max(Counter(x.n for x in whole).values()) <= M.MOST
