@@ -13,49 +13,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airdata.functions.scalar import with_scalar
-
-
-def _cols(cols):
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
+from airdata.operators.scan import numbered
 
 
 def assign_surrogate_key(df: DataFrame, order_by, id_col: str, start=1,
                          num_partitions: int | None = None) -> DataFrame:
     """K-01: ``id = start - 1 + row_number() over (order by order_by)``.
 
-    A window without a partition key runs in one task. Instead the rows are
-    range-partitioned and sorted on the order key, each row gets its position
-    inside its partition, and a table of per-partition row counts (one row per
-    partition, so its size is bounded by the partition count and safe to
-    broadcast) supplies each partition's offset. ``start`` may be a Column
-    (e.g. a scalar ``max(id) + 1`` from a one-row frame) or an int.
-    ``order_by`` must be a total order for the ids to be reproducible.
+    A window without a partition key runs in one task; ``scan.numbered`` sorts
+    the rows in ranges and adds up a row count a range instead. Nothing is
+    written on the way, and the ids are the same however often the plan runs.
+    ``start`` may be a Column (e.g. a scalar ``max(id) + 1`` from a one-row
+    frame) or an int. ``order_by`` must be ascending and a total order.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = _cols(order_by)
-    # The range bounds come from a sample whose outcome depends on the row
-    # order inside upstream shuffle partitions, so two evaluations of this
-    # plan may place rows differently. Materialise partition id and position
-    # once (reliable checkpoint in the shared checkpoint folder) so the count
-    # table and the rows agree, and a lost executor re-reads instead of
-    # re-sampling.
-    ranged = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
-                .withColumn("_k01_pid", F.spark_partition_id())
-                .withColumn("_k01_pos", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
-    counts = ranged.groupBy("_k01_pid").agg(
-        F.count(F.lit(1)).alias("_k01_n"), F.min("_k01_pos").alias("_k01_p0"))
-    before = Window.orderBy("_k01_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_k01_pid", "_k01_p0",
-        F.coalesce(F.sum("_k01_n").over(before), F.lit(0)).alias("_k01_off"))
     start_col = start if isinstance(start, Column) else F.lit(start)
-    return (ranged.join(F.broadcast(offsets), "_k01_pid")
-                  .withColumn(id_col, (start_col + F.col("_k01_off")
-                                       + F.col("_k01_pos") - F.col("_k01_p0")).cast("bigint"))
-                  .drop("_k01_pid", "_k01_pos", "_k01_p0", "_k01_off"))
+    return (numbered(df, order_by, "_k01", num_partitions)
+            .withColumn(id_col, (start_col + F.col("_k01") - 1).cast("bigint")).drop("_k01"))
 
 
 def next_key_after_max(new_rows: DataFrame, existing: DataFrame, id_col: str,
@@ -129,7 +102,7 @@ def insert_ignore_any_unique(target: DataFrame, candidates: DataFrame,
     for k in keys:
         live = live.join(target.select(k).filter(F.col(k).isNotNull()).distinct(),
                          on=k, how="left_anti")
-    undecided = live
+    undecided = live.checkpoint()
     kept_parts = []
     while True:
         firsts = None

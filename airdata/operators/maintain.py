@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from airdata.functions.scalar import with_scalar
 from airdata.operators.keys import assign_surrogate_key, first_per_key, next_key_after_max
-from airdata.operators.scan import value_at
+from airdata.operators.scan import numbered, value_at
 
 ROUTE_KEYS = ["airline_id", "origin_airport_id", "destination_airport_id"]
 
@@ -184,16 +184,13 @@ def select_fraction_of_parents(parents: DataFrame, key: str, ratio: float,
                                order: Column | None = None) -> DataFrame:
     """K-18: the first ``floor(n * ratio)`` distinct parents in hash order
     (default ``xxhash64(key)``, ties by key). The order value of the last one is
-    an exact order statistic; only the keys that share it are ranked."""
+    an exact order statistic; only the keys up to it are numbered."""
     o = order if order is not None else F.xxhash64(key)
     keys = parents.select(key).distinct().withColumn("_o", o)
-    k = keys.agg(F.floor(F.count("_o") * F.lit(ratio)).alias("_k")).scalar()
-    last = value_at(keys, "_o", ratio, lambda n: F.floor(n * F.lit(ratio)) - 1).scalar()
-    first = keys.filter(F.col("_o") < last)
-    # of the keys that tie at the last place, as many as are left
-    left = k - first.agg(F.count(F.lit(1))).scalar()
-    tied = keys.filter(F.col("_o") == last).withColumn("_n", F.row_number().over(Window.orderBy(key)))
-    return first.select(key).unionByName(tied.filter(F.col("_n") <= left).select(key))
+    k = F.floor(F.col("_n") * F.lit(ratio))
+    last = value_at(keys, "_o", lambda n: F.floor(n * F.lit(ratio)) - 1).scalar()
+    kept = numbered(keys.filter(F.col("_o") <= last), ["_o", key], "_at")
+    return with_scalar(kept, keys.agg(F.count("_o").alias("_n"))).filter(F.col("_at") <= k).select(key)
 
 
 # ------------------------------------------------------------ key lookups

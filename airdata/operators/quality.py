@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airdata.functions.scalar import with_scalar
-from airdata.operators.scan import exact_quantiles
+from airdata.operators.scan import quantiles_of, value_counts
 from airdata.functions.numeric import to_double
 
 
@@ -329,11 +329,11 @@ def bookings_per_passenger(bookings: DataFrame) -> DataFrame:
     ``booking_rows`` is the actual number of bookings."""
     per = bookings.groupBy("passenger_id").agg(F.count(F.lit(1)).alias("bookings_per_pax"))
     stats = per.agg(F.count(F.lit(1)).alias("total_bookings"),
-                    F.countDistinct("passenger_id").alias("distinct_passengers"),
+                    F.count("passenger_id").alias("distinct_passengers"),
                     F.min("bookings_per_pax").alias("min_bookings_per_passenger"),
                     F.max("bookings_per_pax").alias("max_bookings_per_passenger"),
                     F.sum("bookings_per_pax").alias("booking_rows"))
-    med = exact_quantiles(per, "bookings_per_pax", [0.5], names=["median_bookings_per_passenger"])
+    med = quantiles_of(value_counts(per, "bookings_per_pax"), [0.5], ["median_bookings_per_passenger"])
     return with_scalar(stats, med).select(
         "total_bookings", "distinct_passengers", "min_bookings_per_passenger",
         "median_bookings_per_passenger", "max_bookings_per_passenger", "booking_rows")

@@ -4,7 +4,7 @@ In the source these return pandas frames and finish work on the client
 (``head``, ``describe``, ``sort_values``). Here each is a lazy DataFrame and
 that client-side work is part of the plan: limits are pushed into
 ``TakeOrderedAndProject``, top-percent cuts use distributed positions,
-quantiles use ``exact_quantiles``, cumulative shares use ``prefix_sum``.
+quantiles use ``order_statistics``, cumulative shares use ``prefix_sum``.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from airdata.functions.numeric import count_if, pct, ratio, round_half_up, to_do
 from airdata.operators.keys import assign_surrogate_key
 from airdata.operators.metrics import (_perf_sums, fact_join, month_start, route_metrics,
                                       with_endpoint_iata)
-from airdata.operators.scan import exact_quantiles, prefix_sums, value_at
+from airdata.operators.scan import order_statistics, prefix_sums, quantiles_of, value_at, value_counts
 
 CAPTURED = ("Captured",)
 
@@ -101,7 +101,7 @@ def get_top_customers(clv: DataFrame, pct_: float = 0.05) -> DataFrame:
     """P-07: the top ``max(1, floor(n * pct))`` customers by CLV. The value of
     the last of them is an exact order statistic; only customers at or above it
     are ranked."""
-    last = value_at(clv, "clv_usd", 1 - pct_, lambda n: n - _top_k(n, pct_))
+    last = value_at(clv, "clv_usd", lambda n: n - _top_k(n, pct_))
     kept = clv_ranked(clv.filter(F.col("clv_usd") >= last.scalar()))
     k = clv.agg(_top_k(F.count("clv_usd"), pct_).alias("_k"))
     return kept.filter(F.col("clv_rank") <= k.scalar())
@@ -184,15 +184,16 @@ def clv_describe(clv: DataFrame) -> DataFrame:
     pass, order independent), so it is the same number however the rows are
     partitioned or merged; a streaming variance merged across partitions can
     differ in the last bits from run to run."""
-    x = F.col("clv_usd")
-    n = F.count(x)
-    s1 = to_double(F.sum(x))
-    s2 = to_double(F.sum(x * x))
+    counts = value_counts(clv, "clv_usd")   # all that is wanted comes from it
+    x, c = F.col("_v"), F.col("_c")
+    n = F.sum(c)
+    s1 = to_double(F.sum(x * c.cast("decimal(12,0)")))
+    s2 = to_double(F.sum(x * x * c.cast("decimal(12,0)")))
     var = (s2 - s1 * s1 / n) / F.when(n > 1, n - 1)
-    stats = clv.agg(n.alias("count"), (s1 / n).alias("mean"),
-                    F.sqrt(F.greatest(var, F.lit(0.0))).alias("std"),
-                    to_double(F.min(x)).alias("min"), to_double(F.max(x)).alias("max"))
-    q = exact_quantiles(clv, "clv_usd", [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
+    stats = counts.agg(F.coalesce(n, F.lit(0)).alias("count"), (s1 / n).alias("mean"),
+                       F.sqrt(F.greatest(var, F.lit(0.0))).alias("std"),
+                       to_double(F.min(x)).alias("min"), to_double(F.max(x)).alias("max"))
+    q = quantiles_of(counts, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
     return with_scalar(stats, q).select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -200,13 +201,14 @@ def top_share(clv: DataFrame, pct_: float = 0.05) -> DataFrame:
     """P-14: revenue share of the top customers (P-07) in total CLV. Nobody is
     ranked: the customers above the last value count whole, and of those at it
     as many as are left."""
-    last = value_at(clv, "clv_usd", 1 - pct_, lambda n: n - _top_k(n, pct_))
-    x = with_scalar(clv, last.withColumnRenamed("v", "_last"))
-    over = F.col("clv_usd") > F.col("_last")
-    s = x.agg(F.sum("clv_usd").alias("_all"), F.sum(F.when(over, F.col("clv_usd"))).alias("_over"), F.count_if(over).alias("_n"),
-              _top_k(F.count("clv_usd"), pct_).alias("_k"), F.max("_last").alias("_last"))
-    zero = F.lit(0).cast("decimal(38,2)")
-    top = F.coalesce(F.col("_over"), zero) + (F.col("_k") - F.col("_n")).cast("decimal(20,0)") * F.col("_last")
+    counts = value_counts(clv, "clv_usd")
+    k = _top_k(F.col("_n"), pct_)
+    x = with_scalar(counts, order_statistics(counts, {"_last": F.col("_n") - k}))
+    over, n = F.col("_v") > F.col("_last"), F.col("_c").cast("decimal(12,0)")
+    s = x.agg(F.sum(F.col("_v") * n).alias("_all"), F.sum(F.when(over, F.col("_v") * n)).alias("_over"), F.sum(F.when(over, F.col("_c"))).alias("_many"),
+              F.sum("_c").alias("_n"), F.max("_last").alias("_last"))
+    left = k - F.coalesce(F.col("_many"), F.lit(0))
+    top = F.coalesce(F.col("_over"), F.lit(0).cast("decimal(38,2)")) + left.cast("decimal(20,0)") * F.col("_last")
     return s.select((to_double(top) / to_double(F.col("_all"))).alias("top_share"))
 
 

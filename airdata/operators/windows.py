@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from airdata.functions.scalar import with_scalar
 from airdata.operators.metrics import fact_join, lifetime_miles, month_start
-from airdata.operators.scan import prefix_sum, running_sum
+from airdata.operators.scan import order_statistics, prefix_sum, running_sum, value_counts
 from airdata.functions.numeric import ratio, to_double
 
 
@@ -116,26 +116,21 @@ def percent_rank_at_least(df: DataFrame, value: str, threshold: float,
 
     percent_rank = (rows strictly below) / (n - 1); ties share the lowest.
     Computed on the per-value count table (partial aggregation absorbs hot
-    values) with a distributed prefix sum. The rank is monotone in the value,
-    so the qualifying rows are those at or above the smallest qualifying
-    value: rows are cut with that one scalar first (a hot value below the cut
-    never reaches a shuffle) and only then joined to their ranks.
-    n = 1 gives 0 as in SQL.
+    values). The rank is monotone in the value, so an order statistic a place
+    below the threshold cuts the values and the rows; only the values above it
+    are summed up in order, from the number of rows below. n = 1 gives 0 as in SQL.
     """
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_pr_c"))
-    cum = prefix_sum(counts, [value], "_pr_c", "_pr_cum")
-    total = counts.agg(F.sum("_pr_c").alias("_pr_n"))
-    ranks = (with_scalar(cum, total)
-                .withColumn(out, F.coalesce(
-                    (F.col("_pr_cum") - F.col("_pr_c")).cast("double")
-                    / F.when(F.col("_pr_n") > 1, (F.col("_pr_n") - 1).cast("double")),
-                    F.lit(0.0)))
-                .filter(F.col(out) >= F.lit(threshold))
-                .select(value, out))
-    cut = ranks.agg(F.min(value).alias("_pr_cut"))
-    top = (with_scalar(df, cut).filter(F.col(value) >= F.col("_pr_cut"))
-             .drop("_pr_cut"))
-    return top.join(ranks, value)
+    counts = value_counts(df, value)
+    at = F.greatest(F.floor(F.lit(threshold) * (F.col("_n") - 1)) - 1, F.lit(0))
+    cut = order_statistics(counts, {"_cut": at}, below=True)
+    total = counts.filter("_c > 0").agg(F.sum("_c").alias("_n"))
+    top = with_scalar(counts, cut).filter(F.col("_v") >= F.col("_cut"))
+    below = F.col("_to") - F.col("_c") + F.col("_cut_below")
+    ranks = (with_scalar(prefix_sum(top, ["_v"], "_c", "_to"), total)
+             .withColumn(out, F.coalesce(below.cast("double") / F.when(F.col("_n") > 1, (F.col("_n") - 1).cast("double")), F.lit(0.0)))
+             .filter(F.col(out) >= F.lit(threshold)).select(F.col("_v").alias(value), out))
+    rows = with_scalar(df, cut.select("_cut")).filter(F.col(value) >= F.col("_cut")).drop("_cut")
+    return rows.join(ranks, value)
 
 
 def top_loyalty_5pct(loyalty_accounts: DataFrame, miles_transactions: DataFrame,

@@ -109,7 +109,8 @@ class Fixtures:
     def routes(self) -> DataFrame:
         keys = ["airline_id", "origin_airport_id", "destination_airport_id"]
         distinct = self.flights_base.select(*keys).distinct()
-        return assign_surrogate_key(distinct, keys, "route_id").select("route_id", *keys)
+        # written once, as a loaded table would be
+        return assign_surrogate_key(distinct, keys, "route_id").select("route_id", *keys).checkpoint()
 
     @cached_property
     def flights(self) -> DataFrame:
@@ -157,7 +158,7 @@ class Fixtures:
              .otherwise("Travel Agent").alias("booking_channel"))
         keyed = assign_surrogate_key(shaped, ["passenger_id", "flight_id"], "booking_id")
         return keyed.select("booking_id", "passenger_id", "flight_id", "booking_date",
-                            "fare_class", "base_price_usd", "booking_channel")
+                            "fare_class", "base_price_usd", "booking_channel").checkpoint()
 
     @cached_property
     def payments(self) -> DataFrame:

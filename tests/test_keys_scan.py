@@ -135,3 +135,56 @@ def test_histogram_counts_sum_to_rows(spark):
     h = histogram(df, "x", 5).collect()
     assert len(h) == 5 and sum(r["count"] for r in h) == 9
     assert h[-1]["count"] == 4     # last bin is closed on the right (9, 9, 10, 10)
+
+
+def test_ids_are_a_function_of_the_rows(spark):
+    # however the rows are dealt and however often the plan runs, ids stay
+    rows = [(random.choice([None, "a", "b", "ä"]), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, v int")
+    runs = [{(r.k, r.v): r.id for r in K.assign_surrogate_key(d, ["k", "v"], "id", num_partitions=n).collect()}
+            for d, n in ((df, 8), (df.repartition(13), 8), (df, 1), (df, 50))]
+    ref = sorted(rows, key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1]))
+    assert all(r == {k: i + 1 for i, k in enumerate(ref)} for r in runs)
+
+
+def test_no_checkpoint_in_ordered_scans(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    monkeypatch.setattr(DataFrame, "checkpoint", None)
+    monkeypatch.setattr(DataFrame, "localCheckpoint", None)
+    df = spark.range(100).selectExpr("id % 3 as p", "id as o", "id as v")
+    assert K.assign_surrogate_key(df, ["o"], "n").count() == 100
+    assert running_sum(df, ["p"], ["o"], "v", "s").count() == 100 and prefix_sum(df, ["o"], "v", "s").count() == 100
+    assert prefix_sum(df.limit(0), ["o"], "v", "s").count() == 0
+
+
+def test_running_takes_any_aggregate(spark):
+    from airdata.operators.scan import running
+    rows = [(None if i % 2 else 1, i, None if i % 5 == 0 else (i * 7919) % 1009) for i in range(300)]
+    df = spark.createDataFrame(rows, "p int, o int, v bigint")
+    got = running(df, ["p"], ["o"], {"x": (F.col("v"), F.bit_xor, lambda a, b: a.bitwiseXOR(b)), "m": (F.col("v"), F.max, F.greatest)}, num_partitions=11)
+    w = Window.partitionBy("p").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    ref = df.withColumn("x", F.bit_xor("v").over(w)).withColumn("m", F.max("v").over(w))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)
+
+
+def test_order_statistics_hold_with_any_cut_points(spark):
+    from airdata.operators.scan import order_statistics, value_counts
+    vals = [random.choice([-5, 0, 0, 3, 3, 3, 8, 100, None]) for _ in range(400)] + list(range(200, 300))
+    counts = value_counts(spark.createDataFrame([(v,) for v in vals], "v int"), "v")
+    ref = sorted(v for v in vals if v is not None)
+    at = [0, 1, 17, len(ref) // 2, len(ref) - 1]
+    ranks = {f"r{i}": F.lit(i) for i in at} | {"last": F.col("_n") - 1, "off": F.col("_n"), "neg": F.lit(-1)}
+    for bounds in (None, [], [-1000], [1000], [3, 3, 3], [-7, 250, 251]):   # also none, all on one side, repeated
+        got = order_statistics(counts, ranks, bounds, below=True).first()
+        assert [got[f"r{i}"] for i in at] == [ref[i] for i in at] and got["last"] == ref[-1], bounds
+        assert [got[f"r{i}_below"] for i in at] == [sum(v < ref[i] for v in ref) for i in at]
+        assert got["off"] is None and got["neg"] is None
+    assert order_statistics(counts.limit(0), {"x": F.lit(0)}).first().x is None
+
+
+def test_quantiles_of_hot_and_few_values(spark):
+    for vals in ([7.0], [1.0, 2.0], [5.0] * 900 + [6.0] * 3, []):
+        df = spark.createDataFrame([(v,) for v in vals], "v double")
+        got = exact_quantiles(df, "v", [0.25, 0.5, 0.75]).first()
+        want = np.quantile(vals, [0.25, 0.5, 0.75]) if vals else [None] * 3
+        assert list(got) == list(want)
