@@ -11,6 +11,7 @@ def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     such as a count, a maximum or a cut-off -- to every row of ``df``.
 
     An uncorrelated scalar subquery: it is computed once and is a constant in
-    the plan of ``df``, which needs no join."""
+    the plan of ``df``, which needs no join. It is named once and taken apart
+    above, so the plan holds it once whatever the number of columns."""
     one = one_row.select(F.struct(*one_row.columns).alias("_one")).scalar()
-    return df.withColumns({c: one[c] for c in one_row.columns})
+    return df.withColumn("_one", one).select("*", *[F.col("_one")[c].alias(c) for c in one_row.columns]).drop("_one")

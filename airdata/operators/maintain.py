@@ -186,7 +186,7 @@ def select_fraction_of_parents(parents: DataFrame, key: str, ratio: float,
     (default ``xxhash64(key)``, ties by key). The order value of the last one is
     an exact order statistic; only the keys up to it are numbered."""
     o = order if order is not None else F.xxhash64(key)
-    keys = parents.select(key).distinct().withColumn("_o", o)
+    keys = parents.select(key).distinct().withColumn("_o", o).checkpoint()   # a key and its place a row
     k = F.floor(F.col("_n") * F.lit(ratio))
     last = value_at(keys, "_o", lambda n: F.floor(n * F.lit(ratio)) - 1).scalar()
     kept = numbered(keys.filter(F.col("_o") <= last), ["_o", key], "_at")

@@ -17,7 +17,7 @@ from airdata.functions.numeric import count_if, pct, ratio, round_half_up, to_do
 from airdata.operators.keys import assign_surrogate_key
 from airdata.operators.metrics import (_perf_sums, fact_join, month_start, route_metrics,
                                       with_endpoint_iata)
-from airdata.operators.scan import order_statistics, prefix_sums, quantiles_of, value_at, value_counts
+from airdata.operators.scan import order_statistics, prefix_sums, quantiles_of, value_counts
 
 CAPTURED = ("Captured",)
 
@@ -101,10 +101,11 @@ def get_top_customers(clv: DataFrame, pct_: float = 0.05) -> DataFrame:
     """P-07: the top ``max(1, floor(n * pct))`` customers by CLV. The value of
     the last of them is an exact order statistic; only customers at or above it
     are ranked."""
-    last = value_at(clv, "clv_usd", lambda n: n - _top_k(n, pct_))
-    kept = clv_ranked(clv.filter(F.col("clv_usd") >= last.scalar()))
-    k = clv.agg(_top_k(F.count("clv_usd"), pct_).alias("_k"))
-    return kept.filter(F.col("clv_rank") <= k.scalar())
+    clv = clv.checkpoint()   # a row a customer: the payments are summed once
+    cut = order_statistics(value_counts(clv, "clv_usd"), {"_last": F.col("_n") - _top_k(F.col("_n"), pct_)}, below=True).select("_last", "_n")
+    last, n = cut.first()   # one row of two numbers
+    k = _top_k(F.lit(n), pct_)
+    return clv_ranked(clv.filter(F.col("clv_usd") >= F.lit(last))).filter(F.col("clv_rank") <= k)
 
 
 def _top_k(n, pct_: float):

@@ -145,15 +145,16 @@ RANGES, ACCURACY = 256, 4096
 
 def value_counts(df: DataFrame, value: str) -> DataFrame:
     """``_v``, ``_c``: the distinct non-null values and their numbers of rows. A hot
-    value is counted before the shuffle."""
+    value is counted before the shuffle. The table is written once (a value and
+    a number a row), so that whatever df stands for is computed once."""
     return (df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_c")))
+              .agg(F.count(F.lit(1)).alias("_c")).checkpoint())
 
 
 def order_statistics(counts: DataFrame, ranks: dict[str, Column], bounds: list | None = None, below: bool = False) -> DataFrame:
     """One row: for each ``name: rank`` the value at that 0-based rank of the
     ascending order, null where no row has it; with ``below`` also
-    ``name_below``, the number of rows with a smaller value.
+    ``name_below``, the number of rows with a smaller value, and ``_n``.
 
     ``counts`` comes from ``value_counts``; a rank is an expression over ``_n``,
     the number of rows. All ranks are found together: the values are cut by one
@@ -164,8 +165,7 @@ def order_statistics(counts: DataFrame, ranks: dict[str, Column], bounds: list |
     """
     if bounds is None:
         marks = [(i + 1) / RANGES for i in range(RANGES - 1)]
-        # the filter is always true and keeps the column, so that all uses share one exchange
-        cuts = counts.filter("_c > 0").agg(F.array_distinct(F.percentile_approx("_v", marks, ACCURACY))).scalar()
+        cuts = counts.agg(F.array_distinct(F.percentile_approx("_v", marks, ACCURACY))).scalar()
         n_cuts = RANGES
     else:
         cuts, n_cuts = F.array(*[F.lit(b) for b in bounds]).cast(f"array<{counts.schema['_v'].dataType.simpleString()}>"), len(bounds) + 1
@@ -189,6 +189,8 @@ def order_statistics(counts: DataFrame, ranks: dict[str, Column], bounds: list |
         out.append(F.max(F.when(hit, F.col("_v"))).alias(name))
         if below:
             out.append(F.max(F.when(hit, F.col("_to") - F.col("_c"))).alias(f"{name}_below"))
+    if below:
+        out.append(F.max("_n").alias("_n"))
     return near.agg(*out)
 
 
@@ -204,8 +206,7 @@ def quantiles_of(counts: DataFrame, quantiles, names, bounds: list | None = None
     ranks = {}
     for i, x in enumerate(at):
         ranks |= {f"_lo{i}": F.floor(x), f"_hi{i}": F.ceil(x)}
-    n = counts.filter("_c > 0").agg(F.sum("_c")).scalar()
-    found = order_statistics(counts, ranks, bounds).withColumn("_n", n)
+    found = order_statistics(counts, ranks, bounds, below=True)
 
     def between(i, x):
         lo, hi = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double")

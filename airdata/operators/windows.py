@@ -123,20 +123,21 @@ def percent_rank_at_least(df: DataFrame, value: str, threshold: float,
     counts = value_counts(df, value)
     at = F.greatest(F.floor(F.lit(threshold) * (F.col("_n") - 1)) - 1, F.lit(0))
     cut = order_statistics(counts, {"_cut": at}, below=True)
-    total = counts.filter("_c > 0").agg(F.sum("_c").alias("_n"))
-    top = with_scalar(counts, cut).filter(F.col("_v") >= F.col("_cut"))
+    # the few values from the cut on, written once
+    top = with_scalar(counts, cut).filter(F.col("_v") >= F.col("_cut")).checkpoint()
     below = F.col("_to") - F.col("_c") + F.col("_cut_below")
-    ranks = (with_scalar(prefix_sum(top, ["_v"], "_c", "_to"), total)
+    ranks = (prefix_sum(top, ["_v"], "_c", "_to")
              .withColumn(out, F.coalesce(below.cast("double") / F.when(F.col("_n") > 1, (F.col("_n") - 1).cast("double")), F.lit(0.0)))
              .filter(F.col(out) >= F.lit(threshold)).select(F.col("_v").alias(value), out))
-    rows = with_scalar(df, cut.select("_cut")).filter(F.col(value) >= F.col("_cut")).drop("_cut")
+    rows = df.filter(F.col(value) >= top.agg(F.min("_v")).scalar())
     return rows.join(ranks, value)
 
 
 def top_loyalty_5pct(loyalty_accounts: DataFrame, miles_transactions: DataFrame,
                      threshold: float = 0.95) -> DataFrame:
     """A-14: members in the top 5% by lifetime miles (PERCENT_RANK >= 0.95)."""
-    lm = lifetime_miles(loyalty_accounts, miles_transactions)
+    # a row an account, written once: the miles are summed once
+    lm = lifetime_miles(loyalty_accounts, miles_transactions).checkpoint()
     return (percent_rank_at_least(lm, "lifetime_miles", threshold)
             .select("loyalty_id", "passenger_id", "tier", "miles_balance", "lifetime_miles",
                     "percentile_rank")

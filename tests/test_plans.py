@@ -78,3 +78,10 @@ def test_no_nested_loops_in_reports(spark, sf_dir, q):
         p = plan(q[name](spark, sf_dir))
         assert not any(x in p for x in ("NestedLoop", "Cartesian", "to_json")), name
     assert "Expand" not in p   # of the coverage: rows are not multiplied
+
+
+def test_order_statistics_share_one_plan(spark, sf_dir, q):
+    import re
+    for name in ("clv_describe", "top_share", "bookings_per_passenger", "top_loyalty_5pct", "get_top_customers"):
+        exchanges = re.findall(r"^\(\d+\) (?:Broadcast)?Exchange", plan(q[name](spark, sf_dir)), re.M)
+        assert len(exchanges) <= 12, (name, len(exchanges))
