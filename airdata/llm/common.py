@@ -74,6 +74,24 @@ def computed(df: DataFrame, **columns: Column) -> DataFrame:
     return df.drop(*columns).select("*", F.inline(F.array(made)))
 
 
+#: A key is heavy from this part of all rows on; there are fewer than HEAVY such keys.
+HEAVY = 1000
+
+
+def heavy_join(left: DataFrame, right: DataFrame, on: list[str], size: str, how: str = "inner") -> DataFrame:
+    """Join left with right, which is unique in ``on`` and holds in ``size`` the rows of left by key.
+
+    The heavy keys of right, fewer than HEAVY by the sum of their sizes, are
+    broadcast, and their rows of left stay where they are; only the others are
+    shuffled. ``how``: inner or left. Both sides should be tables: they are read twice.
+    """
+    total = right.agg(F.sum(size)).scalar()
+    is_heavy = F.col(size) * HEAVY > total
+    heavy = right.filter(is_heavy)  # fewer than HEAVY rows
+    rest = left.join(F.broadcast(heavy.select(*on)), on, "left_anti").join(right.filter(~is_heavy), on, how)
+    return left.join(F.broadcast(heavy), on).unionByName(rest)
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column; null stays null."""
     return column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()

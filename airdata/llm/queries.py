@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airdata.llm import ann, lm, minhash, mixing, packing, quality_rules, rule_ensemble, sharding, token_files, warc
+from airdata.llm import ann, lm, minhash, mixing, packing, quality_rules, rule_ensemble, sharding, token_files, trie, warc
 from airdata.llm.common import table
 from airdata.llm.tokens import vocabulary
 
@@ -85,6 +85,11 @@ def op10_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all rebuilt conversations with the totals of every subtree."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of corpus_pipeline over all documents."""
     import corpus_pipeline
@@ -94,7 +99,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries():
     return {f.__name__: f for f in (pipeline, op1_minhash_near_dedup, op2_token_files, op3_quality_rules, op4_packing, op5_sharding, op6_rule_ensemble, op7_mixing,
-                                   op8_permutation_index, op9_warc, op10_context_mixing)}
+                                   op8_permutation_index, op9_warc, op10_context_mixing, op11_prefix_trie)}
 
 
 OP1_SQL = r"""
@@ -140,6 +145,42 @@ FROM p LEFT JOIN o USING (payload_digest)
 """
 
 
+OP11_SQL = r"""
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (  -- crc32 of the decimal number, a byte and a bit at a time
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, bit: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 4 AS h
+  FROM own GROUP BY conv_id
+), turns AS (
+  SELECT c.conv_id, 0 AS part, o.pos, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.base AND o.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, o.pos, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.pos > c.h
+), placed AS (
+  SELECT conv_id, row_number() OVER w AS depth, len(list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
+    string_agg(sha256(sha256(role) || sha256(text)), '') OVER w AS path
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)
+), members AS (
+  SELECT conv_id, depth, words, path, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM placed
+  UNION ALL
+  SELECT conv_id, 0, 0, '', conv_id NOT IN (SELECT conv_id FROM placed) FROM convs
+), nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM members GROUP BY path, depth
+), marked AS (
+  SELECT n.*, (SELECT count(*) FROM nodes k WHERE k.depth = n.depth + 1 AND k.path[:64 * n.depth] = n.path) AS n_children FROM nodes n
+)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children,
+  CAST(count(*) FILTER (WHERE u.n_children = 0) AS BIGINT) AS n_leaves, CAST(sum((u.n_convs - 1) * u.words) AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM marked v JOIN marked u ON u.depth >= v.depth AND u.path[:64 * v.depth] = v.path
+LEFT JOIN marked p ON p.depth = v.depth - 1 AND p.path = v.path[:64 * p.depth]
+GROUP BY ALL
+"""
+
+
 def op5_sql() -> str:
     """The table is data of the shards alone; hashing and placement are SQL's own."""
     slots = ",".join(map(str, sharding.fill(SHARDS)))
@@ -152,4 +193,4 @@ SELECT doc_id, slot, names[slots[slot + 1] + 1] AS shard FROM d, lookup
 
 
 def oracle_sql():
-    return {"op1_minhash_near_dedup": OP1_SQL, "op5_sharding": op5_sql(), "op9_warc": OP9_SQL}
+    return {"op1_minhash_near_dedup": OP1_SQL, "op5_sharding": op5_sql(), "op9_warc": OP9_SQL, "op11_prefix_trie": OP11_SQL}

@@ -19,7 +19,7 @@ def test_query_matches_oracle(spark, sf_dir, name):
 
 def test_registered():
     assert set(Q.queries()) <= set(E.queries()) and set(Q.oracle_sql()) <= set(E.oracle_sql())
-    assert {n.split("_")[0] for n in Q.queries()} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert {n.split("_")[0] for n in Q.queries()} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
 
 
 def test_token_files_digests(spark, sf_dir):
