@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airdata.llm import ann, lm, minhash, mixing, packing, quality_rules, rule_ensemble, sharding, token_files, trie, warc
+from airdata.llm import ann, lm, minhash, mixing, negatives, packing, quality_rules, rule_ensemble, sharding, token_files, trie, warc
 from airdata.llm.common import table
 from airdata.llm.tokens import vocabulary
 
@@ -90,6 +90,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; the labels of every seventh are moved on by one first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return negatives.hard_negatives(vectors, F.col("key") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of corpus_pipeline over all documents."""
     import corpus_pipeline
@@ -99,7 +106,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries():
     return {f.__name__: f for f in (pipeline, op1_minhash_near_dedup, op2_token_files, op3_quality_rules, op4_packing, op5_sharding, op6_rule_ensemble, op7_mixing,
-                                   op8_permutation_index, op9_warc, op10_context_mixing, op11_prefix_trie)}
+                                   op8_permutation_index, op9_warc, op10_context_mixing, op11_prefix_trie, op12_hard_negatives)}
 
 
 OP1_SQL = r"""
@@ -181,6 +188,26 @@ GROUP BY ALL
 """
 
 
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * positive_score <= 100 * n.score AND 100 * n.score <= 100 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
 def op5_sql() -> str:
     """The table is data of the shards alone; hashing and placement are SQL's own."""
     slots = ",".join(map(str, sharding.fill(SHARDS)))
@@ -193,4 +220,4 @@ SELECT doc_id, slot, names[slots[slot + 1] + 1] AS shard FROM d, lookup
 
 
 def oracle_sql():
-    return {"op1_minhash_near_dedup": OP1_SQL, "op5_sharding": op5_sql(), "op9_warc": OP9_SQL, "op11_prefix_trie": OP11_SQL}
+    return {"op1_minhash_near_dedup": OP1_SQL, "op5_sharding": op5_sql(), "op9_warc": OP9_SQL, "op11_prefix_trie": OP11_SQL, "op12_hard_negatives": OP12_SQL}
