@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airdata.llm import ann, lm, minhash, mixing, negatives, packing, quality_rules, rule_ensemble, sharding, token_files, trie, warc
+from airdata.llm import ann, language, lm, minhash, mixing, negatives, packing, quality_rules, rule_ensemble, sharding, token_files, trie, warc
 from airdata.llm.common import table
 from airdata.llm.tokens import vocabulary
 
@@ -97,6 +97,15 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(vectors, F.col("key") % 100 == 0)
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents; every text with letters gets the nearest language, ``rejected`` tells whether it is far."""
+    held_out = remainder("doc_id", 3) == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs, ~held_out)
+    told = language.predict(docs.select("doc_id", "text"), model, reject=False)
+    return told.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five stages of corpus_pipeline over all documents."""
     import corpus_pipeline
@@ -106,7 +115,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries():
     return {f.__name__: f for f in (pipeline, op1_minhash_near_dedup, op2_token_files, op3_quality_rules, op4_packing, op5_sharding, op6_rule_ensemble, op7_mixing,
-                                   op8_permutation_index, op9_warc, op10_context_mixing, op11_prefix_trie, op12_hard_negatives)}
+                                   op8_permutation_index, op9_warc, op10_context_mixing, op11_prefix_trie, op12_hard_negatives, op13_language_id)}
 
 
 OP1_SQL = r"""

@@ -77,7 +77,8 @@ def test_scores_beyond_doubles(spark):
 
 def test_pruning_keeps_what_scores_enough_and_little_else():
     r = np.random.default_rng(1)
-    x = np.floor(256 * r.normal(size=(4000, 8)))
+    x = r.normal(size=(4000, 8))
+    x = np.floor(2560 * x / np.sqrt((x * x).sum(1))[:, None])  # of like length, as in a bucket
     b = N.Bucket(np.arange(4000), np.zeros(4000, int), x)
     for q in x[:20]:
         s = x @ q
