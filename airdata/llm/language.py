@@ -189,11 +189,18 @@ def fit(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text",
     if not n:
         return None
     weights = np.where(df > 0, np.log((1 + sum(n.values())) / (1 + df)) + 1, 0.0)
-    # the sample that is clustered: by language, the smallest hashes of key and text; the limit is taken before the shuffle
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "key", "text"))
-    # texts with letters only, so that every language has some
-    sample = train.filter(F.regexp_like("text", F.lit(r"\p{L}"))).select("lang", "text", "key", F.xxhash64("key", "text").alias("hash")).withColumn("place", place).filter(F.col("place") <= FIT)
-    sample = staged(sample.select("lang", "text", "place"), "sample")
+    # the sample that is clustered: by language, the smallest hashes of key and text among texts with letters;
+    # the cut is found from hashes alone, a few hundred a task and then a few hundred a group of tasks
+    lettered = train.filter(F.regexp_like("text", F.lit(r"\p{L}"))).withColumn("hash", F.xxhash64("key", "text"))
+    cut = lettered.select("lang", "hash").distinct().withColumn("part", F.pmod("hash", F.lit(64)))
+    for by in (["lang", "part"], ["lang"]):
+        cut = cut.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy("hash"))).filter(F.col("place") <= FIT)
+    last = {r["lang"]: r["hash"] for r in cut.groupBy("lang").agg(F.max("hash").alias("hash")).collect()}  # a row a language
+    if not last:
+        return None
+    within = F.element_at(F.create_map(*[F.lit(x) for kv in last.items() for x in kv]), F.col("lang"))
+    sample = lettered.filter(F.col("hash") <= within).dropDuplicates(["lang", "hash"])
+    sample = staged(sample.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("hash"))).select("lang", "text", "place"), "sample")
 
     def run(batches):  # vectors, whose size is bounded, and not texts
         for b in batches:
