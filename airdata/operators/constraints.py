@@ -2,17 +2,20 @@
 
 Every check returns rows ``(check_name, table_name, constraint_type,
 violations)``. Row-local checks of one table (NOT NULL, CHECK, domain) are
-evaluated together in a single aggregate pass over that table. Uniqueness
-aggregates per key (partial aggregation absorbs hot keys); foreign keys
-aggregate the child per key value before the anti join to the parent.
+evaluated together in a single aggregate pass over that table. Reports over
+many constraints take one scan a table and one shuffle for all keys
+(``key_groups``): rows of a key meet the keys that refer to it, counted before
+the shuffle, so hot keys are absorbed and nothing is joined.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airdata.schema import Check, Domain, ForeignKey, NotNull, Unique
 
@@ -24,34 +27,36 @@ def _report(frames):
     return reduce(DataFrame.unionByName, frames)
 
 
-def _row(check_name, table, ctype, violations_col):
-    return [F.lit(check_name).alias("check_name"), F.lit(table).alias("table_name"),
-            F.lit(ctype).alias("constraint_type"),
-            F.coalesce(violations_col, F.lit(0)).cast("bigint").alias("violations")]
+def _row(check_name, table, ctype, violations: str) -> str:
+    return (f"named_struct('check_name', '{check_name}', 'table_name', '{table}', 'constraint_type', '{ctype}', "
+            f"'violations', coalesce(cast({violations} AS bigint), 0L))")
+
+
+def _listed(one_row: DataFrame, rows: list[str]) -> DataFrame:
+    """A row a struct (SQL over the columns of a one-row frame)."""
+    return one_row.select(F.expr(f"inline(array({', '.join(rows)}))"))
+
+
+def _violated(c) -> tuple[str, str]:
+    """Constraint type and violation condition (SQL) of a row-local constraint."""
+    if isinstance(c, NotNull):
+        return "NOT NULL", f"`{c.column}` IS NULL"
+    if isinstance(c, Check):
+        # CHECK passes on NULL: violation only when the predicate is false.
+        return "CHECK", f"NOT coalesce(({c.predicate}), true)"
+    if isinstance(c, Domain):
+        values = ", ".join("'" + v.replace("'", "\\'") + "'" for v in c.values)
+        return "DOMAIN", f"coalesce(`{c.column}` NOT IN ({values}), false)"
+    raise TypeError(c)
 
 
 def row_local_checks(df: DataFrame, table: str, checks) -> DataFrame:
     """NOT NULL, CHECK and domain checks of one table in one pass."""
-    specs = []
-    for c in checks:
-        if isinstance(c, NotNull):
-            specs.append((c.name, "NOT NULL", F.col(c.column).isNull()))
-        elif isinstance(c, Check):
-            # CHECK passes on NULL: violation only when the predicate is false.
-            specs.append((c.name, "CHECK", F.coalesce(~F.expr(c.predicate), F.lit(False))))
-        elif isinstance(c, Domain):
-            specs.append((c.name, "DOMAIN",
-                          F.col(c.column).isNotNull() & ~F.col(c.column).isin(list(c.values))))
-        else:
-            raise TypeError(c)
+    specs = [(c.name, *_violated(c)) for c in checks]
     if not specs:
         return None
-    agg = df.agg(*[F.sum(F.when(cond, 1).otherwise(0)).alias(f"_v{i}")
-                   for i, (_, _, cond) in enumerate(specs)])
-    rows = F.explode(F.array(*[
-        F.struct(*_row(name, table, ctype, F.col(f"_v{i}")))
-        for i, (name, ctype, _) in enumerate(specs)]))
-    return agg.select(rows.alias("r")).select("r.*")
+    agg = df.agg(F.expr(f"named_struct({', '.join(f"'_{i}', count_if({cond})" for i, (_, _, cond) in enumerate(specs))})").alias("v"))
+    return _listed(agg, [_row(name, table, ctype, f"v._{i}") for i, (name, ctype, _) in enumerate(specs)])
 
 
 def check_not_null(df: DataFrame, table: str, columns) -> DataFrame:
@@ -78,7 +83,7 @@ def check_unique(df: DataFrame, u: Unique) -> DataFrame:
         d = d.filter(F.col(c).isNotNull())
     dup = (d.groupBy(*u.columns).agg(F.count(F.lit(1)).alias("_c"))
             .filter(F.col("_c") > 1).agg(F.count(F.lit(1)).alias("_v")))
-    return dup.select(*_row(u.name, u.table, "UNIQUE", F.col("_v")))
+    return _listed(dup, [_row(u.name, u.table, "UNIQUE", "_v")])
 
 
 def check_foreign_key(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> DataFrame:
@@ -90,54 +95,144 @@ def check_foreign_key(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> Da
     per_key = d.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
     keys = parent.select(*[F.col(p).alias(c) for p, c in zip(fk.parent_columns, cols)])
     missing = per_key.join(keys, cols, "left_anti").agg(F.sum("_c").alias("_v"))
-    return missing.select(*_row(fk.name, fk.child, "FOREIGN KEY", F.col("_v")))
+    return _listed(missing, [_row(fk.name, fk.child, "FOREIGN KEY", "_v")])
+
+
+@dataclass(frozen=True)
+class KeyDomain:
+    """Keys that mean the same: those of a table, and of the foreign keys to it."""
+    table: str
+    columns: tuple[str, ...]
+    where_not_null: tuple[str, ...] = ()
+    unique: Unique | None = None
+    foreign_keys: tuple[ForeignKey, ...] = ()
 
 
-def foreign_keys_of(child: DataFrame, parents: dict[str, DataFrame], foreign_keys) -> DataFrame:
-    """V-06 for all foreign keys of one child table in one scan of it.
+def key_domains(uniques=(), foreign_keys=()) -> list[KeyDomain]:
+    """A domain a unique key, with the foreign keys that refer to it, and one for
+    every other set of columns that foreign keys refer to."""
+    out = [KeyDomain(u.table, u.columns, tuple(sorted(set(u.where_not_null) - set(u.columns))), u) for u in uniques]
+    for fk in foreign_keys:
+        # a partial unique key with a condition on other columns does not hold all parents
+        i = next((i for i, d in enumerate(out) if (d.table, d.columns) == (fk.parent, fk.parent_columns) and not d.where_not_null), None)
+        if i is None:
+            out.append(KeyDomain(fk.parent, fk.parent_columns, foreign_keys=(fk,)))
+        else:
+            out[i] = replace(out[i], foreign_keys=(*out[i].foreign_keys, fk))
+    return out
+
+
+def _slots(tables, domain: KeyDomain) -> list[tuple[str, str]]:
+    """For each column of a domain its slot kind (long or string) and common type.
+    Whole numbers fit a long, whatever their width, and so do the days of dates;
+    other columns of one type are compared as its text, those of several as text."""
+    out = []
+    for i, c in enumerate(domain.columns):
+        kinds = {tables[t].schema[n].dataType for t, n in
+                 [(domain.table, c), *((fk.child, fk.columns[i]) for fk in domain.foreign_keys)]}
+        if all(isinstance(k, T.IntegralType) for k in kinds):
+            out.append(("l", "bigint"))
+        elif kinds == {T.DateType()}:
+            out.append(("l", "date"))
+        else:
+            out.append(("s", "string"))
+    return out
+
 
-    Every (constraint, key) of a row is one typed row, counted before the
-    shuffle; only distinct keys meet the parent keys in one anti join. The keys
-    must be of one type and one column.
+def key_groups(tables: dict[str, DataFrame], domains: list[KeyDomain], local: dict[str, list] | None = None) -> DataFrame:
+    """One row a distinct key of each domain: ``g`` (the domain's number), ``known``
+    (no null in the key), ``own`` (rows of the table) and ``c0``, ``c1``, ... (rows
+    of each foreign key).
+
+    Every table is scanned once, whatever the number of its keys: a row puts out
+    its key once a domain, for itself and as parent alike, and once a foreign
+    key. Keys keep their type in the slots of one row layout, so all tables and
+    domains meet in one shuffle, and equal keys are equal without a second look;
+    rows of a task are counted before. ``local`` adds conditions of a row: table ->
+    (number, SQL condition); a row puts out the numbers of those that hold.
     """
-    kind = child.schema[foreign_keys[0].columns[0]].dataType
-    pairs = F.array(*[F.struct(F.lit(i).alias("_fk"), F.col(fk.columns[0]).cast(kind).alias("_k"))
-                      for i, fk in enumerate(foreign_keys)])
-    per_key = (child.select(F.explode(pairs).alias("p")).select("p._fk", "p._k")
-                    .filter(F.col("_k").isNotNull()).groupBy("_fk", "_k").agg(F.count(F.lit(1)).alias("_c")))
-    keys = reduce(DataFrame.unionByName, [
-        parents[fk.parent].select(F.lit(i).alias("_fk"), F.col(fk.parent_columns[0]).cast(kind).alias("_k"))
-        for i, fk in enumerate(foreign_keys)])
-    missing = per_key.join(keys, ["_fk", "_k"], "left_anti").agg(*[
-        F.sum(F.when(F.col("_fk") == i, F.col("_c"))).alias(f"_v{i}") for i in range(len(foreign_keys))])
-    rows = F.explode(F.array(*[F.struct(*_row(fk.name, fk.child, "FOREIGN KEY", F.col(f"_v{i}")))
-                               for i, fk in enumerate(foreign_keys)]))
-    return missing.select(rows.alias("r")).select("r.*")
+    slots = [_slots(tables, d) for d in domains]
+    widths = {k: max([sum(kind == k for kind, _ in s) for s in slots], default=0) for k in "ls"}
+    names = [f"{k}{i}" for k in "ls" for i in range(widths[k])]
+    most = max([len(d.foreign_keys) for d in domains], default=0)
+
+    def entry(g, role, columns=(), slot=()):
+        at, values = dict.fromkeys("ls", 0), {}
+        for c, (kind, of) in zip(columns, slot):
+            values[f"{kind}{at[kind]}"] = f"cast(unix_date(`{c}`) AS bigint)" if of == "date" else f"cast(`{c}` AS {of})"
+            at[kind] += 1
+        known = " AND ".join(f"`{c}` IS NOT NULL" for c in columns) or "true"
+        rest = "".join(f", '{n}', {values.get(n, f"cast(null AS {'bigint' if n[0] == 'l' else 'string'})")}" for n in names)
+        return f"named_struct('g', {g}, 'role', {role}, 'known', {known}{rest})"
+
+    entries: dict[str, list[str]] = {}
+    for g, (d, slot) in enumerate(zip(domains, slots)):
+        own = entry(g, 0, d.columns, slot)
+        if d.where_not_null:
+            own = f"CASE WHEN {' AND '.join(f'`{c}` IS NOT NULL' for c in d.where_not_null)} THEN {own} END"
+        entries.setdefault(d.table, []).append(own)
+        for j, fk in enumerate(d.foreign_keys):
+            entries.setdefault(fk.child, []).append(entry(g, j + 1, fk.columns, slot))
+    frames = []
+    for t in sorted({*entries, *(local or {})}):
+        keys = f"array({', '.join(entries[t])})" if t in entries else None
+        if local and t in local:
+            broken = ", ".join(f"CASE WHEN {cond} THEN {entry(g, 0)} END" for g, cond in local[t])
+            any_broken = " OR ".join(f"({cond})" for _, cond in local[t])
+            broken = f"CASE WHEN {any_broken} THEN array({broken}) ELSE array() END"
+            keys = f"concat({keys}, {broken})" if keys else broken
+        frames.append(tables[t].select(F.expr(f"inline({keys})")).filter("g IS NOT NULL"))
+    counted = [F.expr(f"count_if(role = {j})").alias(n) for j, n in enumerate(["own", *(f"c{i}" for i in range(most))])]
+    return reduce(DataFrame.unionByName, frames).groupBy("g", "known", *names).agg(*counted)
+
+
+def _summary(groups: DataFrame, per_domain: dict[str, str]) -> DataFrame:
+    """One row ``m``: domain -> the values of ``per_domain``, aggregates (SQL) over its groups."""
+    by = groups.groupBy("g").agg(*[F.expr(f"cast({c} AS bigint)").alias(n) for n, c in per_domain.items()])   # a row a domain
+    return by.agg(F.map_from_entries(F.collect_list(F.struct("g", F.struct(*per_domain)))).alias("m"))
 
 
 def constraint_report(tables: dict[str, DataFrame], not_null=(), checks=(), uniques=(),
                       foreign_keys=(), domains=()) -> DataFrame:
     """V-09: one row per declared constraint with its violation count.
 
-    Row-local checks take one pass per table, a unique key one aggregation by
-    its own typed columns, the foreign keys of a table one scan of it. A
-    constraint whose table or column is absent is an error of the caller."""
-    frames, by_table, by_child = [], {}, {}
+    One scan a table and one shuffle for all of them (``key_groups``). A unique
+    key is violated once a key that several rows hold, a foreign key once a row
+    whose key has no parent; a null in a key violates neither. A constraint
+    whose table or column is absent is an error of the caller."""
+    keyed, numbered, local = key_domains(uniques, foreign_keys), [], {}
     for c in [*not_null, *checks, *domains]:
-        by_table.setdefault(c.table, []).append(c)
-    for t, cs in by_table.items():
-        frames.append(row_local_checks(tables[t], t, cs))
-    for u in uniques:
-        frames.append(check_unique(tables[u.table], u))
-    for fk in foreign_keys:
-        if len(fk.columns) > 1:
-            frames.append(check_foreign_key(tables[fk.child], tables[fk.parent], fk))
-        else:
-            kind = tables[fk.child].schema[fk.columns[0]].dataType.simpleString()
-            by_child.setdefault((fk.child, kind), []).append(fk)
-    for (child, _), fks in by_child.items():
-        frames.append(foreign_keys_of(tables[child], tables, fks))
-    return _report(frames)
+        kind, condition = _violated(c)
+        local.setdefault(c.table, []).append((len(keyed) + len(numbered), condition))
+        numbered.append((c, kind))
+    groups = key_groups(tables, keyed, local)
+    most = max([len(d.foreign_keys) for d in keyed], default=0)
+    lost = {f"lost{j}": f"sum(CASE WHEN own = 0 AND known THEN c{j} ELSE 0 END)" for j in range(most)}
+    summary = _summary(groups, {"rows": "sum(own)", "twice": "count_if(own > 1 AND known)", **lost})
+    rows = [_row(c.name, c.table, kind, f"try_element_at(m, {len(keyed) + i}).rows") for i, (c, kind) in enumerate(numbered)]
+    for g, d in enumerate(keyed):
+        if d.unique:
+            rows.append(_row(d.unique.name, d.table, "UNIQUE", f"try_element_at(m, {g}).twice"))
+        rows += [_row(fk.name, fk.child, "FOREIGN KEY", f"try_element_at(m, {g}).lost{j}") for j, fk in enumerate(d.foreign_keys)]
+    return _listed(summary, rows)
+
+
+def key_issues(tables: dict[str, DataFrame], primary_keys, foreign_keys) -> DataFrame:
+    """Rows ``check_name, issue_count``: of a primary key the rows less its distinct
+    values, of a foreign key the rows without a parent. Here a null counts, as a
+    row without a value and as one without a parent. One scan a table."""
+    keyed = key_domains([Unique(t, (c,), name) for name, t, c in primary_keys],
+                        [ForeignKey(child, (c,), parent, (pk,), name) for name, child, c, parent, pk in foreign_keys])
+    groups = key_groups(tables, keyed)
+    most = max(len(d.foreign_keys) for d in keyed)
+    lost = {f"lost{j}": f"sum(CASE WHEN own = 0 OR NOT known THEN c{j} ELSE 0 END)" for j in range(most)}
+    summary = _summary(groups, {"extra": "sum(own) - count_if(own > 0 AND known)", **lost})
+    rows = []
+    for g, d in enumerate(keyed):
+        of = [(d.unique.name, "extra")] if d.unique else []
+        of += [(fk.name, f"lost{j}") for j, fk in enumerate(d.foreign_keys)]
+        rows += [f"named_struct('check_name', '{name}', 'issue_count', coalesce(try_element_at(m, {g}).{v}, 0L))" for name, v in of]
+    return _listed(summary, rows)
 
 
 def apply_fk_action(parent_deleted: DataFrame, child: DataFrame, fk: ForeignKey) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airdata.functions.scalar import with_scalar
+from airdata.operators.constraints import key_issues
 from airdata.operators.scan import quantiles_of, value_counts
 from airdata.functions.numeric import to_double
 
@@ -120,21 +121,9 @@ FK_ISSUE_CHECKS = (
 )
 
 
-def duplicate_id_count(df: DataFrame, col: str) -> DataFrame:
-    """``COUNT(*) - COUNT(DISTINCT col)`` as one-row ``issue_count``."""
-    per = df.groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    return per.agg((F.coalesce(F.sum("_c"), F.lit(0))
-                    - F.count(F.col(col))).cast("bigint").alias("issue_count"))
-
-
 def pk_fk_issue_list(tables: dict[str, DataFrame]) -> DataFrame:
     """Q-04: 6 primary-key and 6 foreign-key checks in long format."""
-    rows = [duplicate_id_count(tables[t], c).select(F.lit(name).alias("check_name"), "issue_count")
-            for name, t, c in PK_CHECKS]
-    wide = _orphan_row(tables, False, FK_ISSUE_CHECKS)
-    names = [c[0] for c in FK_ISSUE_CHECKS]
-    rows.append(wide.unpivot([], names, "check_name", "issue_count"))
-    return _union(rows)
+    return key_issues(tables, PK_CHECKS, FK_ISSUE_CHECKS)
 
 
 def non_null_distinct(df: DataFrame, col: str, check_name: str) -> DataFrame:

@@ -116,8 +116,7 @@ def _check_cross_column(fx):
 
 @query("check_unique", "V-04", W(_union_sql([sql_unique(u) for u in UNIQ]), *_views_for(UNIQ)))
 def _check_unique(fx):
-    t = _tables(fx)
-    return V._report([V.check_unique(t[u.table], u) for u in UNIQ])
+    return V.constraint_report(_tables(fx), uniques=UNIQ)
 
 
 _MK = (S.Unique("multikey", ("iata_code",), "uq_multikey_iata", ("iata_code",)),
@@ -132,8 +131,7 @@ def _check_unique_when_present(fx):
 
 @query("check_foreign_key", "V-06", W(_union_sql([sql_fk(fk) for fk in FKS]), *_views_for(FKS)))
 def _check_foreign_key(fx):
-    t = _tables(fx)
-    return V._report([V.check_foreign_key(t[fk.child], t[fk.parent], fk) for fk in FKS])
+    return V.constraint_report(_tables(fx), foreign_keys=FKS)
 
 
 @query("check_domain", "V-07", W(_union_sql([sql_domain(d) for d in DOMS]), *_views_for(DOMS)))
