@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from airdata.plans import (analytics, cleaning, constraints, ingest, maintain, network, quality,  # noqa: F401
-                           reports, windows)
+                           reports, roundtrip, windows)
 from airdata.plans.registry import REGISTRY, runner
 
 

@@ -41,7 +41,7 @@ BUCKET_KEYS = {
 
 
 def warehouse_database(root: str) -> str:
-    return "airdata_wh_" + hashlib.sha1(os.path.abspath(root).encode()).hexdigest()[:10]
+    return "airdata_wh_" + hashlib.sha1(root.rstrip("/").encode()).hexdigest()[:10]
 
 
 def build_warehouse(spark: SparkSession, sf_dir: str, root: str, tables=WAREHOUSE_TABLES,
@@ -79,12 +79,12 @@ class Warehouse(Fixtures):
             self.prefix = f"{db}."
             return
         views = Warehouse._views.setdefault(spark, {})
-        prefix = views.get(os.path.abspath(root))
+        prefix = views.get(root.rstrip("/"))
         if prefix is None:
             prefix = f"{db}_"
             for name in WAREHOUSE_TABLES:
                 spark.read.parquet(os.path.join(root, name)).createOrReplaceTempView(prefix + name)
-            views[os.path.abspath(root)] = prefix
+            views[root.rstrip("/")] = prefix
         self.prefix = prefix
 
 

@@ -3,27 +3,26 @@
 The source loads a large monthly BTS file in 200,000-row chunks, each chunk a
 transaction of "normalise -> insert where the airport is known -> skip
 snapshot ids already present". As a stream: new CSV files dropped into a
-folder are micro-batches; each micro-batch runs the same normalisation and an
-insert-ignore against the target Parquet table inside ``foreachBatch``.
+folder are micro-batches, each file read by its own header; each micro-batch
+runs the same normalisation and an insert-ignore against the target table
+inside ``foreachBatch``.
 
-Exactly-once without a transactional sink: insert-ignore is idempotent (a
-replayed micro-batch finds its rows already present and inserts nothing),
-and progress is tracked in a checkpoint under the session's shared
+The stream itself carries the names of the new files only (their content is not
+read for that). A batch is one committed write, named after the query and the
+batch, so a batch that dies leaves nothing and one that is replayed changes
+nothing; progress is tracked in a checkpoint under the session's shared
 ``spark.checkpoint.dir``. ``trigger(availableNow=True)`` processes what is
 there and stops, which is how a scheduled batch loader runs.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airdata.session import checkpoint_dir
-from airdata.sources.files import load_bts_performance, normalise_bts
+from airdata.sources import sinks
+from airdata.sources.files import load_monthly
 
 FP_SCHEMA = T.StructType([
     T.StructField("snapshot_id", T.StringType()), T.StructField("year", T.IntegerType()),
@@ -37,45 +36,29 @@ FP_SCHEMA = T.StructType([
 ])
 
 
-def _read_target(spark: SparkSession, path: str) -> DataFrame:
-    """The target, empty before the first run. Any error but an absent path is one."""
-    try:
-        return spark.read.schema(FP_SCHEMA).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], FP_SCHEMA)
-
-
-def stream_bts_folder(spark: SparkSession, inbox: str, header: list[str], target: str,
-                      airports: DataFrame, quarantine: str | None = None,
+def stream_bts_folder(spark: SparkSession, inbox: str, target: str, airports: DataFrame, rejects: str | None = None,
                       query_name: str = "bts_incremental", checkpoint: str | None = None,
                       airlines: DataFrame | None = None, files_per_batch: int = 1000):
     """Start (and run to completion) the incremental load of every CSV in
-    ``inbox`` into the Parquet table at ``target``. ``header`` is the CSV
-    header (string columns; types are applied by the normaliser). A batch that
-    is replayed finds its rows in the target and writes its quarantine folder
-    anew."""
-    schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
-    src = (spark.readStream.schema(schema).option("header", True)
-                .option("escape", '"').option("maxFilesPerTrigger", files_per_batch).csv(inbox)
-                .select(*header, "_metadata.file_path", "_metadata.file_block_start"))
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), "streams", query_name)
+    ``inbox``, of any known layout, into the table at ``target`` (see
+    ``sources.sinks``), and of what cannot be loaded into that at ``rejects``."""
+    names = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("maxFilesPerTrigger", files_per_batch)
+                  .load(inbox).select("path"))
+    ckpt = checkpoint or sinks.join(checkpoint_dir(spark), "streams", query_name)
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        at = F.struct("file_path", "file_block_start", F.monotonically_increasing_id().alias("position"))
-        norm = normalise_bts(batch.withColumn("_ord", at).drop("file_path", "file_block_start"))
-        # The target is partitioned by (year, month), which are parts of the
-        # key: a semi join on the months of the batch prunes its partitions.
-        existing = _read_target(batch.sparkSession, target).join(
-            norm.select("year", "month").distinct(), ["year", "month"], "left_semi")
-        ins, bad = load_bts_performance(existing, norm, airports, airlines)
-        (ins.select(*[f.name for f in FP_SCHEMA.fields]).write.mode("append")
-            .partitionBy("year", "month").parquet(target))
-        if quarantine:
-            bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+    def load(batch: DataFrame, batch_id: int) -> None:
+        session, files = batch.sparkSession, [r["path"] for r in batch.collect()]   # files_per_batch names
+        if not files:
+            return
+        # the target is partitioned by (year, month), which are parts of the key
+        existing = sinks.read_table(session, target, FP_SCHEMA)
+        done = load_monthly(session, files, existing, airports, airlines)
+        key = f"{query_name}-{batch_id}"
+        if rejects:
+            sinks.append_table(done.rejects, rejects, key)
+        sinks.append_table(done.insert.select(*FP_SCHEMA.names), target, key, ["year", "month"])
 
-    q = (src.writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt)
-            .queryName(query_name).trigger(availableNow=True).start())
+    q = (names.writeStream.foreachBatch(load).option("checkpointLocation", ckpt)
+              .queryName(query_name).trigger(availableNow=True).start())
     q.awaitTermination()
     return q

@@ -104,21 +104,6 @@ def test_bts_flights(spark, tmp_dir):
     assert [r.reason for r in bad.collect()] == ["unknown airline"]
 
 
-def test_sinks_and_rewrite_guard(spark, tmp_dir):
-    df = spark.range(5)
-    W.write_csv(df, os.path.join(tmp_dir, "csv"))
-    assert spark.read.option("header", True).csv(os.path.join(tmp_dir, "csv")).count() == 5
-    W.append_table(df, os.path.join(tmp_dir, "t"))
-    W.append_table(df, os.path.join(tmp_dir, "t"))
-    assert spark.read.parquet(os.path.join(tmp_dir, "t")).count() == 10
-    v1 = W.rewrite_table(spark.read.parquet(os.path.join(tmp_dir, "t")), os.path.join(tmp_dir, "tab"), 1)
-    v1df = spark.read.parquet(v1)
-    with pytest.raises(ValueError):
-        W.rewrite_table(v1df.filter("id > 1"), os.path.join(tmp_dir, "tab"), 1)
-    v2 = W.rewrite_table(v1df.filter("id > 1"), os.path.join(tmp_dir, "tab"), 2)
-    assert spark.read.parquet(v2).count() == 6
-
-
 def test_seed_if_empty_and_fleet(spark):
     fleet = M.seed_fleet(spark)
     assert [r.aircraft_id for r in fleet.orderBy("aircraft_id").collect()] == [1, 2, 3, 4, 5]
@@ -143,23 +128,97 @@ def test_empty_pool_and_fk_actions(spark):
 
 
 def test_incremental_stream_is_idempotent(spark, tmp_dir):
-    inbox = os.path.join(tmp_dir, "inbox")
-    header = BTS_OLD.splitlines()[0].split(",")
+    inbox, target, rejects = (os.path.join(tmp_dir, d) for d in ("inbox", "fp", "q"))
     write(os.path.join(inbox, "part1.csv"), BTS_OLD)
-    target = os.path.join(tmp_dir, "fp")
     airports = spark.createDataFrame([("JFK",), ("LAX",)], "iata_code string")
-    ckpt = os.path.join(tmp_dir, "ckpt")
-    stream_bts_folder(spark, inbox, header, target, airports, os.path.join(tmp_dir, "q"),
-                      query_name="t1", checkpoint=ckpt)
-    assert spark.read.parquet(target).count() == 1
+
+    def run():
+        stream_bts_folder(spark, inbox, target, airports, rejects, query_name="t1", checkpoint=os.path.join(tmp_dir, "ckpt"))
+        return sorted(r.snapshot_id for r in W.read_table(spark, target).collect())
+
+    assert run() == ["2024-03-AA-JFK"]
     more = BTS_OLD.splitlines()[0] + "\n2024,4,AA,American,LAX,LA,7,1,0,0,9,1,1,1,1,1\n" \
         + "2024,3,AA,American,JFK,Kennedy,1,1,1,1,1,1,1,1,1,1\n"
     write(os.path.join(inbox, "part2.csv"), more)
-    stream_bts_folder(spark, inbox, header, target, airports, os.path.join(tmp_dir, "q"),
-                      query_name="t1", checkpoint=ckpt)
-    got = sorted(r.snapshot_id for r in spark.read.parquet(target).collect())
-    assert got == ["2024-03-AA-JFK", "2024-04-AA-LAX"]
-    assert spark.read.parquet(os.path.join(tmp_dir, "q")).count() == 1
+    assert run() == ["2024-03-AA-JFK", "2024-04-AA-LAX"] == run()
+    assert [r.reason for r in W.read_table(spark, rejects).collect()] == ["unknown airport"]
+    # a batch that is replayed (its progress lost) changes nothing
+    before = W.manifest(spark, target)
+    stream_bts_folder(spark, inbox, target, airports, rejects, query_name="t1", checkpoint=os.path.join(tmp_dir, "ckpt2"))
+    assert W.read_table(spark, target).count() == 2 and set(before.keys) <= set(W.manifest(spark, target).keys)
+
+
+CANONICAL = ",".join(S.BTS_CANONICAL)
+REORDERED = ",".join(reversed(S.BTS_CANONICAL))
+
+
+def mixed(folder):
+    """A folder of old, canonical and reordered columns, one of an unknown layout, and lines that do not fit."""
+    write(os.path.join(folder, "a_old.csv"), BTS_OLD + '2024,5,AA,"broken,JFK,Kennedy,1,1,1,1,1,1,1,1,1,1\n2024,6,AA,x,JFK,y,1\n')
+    write(os.path.join(folder, "b_new.csv"), CANONICAL + "\n2023,5,DL,JFK,4,1,0,0,9,1,1,1,1,1\n2023,6,DL,JFK,4,1,0,0,9,1,1,1,1,1,77\n")
+    write(os.path.join(folder, "sub", "c_reordered.csv"), REORDERED.upper().replace(",", " ,") + "\n1,1,1,1,1,9,0,0,1,8,LAX,DL,7,2023\n")
+    write(os.path.join(folder, "d_odd.csv"), "what,ever\n1,2\n3,4\n")
+    write(os.path.join(folder, "e_empty.csv"), "")
+    return folder
+
+
+def test_folder_of_mixed_layouts(spark, tmp_dir):
+    rows, rejects = S.read_monthly(spark, mixed(os.path.join(tmp_dir, "in")))
+    got = sorted((r.snapshot_id, r.arrivals, r.total_arrival_delay_min) for r in rows.collect())
+    assert got == [("2023-05-DL-JFK", 4, 9.0), ("2023-07-DL-LAX", 8, 9.0), ("2024-03-AA-JFK", 90, 400.0), ("2024-03-AA-JFK", 100, 500.0), ("2024-12-DL-ZZZ", 5, 0.0)]
+    bad = sorted((os.path.basename(r.file), r.reason, r.line[:8]) for r in rejects.collect())
+    assert bad == [("a_old.csv", "broken quotes", '2024,5,A'), ("a_old.csv", "short row", "2024,6,A"), ("b_new.csv", "extra fields", "2023,6,D"),
+                   ("d_odd.csv", "unknown layout", "1,2"), ("d_odd.csv", "unknown layout", "3,4")]
+
+
+def test_every_monthly_line_is_somewhere(spark, tmp_dir):
+    folder = mixed(os.path.join(tmp_dir, "in"))
+    airports = spark.createDataFrame([("JFK",), ("LAX",)], "iata_code string")
+    target = spark.createDataFrame([("2023-05-DL-JFK",)], "snapshot_id string")
+    done = S.load_monthly(spark, folder, target, airports)
+    assert sorted(r.snapshot_id for r in done.insert.collect()) == ["2023-07-DL-LAX", "2024-03-AA-JFK"]
+    assert sorted(r.snapshot_id for r in done.duplicates.collect()) == ["2023-05-DL-JFK", "2024-03-AA-JFK"]
+    assert sorted(r.reason for r in done.rejects.collect()) == ["broken quotes", "extra fields", "short row", "unknown airport", "unknown layout", "unknown layout"]
+
+
+def test_stream_reads_each_file_by_its_header(spark, tmp_dir):
+    inbox = os.path.join(tmp_dir, "in")
+    write(os.path.join(inbox, "a.csv"), BTS_OLD)
+    write(os.path.join(inbox, "b.csv"), REORDERED + "\n1,1,1,1,1,9,0,0,1,8,LAX,DL,7,2023\n")
+    airports = spark.createDataFrame([("JFK",), ("LAX",)], "iata_code string")
+    stream_bts_folder(spark, inbox, os.path.join(tmp_dir, "fp"), airports, os.path.join(tmp_dir, "q"), query_name="mixed", checkpoint=os.path.join(tmp_dir, "c"))
+    got = sorted((r.snapshot_id, r.year) for r in W.read_table(spark, os.path.join(tmp_dir, "fp")).collect())
+    assert got == [("2023-07-DL-LAX", 2023), ("2024-03-AA-JFK", 2024)]
+
+
+def test_one_header_for_all_files_is_an_error(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "in", "a.csv"), BTS_OLD)
+    write(os.path.join(tmp_dir, "in", "b.csv"), REORDERED + "\n1,1,1,1,1,9,0,0,1,8,LAX,DL,7,2023\n")
+    with pytest.raises(Exception, match="CSV header"):
+        S.normalise_bts(S.read_csv_header(spark, os.path.join(tmp_dir, "in"))).collect()
+
+
+def test_every_airport_and_airline_line_is_somewhere(spark, tmp_dir):
+    text = AIRPORTS + '5,"Short","X"\n6,"Broken,"X","Y","AAA","AAAA",1,2,3,4,"U",Z,"airport","x"\n7,Extra,X,Y,BBB,BBBB,1,2,3,4,U,Z,airport,x,more,fields\n'
+    done = S.load_airports_file(spark, write(os.path.join(tmp_dir, "a.dat"), text), spark.createDataFrame([("LAX",)], "iata_code string"))
+    assert sorted(r.name for r in done.insert.collect()) == ["Goroka Airport"]
+    assert sorted(r.name for r in done.duplicates.collect()) == ["Dup IATA", "Padded"]
+    reasons = sorted(r.reason for r in done.rejects.collect())
+    assert len(reasons) == 4 and {"no code", "short row", "extra fields"} <= set(reasons)
+    empty = spark.createDataFrame([], "iata_code string, icao_code string")
+    done = S.load_airlines_file(spark, write(os.path.join(tmp_dir, "l.dat"), AIRLINES + "6,Short\n"), empty)
+    assert [len(d.collect()) for d in done] == [2, 2, 2]
+    assert sorted(r.reason for r in done.rejects.collect()) == ["no name", "short row"]
+
+
+def test_flight_files_of_other_headers(spark, tmp_dir):
+    write(os.path.join(tmp_dir, "in", "a.csv"), BTS_FLIGHTS)
+    write(os.path.join(tmp_dir, "in", "b.csv"), "dest,origin,fl_date,op_unique_carrier,mkt_carrier_fl_num\nLAX,JFK,2024-02-01,DL,9\nLAX,JFK\n")
+    write(os.path.join(tmp_dir, "in", "c.csv"), "origin,dest\nJFK,LAX\n")
+    rows, rejects = S.read_flight_files(spark, os.path.join(tmp_dir, "in"))
+    got = {r.flight_number: (r.airline_code, r.origin_iata, r.dest_iata, str(r.flight_date)) for r in rows.collect()}
+    assert set(got) == {"100", "200", "300", "9"} and got["9"] == ("DL", "JFK", "LAX", "2024-02-01")
+    assert sorted(r.reason for r in rejects.collect()) == ["short row", "unknown layout"]
 
 
 def test_doubled_quotes_stay_in_their_field(spark, tmp_dir):
