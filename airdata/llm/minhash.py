@@ -12,10 +12,12 @@ shingle sets.
 
 Groups of any size: documents with equal sets are one class, of which the
 smallest id goes on. In every bucket all members are first compared with one
-centre, a row a member, and components are formed. Then only buckets that still
-hold several components are compared again, and only across them, by blocks of
-members. So a link between different components is never missed, and a group of
-n near copies costs about n comparisons and not n * n.
+centre, the member that meets most others, a row a member, and components are
+formed. Then only buckets that still hold several components are compared again,
+and only across them, by blocks of members; a block confirms its links itself and
+puts out no more of them than connect its components. So no connection is missed,
+a group of n near copies costs about n comparisons and not n * n, and no step
+makes more rows than it has members.
 """
 
 from __future__ import annotations
@@ -37,8 +39,8 @@ BANDS, ROWS, BITS = 32, 4, 4
 BINS, VALUES = 1024, 15
 #: Standard deviations by which an estimate may lie below the threshold: a true pair is lost once in 3e6.
 MARGIN = 5.0
-#: Members of a bucket that one task compares at a time.
-BLOCK = 1024
+#: Members of a bucket, and shingles of all of them, that one task compares at a time.
+BLOCK, SHINGLES = 1024, 1 << 22
 
 _SEED = 0x9E3779B97F4A7C15
 
@@ -251,25 +253,28 @@ def components(links: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _across(members: DataFrame, least: int, percent: int) -> DataFrame:
-    """Candidate pairs (u, v) of different components in a bucket.
+def _across(members: DataFrame, least: int, words: int, percent: int) -> DataFrame:
+    """Links (u, v) that connect what is connected among the components of a bucket.
 
-    members: key, rep, component, n, bits, fine, size (members of the bucket).
-    Buckets above BLOCK members are dealt into blocks and every pair of blocks
-    is one group of rows, so no task holds a whole bucket.
+    members: key, rep, component, n, bits, fine, text, blocks (of the bucket).
+    Every pair of blocks of a bucket is one group of rows, so no task holds a
+    whole bucket. Inside a group the pairs across components that pass both
+    sketches are confirmed on their full sets, those with most candidates first,
+    and only while they still lie in different components. So a group puts out a
+    spanning forest of its links, at most a row less than it has members.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = (members.withColumn("mine", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "component", "n", "bits", "fine"))
+    dealt = (members.withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "component", "n", "bits", "fine", "text"))
 
     def run(batches):
         for g in groups(batches, "key", "i", "j"):
-            part = g.sort_by("component").to_pandas()
-            rep, comp, n, mine = (part[c].to_numpy() for c in ("rep", "component", "n", "mine"))
-            bits = np.stack(part["bits"].to_numpy()).view(np.uint64)
-            fine = np.frombuffer(b"".join(part["fine"]), np.uint64).reshape(len(part), -1)
-            split, out = part["i"].iloc[0] != part["j"].iloc[0], []
+            g = g.sort_by([("component", "ascending"), ("rep", "ascending")])
+            rep, comp, n, mine, i, j = (g.column(c).to_numpy() for c in ("rep", "component", "n", "mine", "i", "j"))
+            bits = np.stack(g.column("bits").to_pylist()).view(np.uint64)
+            fine = np.frombuffer(b"".join(g.column("fine").to_pylist()), np.uint64).reshape(len(rep), -1)
+            split, text, sets = i[0] != j[0], g.column("text"), {}
+            near = np.zeros((len(rep), len(rep)), bool)
             first = np.searchsorted(comp, comp, "left")
             for k in np.flatnonzero(first > 0):  # against all of the components before its own
                 to = slice(0, first[k])
@@ -284,11 +289,27 @@ def _across(members: DataFrame, least: int, percent: int) -> DataFrame:
                     ok &= mine[to] != mine[k]
                 ok = np.flatnonzero(ok)
                 ok = ok[fine_similar(fine[ok], fine[k:k + 1], n[ok], n[k], percent)]
-                hit = rep[ok]
-                out.append(np.stack([np.minimum(hit, rep[k]), np.maximum(hit, rep[k])]))
+                near[k, ok] = near[ok, k] = True
+
+            def set_of(k):
+                if k not in sets:
+                    t = text[int(k)].as_py()
+                    sets[k] = shingles(t.encode("utf-8", "replace") if isinstance(t, str) else t, words)
+                return sets[k]
+
+            out = []
+            for k in np.argsort(-near.sum(1), kind="stable"):
+                for v in np.flatnonzero(near[k] & (comp != comp[k])):
+                    if comp[v] == comp[k]:  # connected in the meantime
+                        continue
+                    a, b = set_of(k), set_of(v)
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    if 100 * both >= percent * (len(a) + len(b) - both):
+                        out.append((min(rep[k], rep[v]), max(rep[k], rep[v])))
+                        comp = np.where(comp == comp[v], comp[k], comp)
+                near[:, k] = False
             if out:
-                u, v = np.concatenate(out, 1)
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["u", "v"])
 
     sortable = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return sortable.mapInArrow(run, "u long, v long").distinct()
@@ -316,9 +337,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         .select("rep", "n", "keys", "bits", "fine"), "representatives")
     posts = reps.select("rep", F.explode("keys").alias("key"))
 
-    # the centre of a bucket is its smallest id, so buckets of one group mostly have the same one
-    centre = staged(posts.groupBy("key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size"), "centres")
-    shared = staged(posts.join(centre, "key"), "buckets")
+    size = staged(posts.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "sizes")
+    shared = staged(posts.join(size, "key"), "buckets")
+    # the centre of a bucket is the member that meets most others over all its buckets: of a group of near copies
+    # the most typical one, which the others are nearest to, and mostly the same in all buckets of a group
+    met = shared.groupBy("rep").agg(F.sum("size").alias("met"))
+    centre = shared.join(met, "rep").groupBy("key").agg(F.max_by("rep", F.struct("met", -F.col("rep"))).alias("centre"))
+    shared = staged(shared.select("key", "rep").join(centre, "key"), "centred")
     slim = reps.select("rep", "n", "bits")
     star = shared.filter("rep <> centre").select(F.least("rep", "centre").alias("u"), F.greatest("rep", "centre").alias("v")).distinct()
     star = (star.join(slim.toDF("u", "n_u", "bits_u"), "u").join(slim.toDF("v", "n_v", "bits_v"), "v")
@@ -336,11 +361,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
 
     label = staged(labelled(comp), "labels")
     posted = shared.select("key", "rep").join(label.select("rep", "component"), "rep")
-    mixed = posted.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("size"))
-    mixed = staged(mixed.filter("a <> b").select("key", "size"), "mixed")
-    members = posted.join(mixed, "key").join(label.select("rep", "n", "bits", "fine"), "rep")
-    more = _across(members, least, percent).join(star, ["u", "v"], "left_anti")
-    links = staged(links.unionByName(confirmed(staged(more, "across"), texts, words, percent)), "all-links")
+    mixed = posted.join(label.select("rep", "n"), "rep").groupBy("key").agg(
+        F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("all"))
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("all") / SHINGLES)).cast("int")
+    mixed = staged(mixed.filter("a <> b").select("key", blocks.alias("blocks")), "mixed")
+    members = posted.join(mixed, "key").join(label.select("rep", "n", "bits", "fine"), "rep").join(texts, "rep")
+    links = staged(links.unionByName(_across(members, least, words, percent)), "all-links")
     final = components(links).withColumnRenamed("node", "rep")
 
     found = class_.join(final, "rep", "left").select("print", F.coalesce("component", "rep").alias("component_id"))

@@ -88,3 +88,43 @@ def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 40)] + [(70, 71)]
     got = {r.node: r.component for r in M.components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {i: 100 for i in range(100, 161)} | {i: 5 for i in range(5, 40)} | {70: 70, 71: 70}
+
+
+def test_large_group_around_an_untypical_smallest_id(spark, words, monkeypatch):
+    # copies of one text, each with words of its own changed: linked with the original alone, which has the largest id
+    made = []
+    real = M._across
+
+    def counted(members, *a):
+        got = real(members, *a).cache()
+        made.append((members.select("rep").distinct().count(), got.count()))
+        return got
+
+    monkeypatch.setattr(M, "_across", counted)
+    w, rows = words(300, 21), []
+    for i in range(300):
+        v = list(w)
+        for x in range(9 if i == 0 else 5):  # the smallest id is the farthest
+            v[(i * 11 + x * 59) % 300] = f"own{i}x{x}"
+        rows.append((i, " ".join(v)))
+    rows.append((1000, " ".join(w)))
+    found = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4).collect()
+    assert {r.doc_id: r.component_id for r in found} == brute(rows, 4, 80)[0] and {r.component_id for r in found} == {0}
+    assert made[0][1] <= max(1, made[0][0]) * 2
+
+
+def test_block_puts_out_a_spanning_forest(spark, words, monkeypatch):
+    # two hundred members of one bucket, none in a component yet: fewer links than members come out, and they connect
+    w, rows = words(200, 5), []
+    for i in range(200):
+        v = list(w)
+        v[i] = f"x{i}"
+        rows.append((i, " ".join(v)))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    s = M.sketches(d, 4).join(d, "doc_id")
+    for blocks in (1, 3):
+        members = s.selectExpr("1L as key", "doc_id as rep", "doc_id as component", "n_shingles as n", "bits", "fine", "text", f"{blocks} as blocks")
+        links = M._across(members, M.floor_of(80), 4, 80).collect()
+        assert 199 <= len(links) <= 200 * blocks * 2
+        got = {r.component for r in M.components(spark.createDataFrame([(r.u, r.v) for r in links], "u long, v long")).collect()}
+        assert got == {0}
