@@ -33,6 +33,10 @@ BYTE_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Pieces of these characters are cut into runs here, all others by the library: every Unicode version agrees on them.
 _PLAIN = re.compile(r"[ \n]?[!-~À-ſ]+")
 
+#: One run of letters by every Unicode version, in the byte-level vocabulary with its space, and perhaps a sign, which is a run.
+_WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ſ]+)([.,!?;:]?)")
+_SIGNS = {b".", b",", b"!", b"?", b";", b":"}
+
 
 def _letters() -> dict[int, str]:
     """The byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on."""
@@ -61,7 +65,11 @@ class Encoder(dict):
         if not all("<|" in t["content"] for t in file["added_tokens"]):
             self.words = self.spaced = False
         self.runs: dict[str, bytes] = {}
+        self.words_seen: dict[bytes, bytes] = {}
         self.letters = _letters()
+        self.packed = [struct.pack("<I", i) for i in range(self.size)]
+        # the character that stands for the space before a run
+        self.space = "" if self.words else self.letters[32]
 
     def _ids(self, text: bytes) -> bytes:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
@@ -71,8 +79,22 @@ class Encoder(dict):
         if ids is None:
             if len(self.runs) >= REMEMBER:
                 self.runs.clear()
-            t = self.model.tokenize(run.encode().decode("latin-1").translate(self.letters))
-            ids = self.runs[run] = struct.pack(f"<{len(t)}I", *[x.id for x in t])
+            ids = self.runs[run] = self._tokens(run if run.isascii() and run.isalpha() else run.encode().decode("latin-1").translate(self.letters))
+        return ids
+
+    def _tokens(self, run: str) -> bytes:
+        packed = self.packed
+        return b"".join([packed[x.id] for x in self.model.tokenize(run)])
+
+    def _word(self, word: bytes) -> bytes:
+        """A piece of ASCII letters is one run, in lower case for the word vocabulary."""
+        if self.words:
+            word = word.lower()
+        ids = self.words_seen.get(word)
+        if ids is None:
+            if len(self.words_seen) >= REMEMBER:
+                self.words_seen.clear()
+            ids = self.words_seen[word] = self._tokens(self.space + word.decode())
         return ids
 
     def _piece(self, piece: bytes) -> bytes:
@@ -81,11 +103,22 @@ class Encoder(dict):
             return self._ids(piece)
         if self.words:
             text = text.lower() if text.isascii() else self.tokenizer.normalizer.normalize_str(text)
+        word = _WORD.fullmatch(text)
+        if word:  # one run of letters, and a sign
+            run, sign = word.groups()
+            return self._run(run) + self._run(sign) if sign else self._run(run)
         return b"".join([self._run(r) for r in self.findall(text)])
 
     def __missing__(self, piece: bytes) -> bytes:
         if len(self) >= REMEMBER:
             self.clear()
+        # most pieces are a word of ASCII letters, or one and a sign
+        if piece.isalpha():
+            ids = self[piece] = self._word(piece)
+            return ids
+        if piece[-1:] in _SIGNS and piece[:-1].isalpha():
+            ids = self[piece] = self._word(piece[:-1]) + self._run(piece[-1:].decode())
+            return ids
         # by the byte-level rules a piece comes behind a space, or begins with its line feed
         ids = self[piece] = self._piece(piece if self.words or piece[:1] == b"\n" else b" " + piece)
         return ids
