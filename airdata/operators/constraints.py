@@ -262,6 +262,97 @@ def restrict_violations(parent_deleted: DataFrame, child: DataFrame, fk: Foreign
     return child.join(keys, cols, "left_semi")
 
 
+class Restricted(Exception):
+    """A deletion that foreign keys forbid; ``blocking`` has the rows that forbid it by foreign key."""
+
+    def __init__(self, blocking: dict[str, int]):
+        super().__init__(f"rows refer to what is to be deleted: {blocking}")
+        self.blocking = blocking
+
+
+def cascade_order(tables, foreign_keys) -> list[str]:
+    """The tables, each after those whose deletions cascade to it."""
+    parents = {t: {fk.parent for fk in foreign_keys if fk.child == t and fk.on_delete == "CASCADE"} for t in tables}
+    out: list[str] = []
+    while len(out) < len(parents):
+        ready = sorted(t for t, of in parents.items() if t not in out and of <= set(out))
+        if not ready:
+            raise ValueError(f"deletions cascade in a circle among {sorted(set(parents) - set(out))}")
+        out += ready
+    return out
+
+
+def delete_rows(tables: dict[str, DataFrame], foreign_keys, deleted: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """V-08 for the whole graph: all tables after the rows of ``deleted`` are gone.
+
+    ``deleted``: table -> a frame of some of its columns; rows that equal one of
+    its rows there are deleted. CASCADE deletes the rows that refer to a deleted
+    one, and so on; SET NULL clears their key. Before any table is changed, the
+    deletion is refused (``Restricted``) if a row refers to a deleted one by a
+    RESTRICT key, unless it was asked to be deleted itself, or by a NO ACTION key
+    and is still there at the end. Foreign keys between tables that are not given
+    play no part. A table is joined once with the deleted keys of each foreign
+    key that can be touched; only those keys are written down on the way.
+    """
+    fks = [fk for fk in foreign_keys if fk.child in tables and fk.parent in tables]
+    order = cascade_order(tables, fks)
+    touched = set(deleted)   # tables that can lose rows
+    for t in order:
+        touched |= {t} & {fk.child for fk in fks if fk.on_delete == "CASCADE" and fk.parent in touched}
+    marked: dict[str, DataFrame] = {}
+    gone: dict[tuple, DataFrame] = {}   # (table, columns) -> keys of the deleted rows
+
+    def mark(t: str) -> DataFrame:
+        """The rows of t with ``_asked`` and, for each touched foreign key, whether it refers to a deleted row."""
+        d = tables[t]
+        flags = []
+        if t in deleted:
+            d = _flagged(d, deleted[t].distinct(), deleted[t].columns, "_asked")
+        else:
+            d = d.withColumn("_asked", F.lit(False))
+        for i, fk in enumerate(fks):
+            if fk.child == t and (fk.parent, fk.parent_columns) in gone:
+                d = _flagged(d, gone[fk.parent, fk.parent_columns].toDF(*fk.columns), fk.columns, f"_hit{i}")
+                flags += [f"_hit{i}"] if fk.on_delete == "CASCADE" else []
+        return d.withColumn("_gone", reduce(lambda a, b: a | b, map(F.col, flags), F.col("_asked")))
+
+    for t in order:
+        if t in touched:
+            m = mark(t)
+            for columns in {fk.parent_columns for fk in fks if fk.parent == t}:
+                keys = m.filter("_gone").select(*columns).dropna().distinct()
+                gone[t, columns] = keys.checkpoint()   # keys only
+    for t in order:
+        if t in touched or any(fk.child == t and (fk.parent, fk.parent_columns) in gone for fk in fks):
+            marked[t] = mark(t)
+
+    counts = []
+    for i, fk in enumerate(fks):
+        if fk.child in marked and f"_hit{i}" in marked[fk.child].columns and fk.on_delete in ("RESTRICT", "NO ACTION"):
+            free = "_asked" if fk.on_delete == "RESTRICT" else "_gone"
+            counts.append(marked[fk.child].agg(F.lit(fk.name).alias("name"), F.count_if(F.col(f"_hit{i}") & ~F.col(free)).alias("n")))
+    if counts:
+        blocking = {r["name"]: r["n"] for r in reduce(DataFrame.unionByName, counts).filter("n > 0").collect()}   # a row a foreign key
+        if blocking:
+            raise Restricted(blocking)
+
+    out = dict(tables)
+    for t, m in marked.items():
+        cleared: dict[str, list[str]] = {}
+        for i, fk in enumerate(fks):
+            if fk.child == t and fk.on_delete == "SET NULL" and f"_hit{i}" in m.columns:
+                for c in fk.columns:
+                    cleared.setdefault(c, []).append(f"_hit{i}")
+        kept = [F.when(~reduce(lambda a, b: a | b, map(F.col, cleared[c])), F.col(c)).alias(c) if c in cleared else F.col(c) for c in tables[t].columns]
+        out[t] = m.filter("NOT _gone").select(*kept)
+    return out
+
+
+def _flagged(df: DataFrame, keys: DataFrame, columns, flag: str) -> DataFrame:
+    """Add ``flag``: whether the row's key is one of the (distinct) keys; a null is none."""
+    return df.join(keys.withColumn(flag, F.lit(True)), list(columns), "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
 def require_non_empty(df: DataFrame, name: str) -> DataFrame:
     """V-10: fail early with a clear message when an input has no rows.
     ``isEmpty`` reads at most one row."""

@@ -152,46 +152,34 @@ def _constraint_report(fx):
                                foreign_keys=FKS, domains=DOMS)
 
 
-# V-08: delete every 7th passenger and every 11th flight, then apply the
-# declared ON DELETE actions down the dependency order
-# passengers -> bookings -> payments, passengers -> loyalty -> miles,
-# flights -> bookings.flight_id / miles.flight_id (SET NULL).
-_FK = {fk.name: fk for fk in S.FOREIGN_KEYS}
-
-
+# V-08: delete every 7th passenger and every 11th flight in one call over the
+# graph of foreign keys: passengers -> bookings -> payments, passengers ->
+# loyalty -> miles, flights -> bookings.flight_id / miles.flight_id (SET NULL).
+# Deleting airlines is refused by the flights that refer to them.
 def _fk_actions(fx):
     from pyspark.sql import functions as F
-    gone_pax = fx.passengers.filter(F.col("passenger_id") % 7 == 0).select("passenger_id")
-    gone_flights = fx.flights_base.filter(F.col("flight_id") % 11 == 0).select("flight_id")
-    gone_lines = fx.airlines.filter(F.col("airline_id") % 5 == 0).select("airline_id")
-    b0, p0, l0, m0 = fx.bookings, fx.payments, fx.loyalty_accounts, fx.miles_transactions
-    b1 = V.apply_fk_action(gone_pax, b0, _FK["fk_bookings_passenger"])
-    gone_b = b0.join(b1.select("booking_id"), "booking_id", "left_anti").select("booking_id")
-    p1 = V.apply_fk_action(gone_b, p0, _FK["fk_payments_booking"])
-    l1 = V.apply_fk_action(gone_pax, l0, _FK["fk_loyalty_passenger"])
-    gone_l = l0.join(l1.select("loyalty_id"), "loyalty_id", "left_anti").select("loyalty_id")
-    m1 = V.apply_fk_action(gone_l, m0, _FK["fk_miles_loyalty"])
-    b2 = V.apply_fk_action(gone_flights, b1, _FK["fk_bookings_flight"])
-    m2 = V.apply_fk_action(gone_flights, m1, _FK["fk_miles_flight"])
-
-    def summary(name, before, after, key):
-        counts = after.agg(F.count(F.lit(1)).alias("rows_after"),
-                           F.sum(F.when(F.col(key).isNull(), 1).otherwise(0)).cast("bigint")
-                            .alias("keys_nulled"))
-        return (with_scalar(counts, before.agg(F.count(F.lit(1)).alias("_before")))
+    names = ("bookings", "payments", "loyalty_accounts", "miles_transactions")
+    before = {n: getattr(fx, n) for n in names} | {"passengers": fx.passengers, "flights": fx.flights_base}
+    after = V.delete_rows(before, S.FOREIGN_KEYS, {
+        "passengers": fx.passengers.filter(F.col("passenger_id") % 7 == 0).select("passenger_id"),
+        "flights": fx.flights_base.filter(F.col("flight_id") % 11 == 0).select("flight_id")})
+
+    def summary(name, key):
+        counts = after[name].agg(F.count(F.lit(1)).alias("rows_after"),
+                                 F.count_if(F.col(key).isNull()).alias("keys_nulled"))
+        return (with_scalar(counts, before[name].agg(F.count(F.lit(1)).alias("_before")))
                 .select(F.lit(name).alias("table_name"), "rows_after",
-                        (F.col("_before") - F.col("rows_after")).alias("rows_removed"),
-                        F.coalesce(F.col("keys_nulled"), F.lit(0)).cast("bigint").alias("keys_nulled")))
-
-    return reduce(DataFrame.unionByName, [summary("bookings", b0, b2, "flight_id"),
-                           summary("payments", p0, p1, "booking_id"),
-                           summary("loyalty_accounts", l0, l1, "passenger_id"),
-                           summary("miles_transactions", m0, m2, "flight_id"),
-                           # RESTRICT: nothing is deleted, the rows that forbid it are counted
-                           V.restrict_violations(gone_lines, fx.flights_base, _FK["fk_flights_airline"])
-                            .agg(F.count(F.lit(1)).alias("rows_after"))
-                            .select(F.lit("flights (restricting)").alias("table_name"), "rows_after",
-                                    F.lit(0).cast("bigint").alias("rows_removed"), F.lit(0).cast("bigint").alias("keys_nulled"))])
+                        (F.col("_before") - F.col("rows_after")).alias("rows_removed"), "keys_nulled"))
+
+    try:
+        V.delete_rows({"airlines": fx.airlines, "flights": fx.flights_base}, S.FOREIGN_KEYS,
+                      {"airlines": fx.airlines.filter(F.col("airline_id") % 5 == 0).select("airline_id")})
+        blocking = 0
+    except V.Restricted as e:
+        blocking = e.blocking["fk_flights_airline"]
+    refused = fx.spark.range(1).select(F.lit("flights (restricting)").alias("table_name"), F.lit(blocking).cast("bigint").alias("rows_after"),
+                                       F.lit(0).cast("bigint").alias("rows_removed"), F.lit(0).cast("bigint").alias("keys_nulled"))
+    return reduce(DataFrame.unionByName, [summary(n, k) for n, k in zip(names, ("flight_id", "booking_id", "passenger_id", "flight_id"))] + [refused])
 
 
 _FK_ACTIONS_SQL = """

@@ -73,3 +73,55 @@ def test_one_scan_a_table_and_few_shuffles(spark, sf_dir):
         assert len(scans) <= len(stored) and len(re.findall(r"^\(\d+\) Exchange", text.getvalue(), re.M)) <= 4
     used = ("airports", "airlines", "flights", "passengers", "bookings", "payments")
     assert pk_fk_issue_list({n: stored[n] for n in used}).count() == 12
+
+
+def family(spark):
+    fk = S.ForeignKey
+    fks = (fk("b", ("a",), "a", ("id",), "b_a", "CASCADE"), fk("c", ("a",), "a", ("id",), "c_a", "CASCADE"),
+           fk("d", ("b",), "b", ("id",), "d_b", "CASCADE"), fk("d", ("c",), "c", ("id",), "d_c", "SET NULL"),   # a diamond
+           fk("e", ("d",), "d", ("id",), "e_d", "RESTRICT"), fk("f", ("c",), "c", ("id",), "f_c"), fk("f", ("code", "n"), "d", ("code", "n"), "f_d", "SET NULL"))
+    t = {"a": spark.createDataFrame([(i,) for i in range(1, 6)], "id int"),
+         "b": spark.createDataFrame([(1, 1), (2, 2), (3, None), (4, 4)], "id int, a int"),
+         "c": spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "id int, a int"),
+         "d": spark.createDataFrame([(1, 1, 1, "x", 1), (2, 2, 1, "x", 2), (3, 4, 2, "y", 1), (4, None, None, None, 1), (5, 4, 1, "z", 1)], "id int, b int, c int, code string, n int"),
+         "e": spark.createDataFrame([(1, 3), (2, None)], "id int, d int"),
+         "f": spark.createDataFrame([(1, 3, "x", 1), (2, None, "y", 1), (3, None, None, 1)], "id int, c int, code string, n int")}
+    return t, fks
+
+
+def rows(d):
+    return sorted((tuple(r) for r in d.collect()), key=str)
+
+
+def test_deletion_over_a_diamond(spark):
+    t, fks = family(spark)
+    out = V.delete_rows(t, fks, {"a": spark.createDataFrame([(1,)], "id int")})
+    assert rows(out["b"]) == rows(t["b"].filter("id <> 1")) and rows(out["c"]) == rows(t["c"].filter("id <> 1"))
+    # d 1 goes with b 1; d 2 and d 5 lose their c; nothing else changes
+    assert rows(out["d"]) == sorted([(2, 2, None, "x", 2), (3, 4, 2, "y", 1), (4, None, None, None, 1), (5, 4, None, "z", 1)], key=str)
+    assert rows(out["f"]) == sorted([(1, 3, None, None), (2, None, "y", 1), (3, None, None, 1)], key=str)
+    assert rows(out["e"]) == rows(t["e"]) and [c for c in out["d"].columns] == t["d"].columns
+
+
+def test_refused_before_anything_changes(spark):
+    t, fks = family(spark)
+    try:
+        V.delete_rows(t, fks, {"a": spark.createDataFrame([(4,), (3,)], "id int")})
+        raise AssertionError("not refused")
+    except V.Restricted as e:
+        assert e.blocking == {"e_d": 1, "f_c": 1}   # d 3 goes with b 4 and e refers to it; f refers to c 3
+    # a row that is asked to go as well does not forbid it
+    out = V.delete_rows(t, fks, {"a": spark.createDataFrame([(4,)], "id int"), "e": spark.createDataFrame([(1,)], "id int")})
+    assert rows(out["e"]) == [(2, None)] and rows(out["d"].select("id")) == [(1,), (2,), (4,)]
+
+
+def test_circles_and_no_rows(spark):
+    t, fks = family(spark)
+    out = V.delete_rows(t, fks, {"a": spark.createDataFrame([], "id int")})
+    assert all(rows(out[n]) == rows(t[n]) for n in t)
+    circle = (S.ForeignKey("a", ("id",), "b", ("id",), "x", "CASCADE"), S.ForeignKey("b", ("a",), "a", ("id",), "y", "CASCADE"))
+    try:
+        V.delete_rows(t, circle, {"a": spark.createDataFrame([(1,)], "id int")})
+        raise AssertionError("no error")
+    except ValueError as e:
+        assert "circle" in str(e)
