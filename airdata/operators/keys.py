@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airdata.functions.scalar import with_scalar
+from airdata.operators.graph import connected_components
 from airdata.operators.scan import numbered
 
 
@@ -74,35 +75,74 @@ def insert_ignore(target: DataFrame, candidates: DataFrame, keys, order_by) -> D
     return firsts.join(t, on=keys, how="left_anti")
 
 
+#: Rows of a conflict component that one task folds.
+FOLD = 100_000
+
+
 def insert_ignore_any_unique(target: DataFrame, candidates: DataFrame,
-                             unique_keys, order_col: str) -> DataFrame:
+                             unique_keys, order_col: str, fold: int = FOLD) -> DataFrame:
     """K-04: insert-ignore where a conflict on *any* of several unique keys
     drops the row (``ON CONFLICT DO NOTHING`` without a target).
 
     A row-by-row fold is order dependent: a row dropped because of an earlier
-    row no longer blocks later ones. Fixpoint, distributed:
-
-    1. drop candidates that clash with ``target`` on any key;
-    2. per round, a row is *kept* when it is the first undecided row in every
-       one of its key groups; undecided rows sharing a key with a kept row
-       are *dropped*; repeat until nothing is undecided.
-
-    Each round is a handful of aggregates and semi/anti joins; lineage is cut
-    with ``checkpoint()`` (the session's shared checkpoint folder) so a lost
-    executor recomputes at most one round. The number of rounds grows with
-    the longest conflict chain, not with the data size, and there is no round
-    cap: every round keeps at least the first undecided row, so the loop
-    always finishes with the exact answer.
+    row no longer blocks later ones. Only rows that share a key, and rows that
+    share one with those, and so on, can matter to each other:
+
+    1. drop candidates that clash with ``target`` on any key; rows that share no
+       key with another are kept;
+    2. link the others by their keys and find the components, in rounds that
+       grow with the logarithm of the longest chain;
+    3. fold each component in order, in a task that remembers its keys; a
+       component of more than ``fold`` rows goes on in rounds over the cluster
+       instead (``_kept_by_rounds``).
     """
     keys = list(unique_keys)
     # equal order values would leave two first rows: number the rows themselves
     rest = [c for c in candidates.columns if c != order_col]
     live = assign_surrogate_key(candidates, [order_col, *rest], "_k04_order")
-    order_col = "_k04_order"
     for k in keys:
         live = live.join(target.select(k).filter(F.col(k).isNotNull()).distinct(),
                          on=k, how="left_anti")
-    undecided = live.checkpoint()
+    live = live.checkpoint()
+    links = []
+    for k in keys:
+        held = live.filter(F.col(k).isNotNull()).select(k, "_k04_order")
+        first = held.groupBy(k).agg(F.min("_k04_order").alias("v"))
+        links.append(held.join(first, k).filter("_k04_order <> v").select(F.col("_k04_order").alias("u"), "v"))
+    nodes, _ = connected_components(reduce(DataFrame.unionByName, links))
+    nodes = nodes.select(F.col("node").alias("_k04_order"), "component").checkpoint()
+    sizes = nodes.groupBy("component").agg(F.count(F.lit(1)).alias("_rows"))
+    giant = nodes.join(sizes.filter(F.col("_rows") > fold).select("component"), "component", "left_semi").select("_k04_order")
+    inside = nodes.join(sizes.filter(F.col("_rows") <= fold).select("component"), "component", "left_semi")
+
+    def folded(batches):
+        import pyarrow as pa
+        now, used = None, None
+        for b in batches:
+            out, column = [], [b.column(i).to_pylist() for i in range(b.num_columns)]
+            for component, order, *values in zip(*column):
+                if component != now:
+                    now, used = component, [set() for _ in values]
+                if all(v is None or v not in u for v, u in zip(values, used)):
+                    out.append(order)
+                    for v, u in zip(values, used):
+                        u.add(v)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["_k04_order"])
+
+    dealt = live.join(inside, "_k04_order").select("component", "_k04_order", *keys)
+    kept = dealt.repartition("component").sortWithinPartitions("component", "_k04_order").mapInArrow(folded, "_k04_order long")
+    parts = [live.join(nodes.select("_k04_order"), "_k04_order", "left_anti"), live.join(kept, "_k04_order", "left_semi")]
+    if not giant.isEmpty():
+        parts += _kept_by_rounds(live.join(giant, "_k04_order", "left_semi"), keys, "_k04_order")
+    return reduce(DataFrame.unionByName, [p.select(*candidates.columns) for p in parts])
+
+
+def _kept_by_rounds(undecided: DataFrame, keys, order_col: str) -> list[DataFrame]:
+    """The rows that a fold in order keeps, in rounds: a row is *kept* when it is
+    the first undecided row in every one of its key groups; undecided rows sharing
+    a key with a kept row are *dropped*; repeat until nothing is undecided. Every
+    round keeps at least the first undecided row, so there is no cap on them."""
+    undecided = undecided.checkpoint()
     kept_parts = []
     while True:
         firsts = None
@@ -122,7 +162,7 @@ def insert_ignore_any_unique(target: DataFrame, candidates: DataFrame,
         undecided = rest.checkpoint()
         if undecided.isEmpty():
             break
-    return reduce(DataFrame.unionByName, kept_parts).select(*candidates.columns)
+    return kept_parts
 
 
 def dedup_pairs_against_existing(existing: DataFrame, new_pairs: DataFrame, keys) -> DataFrame:

@@ -44,14 +44,31 @@ def fold(rows, keys):
 
 def test_any_unique_fixpoint_equals_fold(spark):
     rng = random.Random(7)
-    for trial in range(6):
+    for trial in range(4):
         rows = [{"ord": i, "a": rng.choice([None, *range(8)]), "b": rng.choice([None, *range(8)])}
                 for i in range(40)]
         df = spark.createDataFrame([(r["ord"], r["a"], r["b"]) for r in rows], "ord int, a int, b int")
-        got = sorted(r.ord for r in K.insert_ignore_any_unique(df.limit(0), df, ["a", "b"], "ord").collect())
+        # also components too large for a task
+        got = sorted(r.ord for r in K.insert_ignore_any_unique(df.limit(0), df, ["a", "b"], "ord", fold=3 if trial % 2 else K.FOLD).collect())
         assert got == fold(rows, ["a", "b"]), trial
 
 
+def test_long_chain_of_conflicts_takes_few_rounds(spark, monkeypatch):
+    n, seen = 10_000, []
+    rows = [{"ord": i, "a": i // 2, "b": (i + 1) // 2} for i in range(n)]   # each row shares a key with the next
+    real = K.connected_components
+
+    def counted(links):
+        out, rounds = real(links)
+        seen.append(rounds)
+        return out, rounds
+
+    monkeypatch.setattr(K, "connected_components", counted)
+    df = spark.createDataFrame([(r["ord"], r["a"], r["b"]) for r in rows], "ord int, a int, b int")
+    got = sorted(r.ord for r in K.insert_ignore_any_unique(df.limit(0), df, ["a", "b"], "ord").collect())
+    assert got == fold(rows, ["a", "b"]) and seen[0] < 20
+
+
 def test_insert_ignore_null_keys_and_existing(spark):
     target = spark.createDataFrame([("X",)], "k string")
     cand = spark.createDataFrame([(1, "X"), (2, "Y"), (3, "Y"), (4, None), (5, None)], "o int, k string")
