@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airdata.functions.scalar import with_scalar
-from airdata.operators.keys import assign_surrogate_key, first_per_key, next_key_after_max
+from airdata.operators.keys import first_per_key, next_key_after_max
 from airdata.operators.scan import numbered, value_at
 
 ROUTE_KEYS = ["airline_id", "origin_airport_id", "destination_airport_id"]
@@ -138,26 +138,46 @@ def update_distance_planar(routes: DataFrame, airports: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- aircraft
-def _indexed_pool(pool: DataFrame, id_col: str) -> DataFrame:
-    """Pool members with a dense 0-based position (K-01, whatever the size)."""
-    return assign_surrogate_key(pool.select(id_col).distinct(), [id_col], "_pos", start=0)
+#: Places of a pool member on the ring, and arcs of it.
+POINTS, ARCS = 64, 4096
+
+
+def ring_place(text: Column) -> Column:
+    """A place on a ring of 2^60, by hash."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
 
 
 def assign_from_pool(flights: DataFrame, pool: DataFrame, id_col: str = "aircraft_id",
-                     bucket: Column | None = None) -> DataFrame:
-    """K-11: give every flight without an aircraft a member of the pool,
-    chosen by ``bucket`` (default ``xxhash64(flight_id)``) modulo the pool
-    size."""
-    idx = _indexed_pool(pool, id_col)
-    # an empty pool gives a null position, and so nobody
-    n = idx.agg(F.nullif(F.count(F.lit(1)), F.lit(0)).alias("_n")).scalar()
-    b = bucket if bucket is not None else F.xxhash64("flight_id")
-    target = flights.withColumn("_pos", F.pmod(b, n))
-    j = target.join(idx.withColumnRenamed(id_col, "_pick"), "_pos", "left")
-    cur = F.col(id_col) if id_col in flights.columns else F.lit(None).cast("bigint")
-    out = j.withColumn(id_col, F.coalesce(cur, F.col("_pick"))).drop("_pos", "_pick")
-    cols = flights.columns if id_col in flights.columns else flights.columns + [id_col]
-    return out.select(*cols)
+                     key: str = "flight_id", points: int = POINTS) -> DataFrame:
+    """K-11: give every flight without an aircraft a member of the pool.
+
+    Members stand on a hash ring at ``points`` places each, a flight at one, and
+    it takes the next member on. So the members are neither counted nor numbered,
+    the pool may be of any size, and a member that comes or goes moves only the
+    flights beside it. The ring is cut into ARCS arcs; each holds its places and
+    the first one behind it, and flights join arcs by number. A flight without a
+    key, and any flight where the pool is empty, stays without.
+    """
+    has = id_col in flights.columns
+    cols = flights.columns if has else [*flights.columns, id_col]
+    kind = flights.schema[id_col].dataType if has else pool.schema[id_col].dataType
+    arc = F.floor(F.col("at") / (2 ** 60 // ARCS))
+    stands = pool.filter(F.col(id_col).isNotNull()).select(
+        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("v"), F.col(id_col).cast(kind).alias("member"))
+    place = ring_place(F.concat(F.lit("m"), F.col("member").cast("string"), F.lit("-"), F.col("v").cast("string")))
+    # a member that comes twice stands there once
+    held = stands.select(place.alias("at"), "member").groupBy(arc.alias("_arc")).agg(F.sort_array(F.collect_set(F.struct("at", "member"))).alias("_in"))
+    behind = Window.orderBy("_arc").rowsBetween(1, Window.unboundedFollowing)   # ARCS rows
+    whole = Window.orderBy("_arc").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = F.get("_in", F.lit(0))
+    arcs = pool.sparkSession.range(0, ARCS, 1, 1).withColumnRenamed("id", "_arc").join(held, "_arc", "left").select(
+        "_arc", "_in", F.coalesce(F.min(first).over(behind), F.min(first).over(whole)).alias("_next"))
+    at = ring_place(F.concat(F.lit("r"), F.col(key).cast("string")))
+    met = flights.withColumn("_spot", at).withColumn("_arc", F.floor(F.col("_spot") / (2 ** 60 // ARCS))).join(arcs, "_arc", "left")
+    ahead = F.get(F.filter("_in", lambda x: x["at"] >= F.col("_spot")), F.lit(0))
+    given = F.when(F.col(key).isNotNull(), F.coalesce(ahead["member"], F.col("_next.member")))
+    given = F.coalesce(F.col(id_col), given) if has else given
+    return met.select(*[given.alias(c) if c == id_col else F.col(c) for c in cols])
 
 
 def sample_fraction(df: DataFrame, fraction: float, bucket: Column | None = None,

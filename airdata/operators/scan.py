@@ -66,6 +66,8 @@ def range_of(bounds: Column, key: Column, n: int) -> Column:
 
 def with_range(df: DataFrame, order_by, out: str, num_partitions: int | None = None) -> DataFrame:
     n = num_partitions or ranges_of(df)
+    if n == 1:
+        return df.withColumn(out, F.lit(0))
     cut = df.withColumn("_bounds", range_bounds(df, order_by, n))
     return cut.withColumn(out, range_of(F.col("_bounds"), key_of(order_by), n)).drop("_bounds")
 
@@ -76,6 +78,8 @@ def numbered(df: DataFrame, order_by, out: str, num_partitions: int | None = Non
     The rows are sorted inside their ranges. The offset of a range comes from a
     row count a range, for which only the order columns are read.
     """
+    if num_partitions == 1:   # the caller knows that one task will do
+        return df.select(*df.columns, F.row_number().over(Window.orderBy(*_cols(order_by))).cast("bigint").alias(out))
     ranged = with_range(df, order_by, "_nr", num_partitions)
     before = Window.orderBy("_nr").rowsBetween(Window.unboundedPreceding, -1)   # a row a range
     offsets = (ranged.groupBy("_nr").agg(F.count(F.lit(1)).alias("_n"))

@@ -221,16 +221,19 @@ fleet AS (SELECT row_number() OVER () AS aircraft_id, * FROM (VALUES
   ('Airbus', 'A320', 150), ('Boeing', '737-800', 165), ('Airbus', 'A321', 185),
   ('Boeing', '787-8', 242), ('Airbus', 'A350-900', 300)) v(manufacturer, model, seat_capacity))"""
 
+# the next member on a hash ring, 64 places a member; behind the last place comes the first
 _ASSIGNED_SQL = """
+stand AS (SELECT m AS aircraft_id, CAST('0x' || substr(md5('m' || m || '-' || v), 1, 15) AS BIGINT) AS spot FROM range(1, 6) p(m), range(64) t(v)),
+asked AS (SELECT flight_id, flight_date, CAST('0x' || substr(md5('r' || flight_id), 1, 15) AS BIGINT) AS place FROM flights),
 assigned AS (
-  SELECT f.flight_id, f.flight_date, ((f.flight_id * 31 + 7) % 5) + 1 AS aircraft_id FROM flights f)"""
+  SELECT flight_id, flight_date, coalesce(stand.aircraft_id, (SELECT arg_min(aircraft_id, spot) FROM stand)) AS aircraft_id
+  FROM asked ASOF LEFT JOIN stand ON asked.place <= stand.spot)"""
 
 
 def _assigned(fx):
     fleet = M.seed_fleet(fx.spark)
     f = fx.flights_base.select("flight_id", "flight_date")
-    return M.assign_from_pool(f, fleet.select("aircraft_id"),
-                              bucket=F.pmod(F.col("flight_id") * 31 + 7, F.lit(5))), fleet
+    return M.assign_from_pool(f, fleet.select("aircraft_id")), fleet
 
 
 @query("assign_from_pool", "K-11", W(f"""

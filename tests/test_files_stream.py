@@ -115,6 +115,8 @@ def test_empty_pool_and_fk_actions(spark):
     df = spark.createDataFrame([(1, None), (2, 7)], "flight_id bigint, aircraft_id bigint")
     out = M.assign_from_pool(df, spark.createDataFrame([], "aircraft_id bigint"))
     assert sorted((r.flight_id, r.aircraft_id) for r in out.collect()) == [(1, None), (2, 7)]
+    keyless = M.assign_from_pool(spark.createDataFrame([(None, None), (3, None)], "flight_id bigint, aircraft_id bigint"), spark.createDataFrame([(9,), (9,), (None,)], "aircraft_id bigint"))
+    assert sorted(((r.flight_id, r.aircraft_id) for r in keyless.collect()), key=str) == [(3, 9), (None, None)]
     parent_gone = spark.createDataFrame([(1,)], "pid bigint")
     child = spark.createDataFrame([(10, 1), (11, 2), (12, None)], "cid bigint, pid bigint")
     casc = V.apply_fk_action(parent_gone, child, ForeignKey("c", ("pid",), "p", ("pid",), "x", "CASCADE"))
@@ -127,6 +129,16 @@ def test_empty_pool_and_fk_actions(spark):
         V.require_non_empty(child.limit(0), "child")
 
 
+def test_a_changed_pool_moves_few_flights(spark):
+    flights = spark.range(4000).select(F.col("id").alias("flight_id"))
+    pool = spark.range(1, 41).select(F.col("id").alias("aircraft_id"))
+    one = {r.flight_id: r.aircraft_id for r in M.assign_from_pool(flights, pool).collect()}
+    two = {r.flight_id: r.aircraft_id for r in M.assign_from_pool(flights, pool.filter("aircraft_id <> 7")).collect()}
+    assert len(one) == 4000 and all(two[f] == a for f, a in one.items() if a != 7) and 7 not in two.values()
+    share = [list(one.values()).count(a) for a in range(1, 41)]
+    assert min(share) > 40 and max(share) < 200   # about a hundred each
+
+
 def test_incremental_stream_is_idempotent(spark, tmp_dir):
     inbox, target, rejects = (os.path.join(tmp_dir, d) for d in ("inbox", "fp", "q"))
     write(os.path.join(inbox, "part1.csv"), BTS_OLD)
