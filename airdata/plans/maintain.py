@@ -216,6 +216,7 @@ def _route_distance_summary(fx):
 
 
 # ---------------------------------------------------------------- aircraft
+# The seed fleet.
 _FLEET_SQL = """
 fleet AS (SELECT row_number() OVER () AS aircraft_id, * FROM (VALUES
   ('Airbus', 'A320', 150), ('Boeing', '737-800', 165), ('Airbus', 'A321', 185),
