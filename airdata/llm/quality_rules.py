@@ -1,14 +1,22 @@
 """Quality rules: base rules and a hashed n-gram likelihood ratio, in native expressions.
 
-Words and pairs of neighbouring words are hashed into buckets. Two multinomials
-over the buckets, of the trusted documents and of the raw corpus, give each
-bucket a log-likelihood ratio; a document's score is the mean over its n-grams,
-so it doesn't depend on its length. Every document whose score lies under a
-fixed threshold is rejected. The buckets grow in proportion to the n-grams of
-the corpus, so what is added to each count weighs the same against it, and the
-threshold means the same, at every size. The ratios (to five places) are a
-distributed table that the n-grams of the second pass are joined with; a score
-belongs to a text, so its sum is gathered by the hash of the text.
+The n-grams of a text are its runs of three characters (white space of any kind
+as a plain space) and its pairs of neighbouring words, these by their lengths
+alone or as "the same word again". Both kinds have vocabularies that stop
+growing with the corpus, unlike words and word pairs, so a fixed number of
+buckets holds them at every size, and what is learned from the trusted documents
+also fits good documents that are not among them. Two multinomials over the
+buckets, of the trusted documents and of the raw corpus, give each bucket a
+log-likelihood ratio; a document's score is the mean over its n-grams, so it
+doesn't depend on its length. Every document whose score lies under a fixed
+threshold is rejected. Counting aggregates before the shuffle to one row a
+bucket and task; the ratios, one whole number for each of the ``BUCKETS``
+buckets, reach the second pass as one constant array, which shuffles nothing.
+
+Null and empty texts have no n-grams and fail the base rules; very long texts
+are taken whole, in chunks that overlap by two characters; repeated rows are
+judged one by one (and counted each time); empty tables give empty results;
+columns of any names go along in ``keep``.
 
 Arrays are handed to higher-order functions as arguments only, never used inside
 their lambdas: there they would be computed anew for each element.
@@ -16,13 +24,18 @@ their lambdas: there they would be computed anew for each element.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airdata.llm.common import computed, staged
+from airdata.llm.common import computed
 
-#: Least number of buckets of the hashed n-grams; added to every count; n-grams (with repeats) a bucket of a larger corpus.
-BUCKETS, SMOOTHING, PER_BUCKET = 1 << 16, 1.0, 12
+#: Buckets of the hashed n-grams; added to every count.
+BUCKETS, SMOOTHING = 1 << 16, 1.0
+#: Characters of a chunk of a long text; its chunks with the two characters after them; the runs of three characters of a chunk.
+CHUNK = 4096
+CHUNKS, RUNS = f"(?s)(?=(.{{1,{CHUNK + 2}}})).{{1,{CHUNK}}}", "(?s)(?=(...))."
 #: Ratios are summed as whole multiples of 1 / PLACES, so that no order of the sum matters.
 PLACES = 100_000
 #: Least mean log-likelihood ratio of a document that is kept.
@@ -56,16 +69,26 @@ def neighbours(a: Column, step: int, f) -> Column:
     return F.zip_with(F.slice(a, F.lit(1), n), F.slice(a, F.lit(1 + step), n), f)
 
 
-def with_grams(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add _words, _h1 and _h2: words, their hashes, and the hashes of neighbouring pairs."""
+def with_words(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Add _spaced, the text with plain spaces, and _words."""
     d = computed(docs, _spaced=spaced(F.coalesce(F.col(text), F.lit(""))))
-    d = computed(d, _words=words_of(F.col("_spaced")))
-    d = computed(d, _h1=F.transform("_words", lambda w: F.xxhash64(w)))
-    return computed(d, _h2=neighbours(F.col("_h1"), 1, lambda x, y: F.xxhash64(x, y)))
+    return computed(d, _words=words_of(F.col("_spaced")))
+
+
+def grams(buckets: int) -> Column:
+    """The buckets of all n-grams, with repeats, of a row of with_words."""
+    bucket = lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int")
+    chunks = F.regexp_extract_all("_spaced", F.lit(CHUNKS), F.lit(1))
+    runs = F.transform(chunks, lambda c: F.transform(F.regexp_extract_all(c, F.lit(RUNS), F.lit(1)), bucket))
+    length = lambda x: F.char_length(x).cast("long")
+    pairs = neighbours(F.col("_words"), 1, lambda x, y: bucket(F.when(x == y, F.lit(-1).cast("long")).otherwise(length(x) * (1 << 31) + length(y))))
+    return F.flatten(F.concat(runs, F.array(pairs)))
 
 
 def with_base(d: DataFrame, text: str = "text") -> DataFrame:
-    """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed to the result of with_grams."""
+    """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed to the result of with_words."""
+    d = computed(d, _h1=F.transform("_words", lambda w: F.xxhash64(w)))
+    d = computed(d, _h2=neighbours(F.col("_h1"), 1, lambda x, y: F.xxhash64(x, y)))
     t = F.coalesce(F.col(text), F.lit(""))
     d = computed(
         d, n_words=F.size("_words").cast("long"),
@@ -87,52 +110,38 @@ def with_base(d: DataFrame, text: str = "text") -> DataFrame:
     return computed(d, base_failed=(F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
 
 
-def bucket_count(docs: DataFrame, text: str = "text", buckets: int = BUCKETS) -> int:
-    """Buckets for the n-grams of docs: one for PER_BUCKET of them, ``buckets`` at least."""
-    words = F.size(words_of(spaced(F.coalesce(F.col(text), F.lit(""))))).cast("long")
-    total = docs.agg(F.sum(F.greatest(2 * words - 1, F.lit(0)))).first()[0] or 0
-    return max(buckets, -(-total // PER_BUCKET))
-
-
-def ratios(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
-    """A row a bucket that has n-grams: bucket and ratio, the log-likelihood ratio of trusted against all documents in units of 1 / PLACES.
+def ratios(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[int]:
+    """By bucket, the log-likelihood ratio of trusted against all documents in units of 1 / PLACES.
 
     ``trusted``: the keys of the trusted documents (repeats and nulls count once
-    and not at all). ``buckets``: how many there are.
+    and not at all). At most ``buckets`` rows reach the driver.
     """
     flag = trusted.select(F.col(key).alias("_key")).filter("_key is not null").distinct().withColumn("_trusted", F.lit(1))
     # the labels grow with the documents: one plan for all sizes
     d = docs.select(key, text).join(flag.hint("merge"), F.col(key) == F.col("_key"), "left")
-    grams = with_grams(d, text).select(F.coalesce("_trusted", F.lit(0)).alias("_trusted"), F.explode(F.concat("_h1", "_h2")).alias("_gram"))
-    counts = staged(grams.groupBy(F.pmod("_gram", F.lit(buckets)).alias("bucket")).agg(F.count(F.lit(1)).alias("raw"), F.sum("_trusted").alias("target")), "buckets")
-    r, t = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)), F.coalesce(F.sum("target"), F.lit(0))).first()
-    share = lambda n, total: F.log((F.col(n) + smoothing) / F.lit(total + smoothing * buckets))
-    return counts.select("bucket", F.round((share("target", t) - share("raw", r)) * PLACES).cast("long").alias("ratio"))
-
-
-def scores(docs: DataFrame, found: DataFrame, text: str = "text", buckets: int = BUCKETS) -> DataFrame:
-    """A row a distinct text that has words: _text (its hash) and llr, the mean ratio of its n-grams.
-
-    Copies of a text add their n-grams to one row, which leaves the mean as it is.
-    """
-    grams = with_grams(docs.select(text), text).select(text_hash(text).alias("_text"), F.explode(F.concat("_h1", "_h2")).alias("_gram"))
-    # the buckets grow with the documents: one plan for all sizes
-    rated = grams.select("_text", F.pmod("_gram", F.lit(buckets)).alias("bucket")).join(found.hint("merge"), "bucket")
-    return rated.groupBy("_text").agg((F.sum("ratio") / PLACES / F.count(F.lit(1))).alias("llr"))
+    found = with_words(d, text).select(F.coalesce("_trusted", F.lit(0)).alias("_trusted"), F.explode(grams(buckets)).alias("bucket"))
+    counts = found.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("_trusted").alias("target")).collect()
+    raw, target = [0] * buckets, [0] * buckets
+    for r in counts:
+        raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
+    shift = math.log((sum(raw) + smoothing * buckets) / (sum(target) + smoothing * buckets))
+    return [round((math.log((t + smoothing) / (n + smoothing)) + shift) * PLACES) for n, t in zip(raw, target)]
 
 
-def text_hash(text: str) -> Column:
-    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+def with_llr(d: DataFrame, found: list[int]) -> DataFrame:
+    """Add llr, the mean ratio of the n-grams (null without any), to the result of with_words."""
+    # ``found`` is of fixed size; folded into one constant array
+    rated = F.split(F.lit(",".join(map(str, found))), ",").cast("array<int>")
+    d = computed(d, _grams=grams(len(found)))
+    total = F.aggregate("_grams", F.lit(0).cast("long"), lambda a, x: a + F.get(rated, x))
+    return computed(d, llr=F.when(F.size("_grams") > 0, total / F.lit(PLACES) / F.size("_grams"))).drop("_grams")
 
 
 def _judge(d: DataFrame, docs: DataFrame, trusted: DataFrame, key: str, text: str, threshold: float, buckets: int, smoothing: float) -> DataFrame:
     """Add the columns of quality_rules to d, whose text is in the column ``text``; docs is the raw corpus."""
-    buckets = bucket_count(docs, text, buckets)
-    found = scores(docs, ratios(docs, trusted, key, text, buckets, smoothing), text, buckets)
-    d = with_base(with_grams(d, text), text).withColumn("_hash", text_hash(text))
-    d = d.join(found.hint("merge"), F.col("_hash") == F.col("_text"), "left")
+    d = with_llr(with_words(d, text), ratios(docs, trusted, key, text, buckets, smoothing))
     none = trusted.filter(F.col(key).isNotNull()).isEmpty()
-    return d.withColumn("kept", ~F.col("base_failed") & (F.lit(none) | F.coalesce(F.col("llr") >= threshold, F.lit(False))))
+    return with_base(d, text).withColumn("kept", ~F.col("base_failed") & (F.lit(none) | F.coalesce(F.col("llr") >= threshold, F.lit(False))))
 
 
 def quality_rules(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
@@ -140,11 +149,11 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text
     """Judge every row of docs.
 
     Returns key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, llr (mean ratio of its n-grams; null without words) and kept:
+    base_failed, llr (mean ratio of its n-grams; null without any) and kept:
     not base_failed and llr at or above the threshold. A null text has no words
     and fails the base rules, so it is never kept. Rows with equal keys are
     judged one by one. Without trusted documents the base rules alone decide.
-    ``buckets``: how many the n-grams have at least; larger corpora have more.
+    ``buckets``: how many the n-grams are hashed into.
     """
     d = _judge(docs.select(key, text), docs, trusted, key, text, threshold, buckets, smoothing)
     return d.select(key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr", "kept")
