@@ -1,8 +1,9 @@
 """Quality rules: base rules and a hashed n-gram likelihood ratio, in native expressions.
 
-The n-grams of a text are its runs of three characters (white space of any kind
-as a plain space) and its pairs of neighbouring words, these by their lengths
-alone or as "the same word again". Both kinds have vocabularies that stop
+The n-grams of a text are the character runs at the edges of its words (the
+first three and the last three characters, or the whole of a shorter word) and
+its pairs of neighbouring words, these by their lengths alone or as "the same
+word again". All these have vocabularies that stop
 growing with the corpus, unlike words and word pairs, so a fixed number of
 buckets holds them at every size, and what is learned from the trusted documents
 also fits good documents that are not among them. Two multinomials over the
@@ -13,10 +14,9 @@ threshold is rejected. Counting aggregates before the shuffle to one row a
 bucket and task; the ratios, one whole number for each of the ``BUCKETS``
 buckets, reach the second pass as one constant array, which shuffles nothing.
 
-Null and empty texts have no n-grams and fail the base rules; very long texts
-are taken whole, in chunks that overlap by two characters; repeated rows are
-judged one by one (and counted each time); empty tables give empty results;
-columns of any names go along in ``keep``.
+Texts without words have no n-grams and fail the base rules; very long texts
+are taken whole; repeated rows are judged one by one (and counted each time);
+empty tables give empty results; columns of any names go along in ``keep``.
 
 Arrays are handed to higher-order functions as arguments only, never used inside
 their lambdas: there they would be computed anew for each element.
@@ -33,9 +33,8 @@ from airdata.llm.common import computed
 
 #: Buckets of the hashed n-grams; added to every count.
 BUCKETS, SMOOTHING = 1 << 16, 1.0
-#: Characters of a chunk of a long text; its chunks with the two characters after them; the runs of three characters of a chunk.
-CHUNK = 4096
-CHUNKS, RUNS = f"(?s)(?=(.{{1,{CHUNK + 2}}})).{{1,{CHUNK}}}", "(?s)(?=(...))."
+#: Characters of a run at the edge of a word.
+RUN = 3
 #: Ratios are summed as whole multiples of 1 / PLACES, so that no order of the sum matters.
 PLACES = 100_000
 #: Least mean log-likelihood ratio of a document that is kept.
@@ -78,11 +77,10 @@ def with_words(docs: DataFrame, text: str = "text") -> DataFrame:
 def grams(buckets: int) -> Column:
     """The buckets of all n-grams, with repeats, of a row of with_words."""
     bucket = lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int")
-    chunks = F.regexp_extract_all("_spaced", F.lit(CHUNKS), F.lit(1))
-    runs = F.transform(chunks, lambda c: F.transform(F.regexp_extract_all(c, F.lit(RUNS), F.lit(1)), bucket))
+    edges = [F.transform("_words", lambda w: bucket(F.substring(w, 1, RUN))), F.transform("_words", lambda w: bucket(F.right(w, F.lit(RUN))))]
     length = lambda x: F.char_length(x).cast("long")
     pairs = neighbours(F.col("_words"), 1, lambda x, y: bucket(F.when(x == y, F.lit(-1).cast("long")).otherwise(length(x) * (1 << 31) + length(y))))
-    return F.flatten(F.concat(runs, F.array(pairs)))
+    return F.concat(*edges, pairs)
 
 
 def with_base(d: DataFrame, text: str = "text") -> DataFrame:
