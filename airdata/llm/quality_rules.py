@@ -74,13 +74,20 @@ def with_words(docs: DataFrame, text: str = "text") -> DataFrame:
     return computed(d, _words=words_of(F.col("_spaced")))
 
 
+def pairs() -> Column:
+    """A number for each pair of neighbouring words of a row of with_words: by their lengths, -1 for the same word again."""
+    length = lambda x: F.char_length(x).cast("long")
+    return neighbours(F.col("_words"), 1, lambda x, y: F.when(x == y, F.lit(-1).cast("long")).otherwise(length(x) * (1 << 31) + length(y)))
+
+
+def bucket_of(gram: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(buckets)).cast("int")
+
+
 def grams(buckets: int) -> Column:
     """The buckets of all n-grams, with repeats, of a row of with_words."""
-    bucket = lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int")
-    edges = [F.transform("_words", lambda w: bucket(F.substring(w, 1, RUN))), F.transform("_words", lambda w: bucket(F.right(w, F.lit(RUN))))]
-    length = lambda x: F.char_length(x).cast("long")
-    pairs = neighbours(F.col("_words"), 1, lambda x, y: bucket(F.when(x == y, F.lit(-1).cast("long")).otherwise(length(x) * (1 << 31) + length(y))))
-    return F.concat(*edges, pairs)
+    runs = [F.transform("_words", lambda w: bucket_of(F.substring(w, 1, RUN), buckets)), F.transform("_words", lambda w: bucket_of(F.right(w, F.lit(RUN)), buckets))]
+    return F.concat(*runs, F.transform(pairs(), lambda x: bucket_of(x, buckets)))
 
 
 def with_base(d: DataFrame, text: str = "text") -> DataFrame:
@@ -130,9 +137,11 @@ def with_llr(d: DataFrame, found: list[int]) -> DataFrame:
     """Add llr, the mean ratio of the n-grams (null without any), to the result of with_words."""
     # ``found`` is of fixed size; folded into one constant array
     rated = F.split(F.lit(",".join(map(str, found))), ",").cast("array<int>")
-    d = computed(d, _grams=grams(len(found)))
-    total = F.aggregate("_grams", F.lit(0).cast("long"), lambda a, x: a + F.get(rated, x))
-    return computed(d, llr=F.when(F.size("_grams") > 0, total / F.lit(PLACES) / F.size("_grams"))).drop("_grams")
+    ratio = lambda x: F.get(rated, bucket_of(x, len(found)))
+    of_words = F.aggregate("_words", F.lit(0).cast("long"), lambda a, w: a + ratio(F.substring(w, 1, RUN)) + ratio(F.right(w, F.lit(RUN))))
+    of_pairs = F.aggregate(pairs(), F.lit(0).cast("long"), lambda a, x: a + ratio(x))
+    n = F.size("_words")  # each has two edges, all but the last a pair
+    return computed(d, llr=F.when(n > 0, (of_words + of_pairs) / F.lit(PLACES) / (3 * n - 1)))
 
 
 def _judge(d: DataFrame, docs: DataFrame, trusted: DataFrame, key: str, text: str, threshold: float, buckets: int, smoothing: float) -> DataFrame:
