@@ -68,7 +68,7 @@ clv AS (SELECT passenger_id, sum(amount_usd) AS clv_usd
 
 
 def _clv(fx):
-    return P.get_clv(fx.bookings, fx.payments)
+    return fx.clv
 
 
 @query("get_clv", "P-06", W(f"""

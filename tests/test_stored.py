@@ -36,3 +36,15 @@ def test_stored_numbers_are_row_numbers(spark):
     want = rows.select(F.row_number().over(Window.orderBy("a", "b")).cast("bigint").alias("id"), "a", "b", "t")
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() == len(keys)
     assert number_rows(written(rows.limit(0), "rows"), ["a"], "id", "numbered").count() == 0
+
+
+def test_derived_tables_are_derived_once(spark, sf_dir):
+    fx, root = Fixtures(spark, sf_dir), spark.conf.get("spark.checkpoint.dir")
+    for t in (fx.flights_base, fx.routes, fx.flights, fx.bookings, fx.payments, fx.clv):
+        assert only_stored(t, root)
+    assert "booking_id" not in plan(fx.bookings.select("flight_id")).split("ReadSchema")[1].split("\n")[0]
+
+
+def test_lorenz_reads_customers_not_payments(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    assert "SortMergeJoin" not in plan(clv_lorenz(fx.clv)) and only_stored(clv_lorenz(fx.clv), spark.conf.get("spark.checkpoint.dir"))
