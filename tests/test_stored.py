@@ -45,6 +45,16 @@ def test_derived_tables_are_derived_once(spark, sf_dir):
     assert "booking_id" not in plan(fx.bookings.select("flight_id")).split("ReadSchema")[1].split("\n")[0]
 
 
+def test_checked_payments_are_the_rows_of_the_view(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    o, p = fx.payments_orphan, fx.payments
+    want = o.join(p.select("payment_id", "paid_at", F.when(F.col("payment_id") % 149 == 0, "Barter").otherwise(F.col("method")).alias("method")), "payment_id")
+    joins = [plan(d).count("Join") for d in (fx.payments, fx.payments_checked)]   # that of the ids
+    assert sorted(want.columns) == sorted(fx.payments_checked.columns) and joins[0] == joins[1]
+    want = want.select(*fx.payments_checked.columns)
+    assert want.exceptAll(fx.payments_checked).isEmpty() and fx.payments_checked.exceptAll(want).isEmpty()
+
+
 def test_lorenz_reads_customers_not_payments(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     assert "SortMergeJoin" not in plan(clv_lorenz(fx.clv)) and only_stored(clv_lorenz(fx.clv), spark.conf.get("spark.checkpoint.dir"))
