@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airdata.operators.scan import ranges_of
 from airdata.schema import Check, Domain, ForeignKey, NotNull, Unique
 
 REPORT_COLS = ("check_name", "table_name", "constraint_type", "violations")
@@ -139,7 +140,7 @@ def _slots(tables, domain: KeyDomain) -> list[tuple[str, str]]:
     return out
 
 
-def key_groups(tables: dict[str, DataFrame], domains: list[KeyDomain], local: dict[str, list] | None = None) -> DataFrame:
+def key_groups(tables: dict[str, DataFrame], domains: list[KeyDomain], local: dict[str, list] | None = None, known_only: bool = False) -> DataFrame:
     """One row a distinct key of each domain: ``g`` (the domain's number), ``known``
     (no null in the key), ``own`` (rows of the table) and ``c0``, ``c1``, ... (rows
     of each foreign key).
@@ -150,11 +151,27 @@ def key_groups(tables: dict[str, DataFrame], domains: list[KeyDomain], local: di
     domains meet in one shuffle, and equal keys are equal without a second look;
     rows of a task are counted before. ``local`` adds conditions of a row: table ->
     (number, SQL condition); a row puts out the numbers of those that hold.
+
+    ``known_only`` leaves out keys with a null. If nothing refers to any of the
+    others, they hardly ever repeat: they are dealt by key into as many tasks as
+    the session has shuffle partitions and counted there only, since a task that
+    counts before the shuffle would hold all of its rows for nothing.
     """
+    entries, names = _entries(tables, domains, local)
+    if known_only:
+        entries = entries.filter("known")
+        if not local and not any(d.foreign_keys for d in domains):
+            entries = entries.repartition(ranges_of(entries), "g", "known", *names)
+    most = max([len(d.foreign_keys) for d in domains], default=0)
+    counted = [F.expr(f"count_if(role = {j})").alias(n) for j, n in enumerate(["own", *(f"c{i}" for i in range(most))])]
+    return entries.groupBy("g", "known", *names).agg(*counted)
+
+
+def _entries(tables, domains: list[KeyDomain], local) -> tuple[DataFrame, list[str]]:
+    """A row a key that a row puts out, and the names of its slots."""
     slots = [_slots(tables, d) for d in domains]
     widths = {k: max([sum(kind == k for kind, _ in s) for s in slots], default=0) for k in "ls"}
     names = [f"{k}{i}" for k in "ls" for i in range(widths[k])]
-    most = max([len(d.foreign_keys) for d in domains], default=0)
 
     def entry(g, role, columns=(), slot=()):
         at, values = dict.fromkeys("ls", 0), {}
@@ -182,8 +199,7 @@ def key_groups(tables: dict[str, DataFrame], domains: list[KeyDomain], local: di
             broken = f"CASE WHEN {any_broken} THEN array({broken}) ELSE array() END"
             keys = f"concat({keys}, {broken})" if keys else broken
         frames.append(tables[t].select(F.expr(f"inline({keys})")).filter("g IS NOT NULL"))
-    counted = [F.expr(f"count_if(role = {j})").alias(n) for j, n in enumerate(["own", *(f"c{i}" for i in range(most))])]
-    return reduce(DataFrame.unionByName, frames).groupBy("g", "known", *names).agg(*counted)
+    return reduce(DataFrame.unionByName, frames), names
 
 
 def _summary(groups: DataFrame, per_domain: dict[str, str]) -> DataFrame:
@@ -205,7 +221,7 @@ def constraint_report(tables: dict[str, DataFrame], not_null=(), checks=(), uniq
         kind, condition = _violated(c)
         local.setdefault(c.table, []).append((len(keyed) + len(numbered), condition))
         numbered.append((c, kind))
-    groups = key_groups(tables, keyed, local)
+    groups = key_groups(tables, keyed, local, known_only=True)
     most = max([len(d.foreign_keys) for d in keyed], default=0)
     lost = {f"lost{j}": f"sum(CASE WHEN own = 0 AND known THEN c{j} ELSE 0 END)" for j in range(most)}
     summary = _summary(groups, {"rows": "sum(own)", "twice": "count_if(own > 1 AND known)", **lost})

@@ -58,3 +58,11 @@ def test_checked_payments_are_the_rows_of_the_view(spark, sf_dir):
 def test_lorenz_reads_customers_not_payments(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     assert "SortMergeJoin" not in plan(clv_lorenz(fx.clv)) and only_stored(clv_lorenz(fx.clv), spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_unique_keys_are_not_held_before_the_shuffle(spark):
+    rows = [(1, "a"), (1, "b"), (2, "b"), (None, "c"), (None, "c"), (3, None), (4, None)]
+    t = {"a": spark.createDataFrame(rows, "id long, s string").repartition(3)}
+    report = V.constraint_report(t, uniques=(S.Unique("a", ("id",), "pk"), S.Unique("a", ("s",), "uq"), S.Unique("a", ("id", "s"), "both")))
+    assert {(r.check_name, r.violations) for r in report.collect()} == {("pk", 1), ("uq", 2), ("both", 0)}
+    assert "REPARTITION_BY_NUM" in plan(report)
