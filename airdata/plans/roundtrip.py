@@ -13,6 +13,7 @@ from airdata.plans.registry import query
 from airdata.session import checkpoint_dir
 from airdata.sources import files as S
 from airdata.sources import sinks as W
+from airdata.sources.tables import written
 
 
 def _folder(fx, name: str) -> str:
@@ -81,7 +82,7 @@ SELECT y || '-' || lpad(m::VARCHAR, 2, '0') || '-N' || s % 25 || '-S' || s AS sn
 FROM m WHERE s % 6 <> 5
 UNION ALL SELECT NULL, NULL, 'unknown layout' FROM m WHERE s % 6 = 5""")
 def _load_mixed_folder(fx):
-    months, root, back = _months(fx), _folder(fx, "months"), {new: old for old, new in S.BTS_OLD_NAMES.items()}
+    months, root, back = written(_months(fx), "months-shaped"), _folder(fx, "months"), {new: old for old, new in S.BTS_OLD_NAMES.items()}
     old = [F.col(c).alias(back.get(c, c)) for c in S.BTS_CANONICAL]
     layouts = {"canonical": [F.col(c) for c in S.BTS_CANONICAL], "old": old, "reordered": list(reversed(old)), "wide": [F.lit("x").alias("extra"), *old],
                "shouting": [F.col(c).alias(f" {c.upper()}") for c in S.BTS_CANONICAL], "strange": [F.col(c).alias(f"q_{c}") for c in S.BTS_CANONICAL]}

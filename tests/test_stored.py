@@ -66,3 +66,18 @@ def test_unique_keys_are_not_held_before_the_shuffle(spark):
     report = V.constraint_report(t, uniques=(S.Unique("a", ("id",), "pk"), S.Unique("a", ("s",), "uq"), S.Unique("a", ("id", "s"), "both")))
     assert {(r.check_name, r.violations) for r in report.collect()} == {("pk", 1), ("uq", 2), ("both", 0)}
     assert "REPARTITION_BY_NUM" in plan(report)
+
+
+def test_monthly_lines_are_read_once(spark, tmp_dir):
+    rows = [("1", "L1", "A1", "5"), ("1", "L1", "A1", "6"), ("1", "L1", "A9", "7"), (None, "L1", "A1", "8"), ("2", "L2", "A1", "9"), ("3", "L1", "A1", "1")]
+    cols = [c for c in files.BTS_CANONICAL if c not in ("year", "month", "airline_iata", "airport_iata", "arrivals")]
+    df = spark.createDataFrame(rows, "month string, airline_iata string, airport_iata string, arrivals string").coalesce(1)
+    df.select(F.lit("2024").alias("year"), "*", *[F.lit("1").alias(c) for c in cols]).select(*files.BTS_CANONICAL).write.option("header", True).csv(f"{tmp_dir}/in")
+    airports = spark.createDataFrame([("A1",), ("A1",), (None,)], "iata_code string")
+    airlines = spark.createDataFrame([("L1",)], "iata_code string")
+    done = files.load_monthly(spark, f"{tmp_dir}/in", spark.createDataFrame([("2024-03-L1-A1",), ("2024-03-L1-A1",), (None,)], "snapshot_id string"), airports, airlines)
+    assert [r.arrivals for r in done.insert.collect()] == [5]
+    assert sorted(r.arrivals for r in done.duplicates.collect()) == [1, 6]
+    assert sorted(r.reason for r in done.rejects.collect()) == ["missing key part", "unknown airline", "unknown airport"]
+    for d in (done.insert, done.duplicates):
+        assert only_stored(d, spark.conf.get("spark.checkpoint.dir"))
