@@ -40,7 +40,7 @@ def test_stored_numbers_are_row_numbers(spark):
 
 def test_derived_tables_are_derived_once(spark, sf_dir):
     fx, root = Fixtures(spark, sf_dir), spark.conf.get("spark.checkpoint.dir")
-    for t in (fx.flights_base, fx.routes, fx.flights, fx.bookings, fx.payments, fx.clv):
+    for t in (fx.flights_loaded, fx.routes, fx.flights, fx.bookings, fx.payments, fx.clv):
         assert only_stored(t, root)
     assert "booking_id" not in plan(fx.bookings.select("flight_id")).split("ReadSchema")[1].split("\n")[0]
 
