@@ -74,10 +74,15 @@ def with_words(docs: DataFrame, text: str = "text") -> DataFrame:
     return computed(d, _words=words_of(F.col("_spaced")))
 
 
+def pair_of(x: Column, y: Column) -> Column:
+    """A number for a pair of words: by their lengths, -1 for the same word again."""
+    length = lambda w: F.char_length(w).cast("long")
+    return F.when(x == y, F.lit(-1).cast("long")).otherwise(length(x) * (1 << 31) + length(y))
+
+
 def pairs() -> Column:
-    """A number for each pair of neighbouring words of a row of with_words: by their lengths, -1 for the same word again."""
-    length = lambda x: F.char_length(x).cast("long")
-    return neighbours(F.col("_words"), 1, lambda x, y: F.when(x == y, F.lit(-1).cast("long")).otherwise(length(x) * (1 << 31) + length(y)))
+    """The numbers of the pairs of neighbouring words of a row of with_words."""
+    return neighbours(F.col("_words"), 1, pair_of)
 
 
 def bucket_of(gram: Column, buckets: int) -> Column:
@@ -90,10 +95,18 @@ def grams(buckets: int) -> Column:
     return F.concat(*runs, F.transform(pairs(), lambda x: bucket_of(x, buckets)))
 
 
+def gram_rows(d: DataFrame, buckets: int, *columns: str) -> DataFrame:
+    """The buckets of ``grams``, a row each, with some columns of d; no lambda, so that all of it is compiled."""
+    words = d.select(*columns, F.inline(F.arrays_zip("_words", F.slice("_words", F.lit(2), F.size("_words")))).alias("_x", "_y"))
+    x, y = F.col("_x"), F.col("_y")
+    edges = [bucket_of(F.substring(x, 1, RUN), buckets), bucket_of(F.right(x, F.lit(RUN)), buckets)]
+    found = words.select(*columns, F.explode(F.array(*edges, F.when(y.isNotNull(), bucket_of(pair_of(x, y), buckets)))).alias("bucket"))
+    return found.filter("bucket is not null")  # the last word has no pair
+
+
 def with_base(d: DataFrame, text: str = "text") -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed to the result of with_words."""
-    d = computed(d, _h1=F.transform("_words", lambda w: F.xxhash64(w)))
-    d = computed(d, _h2=neighbours(F.col("_h1"), 1, lambda x, y: F.xxhash64(x, y)))
+    d = computed(d, _h2=neighbours(F.col("_words"), 1, lambda x, y: F.xxhash64(x, y)))
     t = F.coalesce(F.col(text), F.lit(""))
     d = computed(
         d, n_words=F.size("_words").cast("long"),
@@ -124,7 +137,7 @@ def ratios(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str =
     flag = trusted.select(F.col(key).alias("_key")).filter("_key is not null").distinct().withColumn("_trusted", F.lit(1))
     # the labels grow with the documents: one plan for all sizes
     d = docs.select(key, text).join(flag.hint("merge"), F.col(key) == F.col("_key"), "left")
-    found = with_words(d, text).select(F.coalesce("_trusted", F.lit(0)).alias("_trusted"), F.explode(grams(buckets)).alias("bucket"))
+    found = gram_rows(with_words(d.withColumn("_trusted", F.coalesce("_trusted", F.lit(0))), text), buckets, "_trusted")
     counts = found.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("_trusted").alias("target")).collect()
     raw, target = [0] * buckets, [0] * buckets
     for r in counts:

@@ -124,3 +124,15 @@ def test_grams_of_odd_words(spark):
     d = Q.with_words(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string"))
     for r in d.select("text", Q.grams(Q.BUCKETS).alias("g")).collect():
         assert r.g == grams(r.text)
+
+
+def test_gram_rows_are_compiled_and_equal_the_grams(spark, capsys):
+    texts = ["", None, "a", "ab abc abcd abcd", "x" * 4097, "a a a \t b", "𝒳y\n" * 31]
+    d = Q.with_words(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string"))
+    rows = Q.gram_rows(d, Q.BUCKETS, "i")
+    got = {i: Counter() for i in range(len(texts))}
+    for r in rows.collect():
+        got[r.i][r.bucket] += 1
+    assert got == {i: Counter(grams(t)) for i, t in enumerate(texts)}
+    rows.explain()
+    assert "lambda" not in capsys.readouterr().out
